@@ -1,0 +1,70 @@
+"""A watermark moved by control rows only, on a stream.
+
+Spark has no such watermark. Here each micro-batch drops its late rows by the
+watermark every row meets, and stores pane partials and the watermark reached in
+a folder of its own. A repeated batch overwrites its folders and reads the
+watermark of the batch before, so a restart gives the same result.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
+
+from millrace.functions.times import MILLI_US, duration_us, to_us
+from millrace.operators.lateness import WATERMARK, punctuated_watermark
+from millrace.plans.panes import FIRST_START, PANE, WINDOW_START, Panes
+from millrace.sinks.files import batch_folder, start_batches
+
+_REACHED = T.StructType([T.StructField("reached", T.LongType())])
+
+
+def _reached_before(spark: SparkSession, path: str, batch_id: int) -> int | None:
+    if batch_id == 0:
+        return None
+    return spark.read.schema(_REACHED).parquet(batch_folder(f"{path}/watermark", batch_id - 1)).first()[0]
+
+
+def start_min_records(
+    stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], ts: str, seq: str, value: str,
+    columns: Sequence[str], control: Column, size: str, slide: str, unit: str = "s",
+) -> StreamingQuery:
+    """Collects the least record of every pane below ``path``; see :func:`min_records`."""
+    keys, panes = list(keys), Panes(duration_us(size), duration_us(slide))
+    ranked = F.struct(value, seq, *[c for c in columns if c not in (value, seq)])
+
+    def collect(rows: DataFrame, batch_id: int) -> None:
+        spark = rows.sparkSession
+        before = F.lit(_reached_before(spark, path, batch_id)).cast("long")
+        marked = punctuated_watermark(rows, [seq], ts, control, unit)
+        marked = marked.withColumn(WATERMARK, F.greatest(WATERMARK, before))
+        parts = panes.tag(marked, to_us(rows, ts, unit), F.col(WATERMARK)).groupBy(*keys, PANE, FIRST_START)
+        parts.agg(F.min(ranked).alias("record")).write.mode("overwrite").parquet(
+            batch_folder(f"{path}/panes", batch_id)
+        )
+        reached = rows.agg(F.greatest(F.max(F.when(control, to_us(rows, ts, unit))), before).alias("reached"))
+        reached.write.mode("overwrite").parquet(batch_folder(f"{path}/watermark", batch_id))
+
+    return start_batches(stream, collect, checkpoint)
+
+
+def min_records(
+    spark: SparkSession, path: str, keys: Sequence[str], size: str, slide: str, closed_only: bool = True
+) -> DataFrame:
+    """``keys, window_end, ...``: the least record of the windows collected so far.
+
+    ``closed_only`` leaves out windows the watermark has not passed yet; at the
+    end of a finite stream all windows count.
+    """
+    keys, panes = list(keys), Panes(duration_us(size), duration_us(slide))
+    parts = spark.read.parquet(f"{path}/panes").drop("batch")
+    found = panes.merged(parts, keys, {"record": F.min("record")})
+    end = F.col(WINDOW_START) + F.lit(panes.size)
+    if closed_only:
+        reached = spark.read.parquet(f"{path}/watermark").agg(F.max("reached")).first()[0]
+        found = found.filter(end - F.lit(MILLI_US) <= F.lit(reached).cast("long"))
+    return found.select(*keys, F.timestamp_micros(end).alias("window_end"), "record.*")

@@ -1,0 +1,257 @@
+"""Keyed state and timers on streams.
+
+All machines read a key's rows in event-time order: rows wait in state until the
+watermark has passed them, as any row still missing would be late. One timer per
+key, at the earliest instant of interest, wakes the machine.
+
+State per key is what lies between the newest row and the watermark plus the
+machine's own few values; micro-batch size (files or offsets per batch) bounds
+what one task gets of a hot key at a time.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from typing import Any
+
+from pyspark.sql import DataFrame, Row
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+from millrace.functions.times import MILLI_US, duration_us, interval_text, to_us
+from millrace.operators.alarms import ALARM_PREFIX
+from millrace.operators.patterns import FAIL_STREAK_MESSAGE, MATCHED, PAID_MESSAGE, TIMEOUT, TIMEOUT_PREFIX
+from millrace.session import ROCKSDB
+
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+
+
+class OrderedMachine(StatefulProcessor):
+    """Event-time order and waking up; subclasses add the transitions.
+
+    Input rows are ``(key, us, seq, x)``. ``memory`` is the DDL of the machine's
+    state and ``blank`` its first value.
+    """
+
+    payload = "us BIGINT, seq BIGINT, x STRING"
+    memory = ""
+    blank: tuple = ()
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", self.payload)
+        self.machine = handle.getValueState("machine", self.memory)
+        self.alarm = handle.getValueState("wakeup", "at BIGINT")
+
+    def advance(self, key: Any, state: tuple, row: tuple) -> tuple[tuple, list[Row]]:
+        """The state after one row, and what it emits."""
+        raise NotImplementedError
+
+    def expire(self, key: Any, state: tuple, watermark: int) -> tuple[tuple, list[Row]]:
+        """The same for the passing of time up to ``watermark`` (microseconds)."""
+        return state, []
+
+    def deadline(self, state: tuple) -> int | None:
+        """When ``expire`` has something to do next, in microseconds."""
+        return None
+
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+        arrived = [(r.us, r.seq, r.x) for r in rows]
+        self.waiting.appendList(arrived)
+        self._wake_by(min(us for us, _, _ in arrived) // MILLI_US + 1)
+        return iter(())
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
+        watermark = timerValues.getCurrentWatermarkInMs() * MILLI_US
+        self.alarm.clear()
+        waiting = sorted(tuple(r) for r in self.waiting.get())
+        ready = [r for r in waiting if r[0] < watermark]
+        rest = waiting[len(ready):]
+        state = tuple(self.machine.get()) if self.machine.exists() else self.blank
+        out: list[Row] = []
+        for row in ready:
+            state, emitted = self.advance(key[0], state, row)
+            out += emitted
+        state, emitted = self.expire(key[0], state, watermark)
+        out += emitted
+        self.machine.update(state)
+        if rest:
+            self.waiting.put(rest)
+        else:
+            self.waiting.clear()
+        wakeups = [us // MILLI_US + 1 for us in (rest[0][0] if rest else None, self.deadline(state)) if us is not None]
+        if wakeups:
+            self._wake_by(min(wakeups))
+        return iter(out)
+
+    def _wake_by(self, at: int) -> None:
+        set_for = self.alarm.get()[0] if self.alarm.exists() else None
+        if set_for is not None and set_for <= at:
+            return
+        if set_for is not None:
+            self.handle.deleteTimer(set_for)
+        self.handle.registerTimer(at)
+        self.alarm.update((at,))
+
+    def close(self) -> None:
+        pass
+
+
+class FailStreak(OrderedMachine):
+    """A failure right after a failure, less than ``within`` later."""
+
+    memory = "prev BIGINT"
+    blank = (None,)
+
+    def __init__(self, within: int, message: str):
+        self.within, self.message = within, message
+
+    def advance(self, key, state, row):
+        (prev,), (us, _, hit) = state, row
+        if hit != "1":
+            return (None,), []
+        near = prev is not None and us - prev < self.within
+        return (us,), [Row(key=key, first_us=prev, last_us=us, warning_msg=self.message)] if near else []
+
+
+class FollowedBy(OrderedMachine):
+    """First-stage rows wait for the next second-stage row or for their deadline."""
+
+    memory = "open ARRAY<BIGINT>"
+    blank = ([],)
+
+    def __init__(self, within: int):
+        self.within = within
+
+    def _result(self, key, first, second):
+        deadline = first + self.within
+        status = TIMEOUT if second is None else MATCHED
+        return Row(key=key, status=status, create_us=first, pay_us=second, deadline_us=deadline)
+
+    def advance(self, key, state, row):
+        opened, (us, _, stages) = list(state[0]), row
+        out = []
+        if "2" in stages:
+            out = [self._result(key, first, us if us - first < self.within else None) for first in opened]
+            opened = []
+        if "1" in stages:
+            opened = opened + [us]
+        return (opened,), out
+
+    def expire(self, key, state, watermark):
+        over = [first for first in state[0] if first + self.within <= watermark]
+        still = [first for first in state[0] if first + self.within > watermark]
+        return (still,), [self._result(key, first, None) for first in over]
+
+    def deadline(self, state):
+        return min(state[0]) + self.within if state[0] else None
+
+
+class RisingAlarm(OrderedMachine):
+    """Arms on a rise, disarms on a fall, fires ``horizon`` after arming."""
+
+    memory = "temp DOUBLE, timer BIGINT"
+    blank = (0.0, None)
+
+    def __init__(self, horizon: int):
+        self.horizon = horizon
+
+    def _fire(self, key, state, before):
+        temp, timer = state
+        if timer is not None and timer < before:
+            return self.blank, [Row(key=key, alarm_us=timer)]
+        return state, []
+
+    def advance(self, key, state, row):
+        us, _, text = row
+        (temp, timer), out = self._fire(key, state, us)
+        if text is None:
+            return (temp, timer), out
+        x = float(text)
+        if x <= temp:
+            return (x, None), out
+        if timer is None:
+            return (x, us + self.horizon), out
+        return (temp, timer), out
+
+    def expire(self, key, state, watermark):
+        return self._fire(key, state, watermark)
+
+    def deadline(self, state):
+        return state[1]
+
+
+def _run(stream: DataFrame, key: str, machine: OrderedMachine, output: str, lateness: str) -> DataFrame:
+    # These machines need the RocksDB state store; the setting is read at start.
+    stream.sparkSession.conf.set(_PROVIDER, ROCKSDB)
+    return (
+        stream.withWatermark("event_ts", interval_text(duration_us(lateness)))
+        .groupBy("key")
+        .transformWithState(machine, output, "Append", "EventTime")
+    )
+
+
+def _input(df: DataFrame, key: str, ts: str, seq: str, x, unit: str) -> DataFrame:
+    us = to_us(df, ts, unit)
+    return df.select(
+        F.col(key).alias("key"), us.alias("us"), F.col(seq).cast("long").alias("seq"), x.alias("x"),
+        F.timestamp_micros(us).alias("event_ts"),
+    )
+
+
+def _key_type(df: DataFrame, key: str) -> str:
+    return df.schema[key].dataType.simpleString()
+
+
+def fail_streaks(
+    df: DataFrame, ts: str, seq: str, user: str = "user_id", event: str = "event_type", fail: str = "fail",
+    within: str = "2 seconds", message: str = FAIL_STREAK_MESSAGE, lateness: str = "0 seconds", unit: str = "s",
+) -> DataFrame:
+    """``user_id, first_time, last_fail_time, warning_msg`` with times as ``TIMESTAMP``."""
+    hit = F.when(F.col(event) == fail, "1").otherwise("0")
+    found = _run(
+        _input(df, user, ts, seq, hit, unit), user, FailStreak(duration_us(within), message),
+        f"key {_key_type(df, user)}, first_us BIGINT, last_us BIGINT, warning_msg STRING", lateness,
+    )
+    return found.select(
+        F.col("key").alias("user_id"), F.timestamp_micros("first_us").alias("first_time"),
+        F.timestamp_micros("last_us").alias("last_fail_time"), "warning_msg",
+    )
+
+
+def order_results(
+    df: DataFrame, ts: str, seq: str, order_id: str = "order_id", event: str = "event_type",
+    create: str = "create", pay: str = "pay", within: str = "15 minutes", lateness: str = "0 seconds",
+    unit: str = "s",
+) -> DataFrame:
+    """``order_id, status, result_msg, create_ts, pay_ts, deadline``; both outputs in one stream."""
+    # All rows move the watermark; only stage rows mean something to the machine.
+    stages = F.concat(F.when(F.col(event) == create, "1").otherwise(""), F.when(F.col(event) == pay, "2").otherwise(""))
+    found = _run(
+        _input(df, order_id, ts, seq, stages, unit), order_id, FollowedBy(duration_us(within)),
+        f"key {_key_type(df, order_id)}, status STRING, create_us BIGINT, pay_us BIGINT, deadline_us BIGINT", lateness,
+    )
+    deadline = F.timestamp_micros("deadline_us")
+    late_text = F.concat(F.lit(TIMEOUT_PREFIX), deadline.cast("string"))
+    return found.select(
+        F.col("key").alias("order_id"), "status",
+        F.when(F.col("status") == MATCHED, PAID_MESSAGE).otherwise(late_text).alias("result_msg"),
+        F.timestamp_micros("create_us").alias("create_ts"), F.timestamp_micros("pay_us").alias("pay_ts"),
+        deadline.alias("deadline"),
+    )
+
+
+def rising_alarms(
+    df: DataFrame, key: str, ts: str, value: str, seq: str = "seq", horizon: str = "2 seconds",
+    lateness: str = "0 seconds", unit: str = "s",
+) -> DataFrame:
+    """``key, alarm_ts, alarm_msg``; readings without a value only move the watermark."""
+    reading = F.col(value).cast("double").cast("string")
+    found = _run(
+        _input(df, key, ts, seq, reading, unit), key, RisingAlarm(duration_us(horizon)),
+        f"key {_key_type(df, key)}, alarm_us BIGINT", lateness,
+    )
+    return found.select(
+        F.col("key").alias(key), F.timestamp_micros("alarm_us").alias("alarm_ts"),
+        F.concat(F.lit(ALARM_PREFIX), F.col("key").cast("string")).alias("alarm_msg"),
+    )
