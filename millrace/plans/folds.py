@@ -61,30 +61,29 @@ def ordered_fold(
         return run.select(*keys, _SPAN, _ENTRY, f"{_RUN}.state", f"{_RUN}.out")
 
     done = reliable_checkpoint(folded(spans.withColumn(_ENTRY, state)))
+    place = [*keys, _SPAN]
     while True:
         # Only states, not what was emitted, pass through the window over a key's spans.
-        entries = done.select(
-            *keys, _SPAN, _ENTRY, F.coalesce(F.lag("state").over(along), state).alias("__due")
-        )
-        stale = reliable_checkpoint(
-            entries.filter(~F.col("__due").eqNullSafe(F.col(_ENTRY))).select(*keys, _SPAN, F.col("__due").alias(_ENTRY))
-        )
+        due = F.coalesce(F.lag("state").over(along), state).alias("__due")
+        entries = done.select(*place, _ENTRY, due).filter(~F.col("__due").eqNullSafe(F.col(_ENTRY)))
+        stale = reliable_checkpoint(entries.select(*_others(place), "__due"))
         if stale.isEmpty():
             break
-        kept = done.join(stale.select(*keys, _SPAN), _same(done, stale, [*keys, _SPAN]), "left_anti")
-        again = spans.join(stale, _same(spans, stale, [*keys, _SPAN])).select(
-            *[spans[c] for c in (*keys, _SPAN)], stale[_ENTRY], spans[_ITEMS]
-        )
+        kept = done.join(stale, _same(place), "left_anti")
+        again = spans.join(stale, _same(place)).select(*place, F.col("__due").alias(_ENTRY), _ITEMS)
         done = reliable_checkpoint(kept.unionByName(folded(again)))
-    ends = done.groupBy(*keys).agg(F.max(_SPAN).alias(_SPAN))
-    closing = done.join(ends, _same(done, ends, [*keys, _SPAN]), "left_outer")
-    return closing.select(
-        *[done[c] for c in (*keys, "state", "out")], ends[_SPAN].isNotNull().alias("last")
+    ends = done.groupBy(*keys).agg(F.max(_SPAN).alias(_SPAN)).select(*_others(place))
+    return done.join(ends, _same(place), "left_outer").select(
+        *keys, "state", "out", F.col(f"__other_{_SPAN}").isNotNull().alias("last")
     )
 
 
-def _same(left: DataFrame, right: DataFrame, columns: list[str]) -> Column:
-    return reduce(and_, [left[c].eqNullSafe(right[c]) for c in columns])
+def _others(columns: list[str]) -> list[Column]:
+    return [F.col(c).alias(f"__other_{c}") for c in columns]
+
+
+def _same(columns: list[str]) -> Column:
+    return reduce(and_, [F.col(c).eqNullSafe(F.col(f"__other_{c}")) for c in columns])
 
 
 def _longest(df: DataFrame, keys: list[str], span_rows: int) -> int:

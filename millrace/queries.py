@@ -16,8 +16,13 @@ from millrace.functions import parsing, rendering
 from millrace.functions.text import not_empty
 from millrace.functions.times import SECOND_US, to_us
 from millrace.operators import alarms, lateness, patterns, ranking, routing, sliding, words
+from millrace.session import scratch_path
+from millrace.sinks.fanout import fan_out
+from millrace.sinks.files import parquet_batches, read_batches, start_batches
 from millrace.sources import kafka
-from millrace.sources.lines import table
+from millrace.sources.lines import stream_table, table
+from millrace.streaming import punctuated, stateful, windows
+from millrace.streaming.watermarks import with_end_marker
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -567,3 +572,105 @@ def punctuated_late(spark: SparkSession, sf: str) -> DataFrame:
         marked, ["user_id"], "ts", "2 hours", "30 minutes", "value", ["event_id"], ["event_id", "ts"], lateness.WATERMARK
     )
     return _micros(_seconds(least.drop("window_start"), "window_end"), "ts")
+
+
+# --- the same on streams ---------------------------------------------------------
+#
+# The whole table is read as a finite file stream, with a marker row at its end
+# that closes all windows and timers. Results go to the shared folder and are
+# read back, so they meet the SQL twins of the batch forms.
+
+def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
+    return with_end_marker(stream_table(spark, sf, "events"), "ts")
+
+
+def _finished(stream: DataFrame, label: str, mode: str = "append") -> DataFrame:
+    spark = stream.sparkSession
+    out = scratch_path(spark, label)
+    start_batches(stream, parquet_batches(out), scratch_path(spark, f"{label}-state"), mode).awaitTermination()
+    return read_batches(spark, out, stream.schema)
+
+
+@query(ORACLES["word_count"])
+def stream_word_count(spark: SparkSession, sf: str) -> DataFrame:
+    """Updates of a running count; the last update of a word is the greatest."""
+    counts = words.word_count(stream_table(spark, sf, "documents"), "text")
+    updates = _finished(counts, "word-count", "update")
+    return updates.groupBy("word").agg(F.max("cnt").alias("cnt"))
+
+
+@query(ORACLES["hot_items_topn"])
+def stream_hot_items_topn(spark: SparkSession, sf: str) -> DataFrame:
+    clicks = _event_stream(spark, sf).withColumnRenamed("user_id", "item_id")
+    counts = windows.sliding_count(clicks, ["item_id"], "ts", "60 minutes", "5 minutes", F.col("event_type") == "view")
+    out = scratch_path(spark, "hot-items")
+    windows.start_top_n(counts, 3, parquet_batches(out), scratch_path(spark, "hot-items-state")).awaitTermination()
+    return _ranking(read_batches(spark, out, counts.withColumn("rank", F.lit(0)).schema))
+
+
+@query(ORACLES["sliding_min_record"])
+def stream_sliding_min_record(spark: SparkSession, sf: str) -> DataFrame:
+    least = windows.sliding_min_record(
+        _event_stream(spark, sf), ["user_id"], "ts", "6 hours", "1 hour", "value", ["event_id"], ["event_id", "ts"]
+    )
+    return _micros(_seconds(_finished(least, "min-record"), "window_end"), "ts")
+
+
+@query(ORACLES["fail_streak_keyed"])
+def stream_fail_streak(spark: SparkSession, sf: str) -> DataFrame:
+    found = stateful.fail_streaks(
+        _event_stream(spark, sf), "ts", "event_id", fail="error", within="4 hours", bucket="1 day"
+    )
+    return _micros(_finished(found, "fail-streak"), "first_time", "last_fail_time")
+
+
+@query(ORACLES["fail_next_global"])
+def stream_fail_next_global(spark: SparkSession, sf: str) -> DataFrame:
+    found = stateful.fail_streaks(
+        _event_stream(spark, sf), "ts", "event_id", fail="error", within="60 seconds",
+        message=patterns.FAIL_PATTERN_MESSAGE, keys=[], bucket="6 hours",
+    )
+    return _micros(_finished(found, "fail-next"), "first_time", "last_fail_time")
+
+
+@query(ORACLES["order_results"])
+def stream_order_results(spark: SparkSession, sf: str) -> DataFrame:
+    found = stateful.order_results(
+        _event_stream(spark, sf), "ts", "event_id", "user_id", create="click", pay="purchase", within="12 hours",
+        bucket="3 days",
+    )
+    paid = F.when(F.col("status") == patterns.MATCHED, F.col("result_msg"))
+    return _micros(_finished(found, "orders").withColumn("result_msg", paid), "create_ts", "pay_ts", "deadline")
+
+
+@query(ORACLES["rising_alarm"])
+def stream_rising_alarm(spark: SparkSession, sf: str) -> DataFrame:
+    found = stateful.rising_alarms(_event_stream(spark, sf), "user_id", "ts", "value", "event_id", horizon="6 hours")
+    return _micros(_finished(found, "alarms"), "alarm_ts")
+
+
+@query(ORACLES["punctuated_late"])
+def stream_punctuated_late(spark: SparkSession, sf: str) -> DataFrame:
+    """Arrival order is a column, so rows of a micro-batch are late as in the table."""
+    events = stream_table(spark, sf, "events")
+    delay = (F.col("event_id") * 7919) % _DELAY_S
+    arrivals = events.withColumn("arrival_us", to_us(events, "ts") + delay * F.lit(SECOND_US))
+    control = (F.col("event_type") == "signup") & (F.col("user_id") % 15 == 0)
+    path = scratch_path(spark, "punctuated")
+    punctuated.start_min_records(
+        arrivals, path, scratch_path(spark, "punctuated-state"), ["user_id"], "ts", ["arrival_us", "event_id"],
+        "value", ["event_id"], ["event_id", "ts"], control, "2 hours", "30 minutes",
+    ).awaitTermination()
+    least = punctuated.min_records(spark, path, ["user_id"], "2 hours", "30 minutes", closed_only=False)
+    return _micros(_seconds(least, "window_end"), "ts")
+
+
+@query(ORACLES["freeze_side_output"])
+def stream_freeze_side_output(spark: SparkSession, sf: str) -> DataFrame:
+    """A routed stream fanned out to one table per tag; the freeze tag's is returned."""
+    readings = stream_table(spark, sf, "events").select("event_id", "value")
+    routed = routing.freeze_route(readings, "value")
+    cold, rest = scratch_path(spark, "freeze"), scratch_path(spark, "main")
+    writers = {routing.FREEZE_TAG: parquet_batches(cold), routing.MAIN: parquet_batches(rest)}
+    start_batches(routed, fan_out(writers), scratch_path(spark, "freeze-state")).awaitTermination()
+    return read_batches(spark, cold, readings.schema)

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.functions.rendering import pair_text
@@ -56,6 +57,11 @@ def parquet_batches(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
+def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """All rows written by :func:`parquet_batches`."""
+    return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
+
+
 def pair_batches(path: str) -> Callable[[DataFrame, int], None]:
     """A batch writer of ``(word,n)`` lines: the update log of a running count as text.
 

@@ -30,17 +30,20 @@ def _reached_before(spark: SparkSession, path: str, batch_id: int) -> int | None
 
 
 def start_min_records(
-    stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], ts: str, seq: str, value: str,
-    columns: Sequence[str], control: Column, size: str, slide: str, unit: str = "s",
+    stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], ts: str, arrival: Sequence[str],
+    value: str, tie: Sequence[str], columns: Sequence[str], control: Column, size: str, slide: str, unit: str = "s",
 ) -> StreamingQuery:
-    """Collects the least record of every pane below ``path``; see :func:`min_records`."""
+    """Collects the least record of every pane below ``path``; see :func:`min_records`.
+
+    ``arrival`` orders the rows of one micro-batch.
+    """
     keys, panes = list(keys), Panes(duration_us(size), duration_us(slide))
-    ranked = F.struct(value, seq, *[c for c in columns if c not in (value, seq)])
+    ranked = F.struct(value, *tie, *[c for c in columns if c != value and c not in tie])
 
     def collect(rows: DataFrame, batch_id: int) -> None:
         spark = rows.sparkSession
         before = F.lit(_reached_before(spark, path, batch_id)).cast("long")
-        marked = punctuated_watermark(rows, [seq], ts, control, unit)
+        marked = punctuated_watermark(rows, arrival, ts, control, unit)
         marked = marked.withColumn(WATERMARK, F.greatest(WATERMARK, before))
         parts = panes.tag(marked, to_us(rows, ts, unit), F.col(WATERMARK)).groupBy(*keys, PANE, FIRST_START)
         parts.agg(F.min(ranked).alias("record")).write.mode("overwrite").parquet(

@@ -1,235 +1,300 @@
 """Keyed state and timers on streams.
 
-All machines read a key's rows in event-time order: rows wait in state until the
+All machines read their rows in event-time order: rows wait in state until the
 watermark has passed them, as any row still missing would be late. One timer per
-key, at the earliest instant of interest, wakes the machine.
-
-State per key is what lies between the newest row and the watermark plus the
-machine's own few values; micro-batch size (files or offsets per batch) bounds
-what one task gets of a hot key at a time.
+group, at the earliest instant of interest, wakes the machine.
+
+Patterns look back or ahead by their time limit only, so their groups are
+(key, time bucket) and rows near a border go to both sides: a hot key is spread
+over its buckets, and a pattern without keys runs in parallel too. The state of
+a bucket is dropped when time has passed it. The rising alarm is one long walk
+per key; what a task gets of a hot key at a time is bounded by the size of the
+micro-batch (files or offsets per batch).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Iterator, Sequence
+from itertools import batched
 from typing import Any
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from millrace.functions.times import MILLI_US, duration_us, interval_text, to_us
+from millrace.functions.times import MILLI_US, SECOND_US, duration_us, interval_text, to_us
 from millrace.operators.alarms import ALARM_PREFIX
 from millrace.operators.patterns import FAIL_STREAK_MESSAGE, MATCHED, PAID_MESSAGE, TIMEOUT, TIMEOUT_PREFIX
 from millrace.session import ROCKSDB
 
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_APPEND_ROWS = 10_000
+_LEAST_SLICE = 60 * SECOND_US
 
 
 class OrderedMachine(StatefulProcessor):
     """Event-time order and waking up; subclasses add the transitions.
 
-    Input rows are ``(key, us, seq, x)``. ``memory`` is the DDL of the machine's
-    state and ``blank`` its first value.
+    ``payload`` is the DDL of what is kept of a row, ``us`` and ``seq`` first;
+    ``memory`` that of the machine's own state and ``blank`` its first value.
+    Waiting rows lie in time slices as long as the machine's time limit, so a
+    wake-up reads due slices only, one at a time.
     """
 
-    payload = "us BIGINT, seq BIGINT, x STRING"
+    payload = ""
     memory = ""
     blank: tuple = ()
 
+    def __init__(self, limit: int):
+        self.limit = limit
+        self.slice = max(limit, _LEAST_SLICE)
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", self.payload)
+        self.fields = [f.split()[0] for f in self.payload.split(", ")]
+        members = ", ".join(f.replace(" ", ": ") for f in self.payload.split(", "))
+        self.waiting = handle.getMapState("waiting", "slice BIGINT", f"rows ARRAY<STRUCT<{members}>>")
         self.machine = handle.getValueState("machine", self.memory)
-        self.alarm = handle.getValueState("wakeup", "at BIGINT")
+        self.wakeup = handle.getValueState("wakeup", "at BIGINT")
 
-    def advance(self, key: Any, state: tuple, row: tuple) -> tuple[tuple, list[Row]]:
+    def advance(self, key: tuple, state: tuple, row: tuple) -> tuple[tuple, list[Row]]:
         """The state after one row, and what it emits."""
         raise NotImplementedError
 
-    def expire(self, key: Any, state: tuple, watermark: int) -> tuple[tuple, list[Row]]:
+    def expire(self, key: tuple, state: tuple, watermark: int) -> tuple[tuple, list[Row]]:
         """The same for the passing of time up to ``watermark`` (microseconds)."""
         return state, []
 
-    def deadline(self, state: tuple) -> int | None:
+    def deadline(self, key: tuple, state: tuple) -> int | None:
         """When ``expire`` has something to do next, in microseconds."""
         return None
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        arrived = [(r.us, r.seq, r.x) for r in rows]
-        self.waiting.appendList(arrived)
-        self._wake_by(min(us for us, _, _ in arrived) // MILLI_US + 1)
+        first = None
+        for part in batched(rows, _APPEND_ROWS):
+            slices = defaultdict(list)
+            for row in part:
+                slices[row["us"] // self.slice].append(tuple(row[f] for f in self.fields))
+            for at, arrived in slices.items():
+                self.waiting.updateValue((at,), (self._slice(at) + arrived,))
+            least = min(row["us"] for row in part)
+            first = least if first is None else min(first, least)
+        if first is not None:
+            self._wake_by(first // MILLI_US + 1)
         return iter(())
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
         watermark = timerValues.getCurrentWatermarkInMs() * MILLI_US
-        self.alarm.clear()
-        waiting = sorted(tuple(r) for r in self.waiting.get())
-        ready = [r for r in waiting if r[0] < watermark]
-        rest = waiting[len(ready):]
+        self.wakeup.clear()
+        key = tuple(key)
         state = tuple(self.machine.get()) if self.machine.exists() else self.blank
-        out: list[Row] = []
-        for row in ready:
-            state, emitted = self.advance(key[0], state, row)
-            out += emitted
-        state, emitted = self.expire(key[0], state, watermark)
-        out += emitted
-        self.machine.update(state)
-        if rest:
-            self.waiting.put(rest)
+        instants = []
+        for at in sorted(k[0] for k in self.waiting.keys()):
+            if at * self.slice >= watermark:
+                instants.append(at * self.slice)
+                break
+            rows = sorted(self._slice(at), key=lambda row: row[:2])
+            ready = [row for row in rows if row[0] < watermark]
+            rest = rows[len(ready):]
+            for row in ready:
+                state, emitted = self.advance(key, state, row)
+                yield from emitted
+            if rest:
+                self.waiting.updateValue((at,), (rest,))
+                instants.append(rest[0][0])
+                break
+            self.waiting.removeKey((at,))
+        state, emitted = self.expire(key, state, watermark)
+        yield from emitted
+        if state == self.blank:
+            self.machine.clear()
         else:
-            self.waiting.clear()
-        wakeups = [us // MILLI_US + 1 for us in (rest[0][0] if rest else None, self.deadline(state)) if us is not None]
-        if wakeups:
-            self._wake_by(min(wakeups))
-        return iter(out)
+            self.machine.update(state)
+            if (due := self.deadline(key, state)) is not None:
+                instants.append(due)
+        if instants:
+            self._wake_by(min(instants) // MILLI_US + 1)
+
+    def _slice(self, at: int) -> list[tuple]:
+        if not self.waiting.containsKey((at,)):
+            return []
+        return [tuple(row) for row in self.waiting.getValue((at,))[0]]
 
     def _wake_by(self, at: int) -> None:
-        set_for = self.alarm.get()[0] if self.alarm.exists() else None
+        set_for = self.wakeup.get()[0] if self.wakeup.exists() else None
         if set_for is not None and set_for <= at:
             return
         if set_for is not None:
             self.handle.deleteTimer(set_for)
         self.handle.registerTimer(at)
-        self.alarm.update((at,))
+        self.wakeup.update((at,))
 
     def close(self) -> None:
         pass
 
 
 class FailStreak(OrderedMachine):
-    """A failure right after a failure, less than ``within`` later."""
+    """A failure right after a failure, less than the limit later.
+
+    Rows copied from the bucket before only set the scene. The bucket is the
+    last part of the key.
+    """
 
-    memory = "prev BIGINT"
-    blank = (None,)
+    payload = "us BIGINT, seq BIGINT, who STRING, hit BOOLEAN, copied BOOLEAN"
+    memory = "prev_us BIGINT, prev_who STRING"
+    blank = (None, None)
 
-    def __init__(self, within: int, message: str):
-        self.within, self.message = within, message
+    def __init__(self, within: int, bucket: int):
+        super().__init__(within)
+        self.bucket = bucket
 
     def advance(self, key, state, row):
-        (prev,), (us, _, hit) = state, row
-        if hit != "1":
-            return (None,), []
-        near = prev is not None and us - prev < self.within
-        return (us,), [Row(key=key, first_us=prev, last_us=us, warning_msg=self.message)] if near else []
+        prev_us, prev_who = state
+        us, _, who, hit, copied = row
+        if not hit:
+            return self.blank, []
+        near = prev_us is not None and us - prev_us < self.limit and not copied
+        return (us, who), [Row(who=prev_who, first_us=prev_us, last_us=us)] if near else []
+
+    def _over(self, key):
+        return (key[-1] + 1) * self.bucket
+
+    def expire(self, key, state, watermark):
+        return (self.blank if watermark >= self._over(key) else state), []
+
+    def deadline(self, key, state):
+        return self._over(key)
 
 
 class FollowedBy(OrderedMachine):
     """First-stage rows wait for the next second-stage row or for their deadline."""
 
+    payload = "us BIGINT, seq BIGINT, begins BOOLEAN, ends BOOLEAN"
     memory = "open ARRAY<BIGINT>"
     blank = ([],)
 
-    def __init__(self, within: int):
-        self.within = within
-
     def _result(self, key, first, second):
-        deadline = first + self.within
         status = TIMEOUT if second is None else MATCHED
-        return Row(key=key, status=status, create_us=first, pay_us=second, deadline_us=deadline)
+        return Row(key=key[0], status=status, create_us=first, pay_us=second, deadline_us=first + self.limit)
 
     def advance(self, key, state, row):
-        opened, (us, _, stages) = list(state[0]), row
+        opened, (us, _, begins, ends) = list(state[0]), row
         out = []
-        if "2" in stages:
-            out = [self._result(key, first, us if us - first < self.within else None) for first in opened]
+        if ends:
+            out = [self._result(key, first, us if us - first < self.limit else None) for first in opened]
             opened = []
-        if "1" in stages:
+        if begins:
             opened = opened + [us]
         return (opened,), out
 
     def expire(self, key, state, watermark):
-        over = [first for first in state[0] if first + self.within <= watermark]
-        still = [first for first in state[0] if first + self.within > watermark]
+        over = [first for first in state[0] if first + self.limit <= watermark]
+        still = [first for first in state[0] if first + self.limit > watermark]
         return (still,), [self._result(key, first, None) for first in over]
 
-    def deadline(self, state):
-        return min(state[0]) + self.within if state[0] else None
+    def deadline(self, key, state):
+        return min(state[0]) + self.limit
 
 
 class RisingAlarm(OrderedMachine):
-    """Arms on a rise, disarms on a fall, fires ``horizon`` after arming."""
+    """Arms on a rise, disarms on a fall, fires the limit after arming."""
 
+    payload = "us BIGINT, seq BIGINT, x DOUBLE"
     memory = "temp DOUBLE, timer BIGINT"
     blank = (0.0, None)
 
-    def __init__(self, horizon: int):
-        self.horizon = horizon
-
     def _fire(self, key, state, before):
         temp, timer = state
         if timer is not None and timer < before:
-            return self.blank, [Row(key=key, alarm_us=timer)]
+            return self.blank, [Row(key=key[0], alarm_us=timer)]
         return state, []
 
     def advance(self, key, state, row):
-        us, _, text = row
+        us, _, x = row
         (temp, timer), out = self._fire(key, state, us)
-        if text is None:
+        if x is None:
             return (temp, timer), out
-        x = float(text)
         if x <= temp:
             return (x, None), out
         if timer is None:
-            return (x, us + self.horizon), out
+            return (x, us + self.limit), out
         return (temp, timer), out
 
     def expire(self, key, state, watermark):
         return self._fire(key, state, watermark)
 
-    def deadline(self, state):
+    def deadline(self, key, state):
         return state[1]
 
 
-def _run(stream: DataFrame, key: str, machine: OrderedMachine, output: str, lateness: str) -> DataFrame:
-    # These machines need the RocksDB state store; the setting is read at start.
-    stream.sparkSession.conf.set(_PROVIDER, ROCKSDB)
-    return (
-        stream.withWatermark("event_ts", interval_text(duration_us(lateness)))
-        .groupBy("key")
-        .transformWithState(machine, output, "Append", "EventTime")
-    )
+def _run(rows: DataFrame, by: Sequence[str], machine: OrderedMachine, output: str, lateness: str) -> DataFrame:
+    # These machines need the RocksDB state store; the setting is read when the query starts.
+    rows.sparkSession.conf.set(_PROVIDER, ROCKSDB)
+    timed = rows.withColumn("event_ts", F.timestamp_micros("us"))
+    late = timed.withWatermark("event_ts", interval_text(duration_us(lateness)))
+    return late.groupBy(*by).transformWithState(machine, output, "Append", "EventTime")
 
 
-def _input(df: DataFrame, key: str, ts: str, seq: str, x, unit: str) -> DataFrame:
-    us = to_us(df, ts, unit)
-    return df.select(
-        F.col(key).alias("key"), us.alias("us"), F.col(seq).cast("long").alias("seq"), x.alias("x"),
-        F.timestamp_micros(us).alias("event_ts"),
-    )
+def _type(df: DataFrame, column: str) -> str:
+    return df.schema[column].dataType.simpleString()
 
 
-def _key_type(df: DataFrame, key: str) -> str:
-    return df.schema[key].dataType.simpleString()
+def _bucket(us: Column, width: int) -> Column:
+    return F.floor(us / F.lit(width)).cast("long")
 
 
 def fail_streaks(
     df: DataFrame, ts: str, seq: str, user: str = "user_id", event: str = "event_type", fail: str = "fail",
-    within: str = "2 seconds", message: str = FAIL_STREAK_MESSAGE, lateness: str = "0 seconds", unit: str = "s",
+    within: str = "2 seconds", message: str = FAIL_STREAK_MESSAGE, keys: Sequence[str] | None = None,
+    bucket: str = "1 hour", lateness: str = "0 seconds", unit: str = "s",
 ) -> DataFrame:
-    """``user_id, first_time, last_fail_time, warning_msg`` with times as ``TIMESTAMP``."""
-    hit = F.when(F.col(event) == fail, "1").otherwise("0")
+    """``user_id, first_time, last_fail_time, warning_msg`` with times as ``TIMESTAMP``.
+
+    ``keys=[]`` reads all users as one sequence.
+    """
+    keys = [user] if keys is None else list(keys)
+    limit = duration_us(within)
+    width = max(duration_us(bucket), limit)
+    us = to_us(df, ts, unit)
+    own = _bucket(us, width)
+    # The next bucket needs the rows its first ones may follow closely.
+    beyond = _bucket(us + F.lit(limit - 1), width)
+    rows = df.select(
+        *keys, us.alias("us"), F.col(seq).cast("long").alias("seq"), F.col(user).cast("string").alias("who"),
+        F.coalesce(F.col(event) == fail, F.lit(False)).alias("hit"), own.alias("own"),
+        F.explode(F.array_distinct(F.array(own, beyond))).alias("bucket"),
+    ).withColumn("copied", F.col("bucket") != F.col("own"))
     found = _run(
-        _input(df, user, ts, seq, hit, unit), user, FailStreak(duration_us(within), message),
-        f"key {_key_type(df, user)}, first_us BIGINT, last_us BIGINT, warning_msg STRING", lateness,
+        rows, [*keys, "bucket"], FailStreak(limit, width), "who STRING, first_us BIGINT, last_us BIGINT", lateness
     )
     return found.select(
-        F.col("key").alias("user_id"), F.timestamp_micros("first_us").alias("first_time"),
-        F.timestamp_micros("last_us").alias("last_fail_time"), "warning_msg",
+        F.col("who").cast(_type(df, user)).alias("user_id"), F.timestamp_micros("first_us").alias("first_time"),
+        F.timestamp_micros("last_us").alias("last_fail_time"), F.lit(message).alias("warning_msg"),
     )
 
 
 def order_results(
     df: DataFrame, ts: str, seq: str, order_id: str = "order_id", event: str = "event_type",
-    create: str = "create", pay: str = "pay", within: str = "15 minutes", lateness: str = "0 seconds",
-    unit: str = "s",
+    create: str = "create", pay: str = "pay", within: str = "15 minutes", bucket: str = "1 hour",
+    lateness: str = "0 seconds", unit: str = "s",
 ) -> DataFrame:
     """``order_id, status, result_msg, create_ts, pay_ts, deadline``; both outputs in one stream."""
-    # All rows move the watermark; only stage rows mean something to the machine.
-    stages = F.concat(F.when(F.col(event) == create, "1").otherwise(""), F.when(F.col(event) == pay, "2").otherwise(""))
+    limit = duration_us(within)
+    width = max(duration_us(bucket), limit)
+    us = to_us(df, ts, unit)
+    own = _bucket(us, width)
+    begins = F.coalesce(F.col(event) == create, F.lit(False))
+    ends = F.coalesce(F.col(event) == pay, F.lit(False))
+    # A bucket's creations may be paid in the next one; all rows move the watermark.
+    copies = F.when(ends, F.array(own, own - 1)).otherwise(F.array(own))
+    rows = df.select(
+        F.col(order_id).alias("key"), us.alias("us"), F.col(seq).cast("long").alias("seq"), own.alias("own"),
+        begins.alias("begins"), ends.alias("ends"), F.explode(copies).alias("bucket"),
+    ).withColumn("begins", F.col("begins") & (F.col("bucket") == F.col("own")))
     found = _run(
-        _input(df, order_id, ts, seq, stages, unit), order_id, FollowedBy(duration_us(within)),
-        f"key {_key_type(df, order_id)}, status STRING, create_us BIGINT, pay_us BIGINT, deadline_us BIGINT", lateness,
+        rows, ["key", "bucket"], FollowedBy(limit),
+        f"key {_type(df, order_id)}, status STRING, create_us BIGINT, pay_us BIGINT, deadline_us BIGINT", lateness,
     )
     deadline = F.timestamp_micros("deadline_us")
     late_text = F.concat(F.lit(TIMEOUT_PREFIX), deadline.cast("string"))
@@ -246,10 +311,12 @@ def rising_alarms(
     lateness: str = "0 seconds", unit: str = "s",
 ) -> DataFrame:
     """``key, alarm_ts, alarm_msg``; readings without a value only move the watermark."""
-    reading = F.col(value).cast("double").cast("string")
+    rows = df.select(
+        F.col(key).alias("key"), to_us(df, ts, unit).alias("us"), F.col(seq).cast("long").alias("seq"),
+        F.col(value).cast("double").alias("x"),
+    )
     found = _run(
-        _input(df, key, ts, seq, reading, unit), key, RisingAlarm(duration_us(horizon)),
-        f"key {_key_type(df, key)}, alarm_us BIGINT", lateness,
+        rows, ["key"], RisingAlarm(duration_us(horizon)), f"key {_type(df, key)}, alarm_us BIGINT", lateness
     )
     return found.select(
         F.col("key").alias(key), F.timestamp_micros("alarm_us").alias("alarm_ts"),

@@ -35,7 +35,7 @@ def compare(spark, con, name, query, sql, folder):
     got = rows_of(arrow.column_names, zip(*[c.to_pylist() for c in arrow.columns]))
     if sql is None:
         return None, len(got), took
-    twin = con.sql(sql).fetch_arrow_table()
+    twin = con.sql(sql).to_arrow_table()
     if sorted(arrow.column_names) != sorted(twin.column_names):
         raise AssertionError(f"{name}: columns {arrow.column_names} / {twin.column_names}")
     kinds = {c: str(twin.schema.field(c).type) for c in twin.column_names}
