@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -53,10 +54,14 @@ def at(seconds):
 EVENTS = "k LONG, kind STRING, ts TIMESTAMP, seq LONG, x DOUBLE"
 
 
-def random_events(n=180):
+def random_events(n=100):
     """In time order, so no split into micro-batches makes a row late."""
-    kinds = ["fail", "ok", "create", "pay"]
-    return [((i * 31) % 4, kinds[(i * i + i // 3) % 4], at(i * 2 + (i % 3)), i, float((i * 37) % 23)) for i in range(n)]
+    rng, now, rows = random.Random(11), 0, []
+    for i in range(n):
+        now += rng.randint(1, 4)
+        kind = rng.choice(["fail", "fail", "ok", "create", "pay"])
+        rows.append((rng.randint(0, 2), kind, at(now), i, float(rng.randint(-2, 20))))
+    return rows
 
 
 def marker():
