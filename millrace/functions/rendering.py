@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.times import MILLI_US, to_us
+from millrace.functions.times import from_us, to_us
 
 # Texts that consumers of the reports and records match on.
 RULE = "==================================\n"
@@ -75,10 +75,10 @@ def item_report(
 
 def visit_report(
     top: DataFrame, window_end: str = "window_end", key: str = "mid",
-    cnt: str = "cnt", rank: str = "rank",
+    cnt: str = "cnt", rank: str = "rank", unit: str = "ms",
 ) -> DataFrame:
     """The ranking of each window as a text block of records."""
-    millis = F.floor(to_us(top, window_end, "ms") / F.lit(MILLI_US)).cast("string")
+    millis = from_us(to_us(top, window_end, unit), T.LongType(), "ms").cast("string")
     line = F.concat(
         F.lit("No."), F.col(rank).cast("string"), F.lit("WindowKeyTime("), millis, F.lit(","),
         F.trim(F.col(key).cast("string")), F.lit(","), F.col(cnt).cast("string"), F.lit(")\n"),

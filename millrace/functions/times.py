@@ -60,7 +60,20 @@ def from_us(us: Column, kind: T.DataType, unit: str = "s") -> Column:
         return F.timestamp_micros(us)
     if isinstance(kind, T.TimestampNTZType):
         return F.timestamp_add("MICROSECOND", us, F.expr(_NTZ_EPOCH))
-    return F.floor(us / F.lit(_NUMBER_US[unit])).cast("long") if unit != "us" else us
+    width = _NUMBER_US[unit]
+    return us if width == 1 else F.call_function("div", floor_to(us, width), F.lit(width))
+
+
+def series(first: Column, last: Column, step: int, kind: T.DataType, unit: str = "s") -> Column:
+    """Times from ``first`` to ``last`` (microseconds) by ``step``, as an array of ``kind``.
+
+    Timestamps are converted at both ends only, not one by one.
+    """
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        by = F.lit(dt.timedelta(microseconds=step))
+        return F.sequence(from_us(first, kind), from_us(last, kind), by)
+    times = F.sequence(first, last, F.lit(step))
+    return times if unit == "us" else F.transform(times, lambda us: from_us(us, kind, unit))
 
 
 def floor_to(us: Column, step: int) -> Column:

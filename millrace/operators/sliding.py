@@ -8,37 +8,42 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.times import duration_us, from_us, to_us
-from millrace.plans.panes import FIRST_START, PANE, WINDOW_START, Panes
+from millrace.functions.times import duration_us, from_us, series, to_us
+from millrace.plans.panes import FIRST_START, PANE, RUN_FROM, RUN_TO, WINDOW_START, Panes
 
+WINDOW_END = "window_end"
 
-def _with_bounds(
-    windows: DataFrame, source: DataFrame, keys: list[str], ts: str, unit: str, size: int, values: list[Column | str]
+
+def _totals(
+    df: DataFrame, keys: Sequence[str], ts: str, size: str, slide: str, sums: dict[str, Column],
+    watermark: str | None, unit: str,
 ) -> DataFrame:
-    kind: T.DataType = source.schema[ts].dataType
-    start = F.col(WINDOW_START)
-    return windows.select(
-        *keys,
-        from_us(start, kind, unit).alias("window_start"),
-        from_us(start + F.lit(size), kind, unit).alias("window_end"),
-        *values,
-    )
+    """Windows of sums over rows; the first sum must be a row count."""
+    keys, panes, kind = list(keys), Panes(duration_us(size), duration_us(slide)), df.schema[ts].dataType
+    tagged = panes.tag(df, to_us(df, ts, unit), None if watermark is None else F.col(watermark))
+    partial = tagged.groupBy(*keys, PANE, FIRST_START).agg(*[c.alias(n) for n, c in sums.items()])
+    runs = panes.totals(partial, keys, list(sums))
+    ends = series(F.col(RUN_FROM) + F.lit(panes.size), F.col(RUN_TO) + F.lit(panes.size), panes.slide, kind, unit)
+    return runs.select(*keys, F.explode(ends).alias(WINDOW_END), *sums)
+
+
+def with_window_start(windows: DataFrame, size: str, unit: str = "s") -> DataFrame:
+    """Adds ``window_start``, the first instant of a window of ``size``."""
+    start = to_us(windows, WINDOW_END, unit) - F.lit(duration_us(size))
+    return windows.withColumn("window_start", from_us(start, windows.schema[WINDOW_END].dataType, unit))
 
 
 def sliding_count(
     df: DataFrame, keys: Sequence[str], ts: str, size: str, slide: str,
     watermark: str | None = None, unit: str = "s",
 ) -> DataFrame:
-    """``keys, window_start, window_end, cnt`` of every window with rows.
+    """``keys, window_end, cnt`` of every window with rows; the end is not part of the window.
 
     ``watermark`` names a column of microseconds (see
     :mod:`millrace.operators.lateness`); a row then counts only in windows its
     watermark has not closed.
     """
-    keys, panes = list(keys), Panes(duration_us(size), duration_us(slide))
-    tagged = panes.tag(df, to_us(df, ts, unit), None if watermark is None else F.col(watermark))
-    counts = tagged.groupBy(*keys, PANE, FIRST_START).agg(F.count(F.lit(1)).alias("cnt"))
-    return _with_bounds(panes.totals(counts, keys, ["cnt"]), df, keys, ts, unit, panes.size, ["cnt"])
+    return _totals(df, keys, ts, size, slide, {"cnt": F.count(F.lit(1))}, watermark, unit)
 
 
 def sliding_sum(
@@ -46,16 +51,11 @@ def sliding_sum(
     watermark: str | None = None, unit: str = "s",
 ) -> DataFrame:
     """Row count ``cnt`` and sums of whole-number columns, ``{result name: column}``."""
-    keys, panes = list(keys), Panes(duration_us(size), duration_us(slide))
     for column in sums.values():
         if not isinstance(df.schema[column].dataType, (T.IntegralType, T.DecimalType)):
             raise TypeError(f"{column}: running totals need exact numbers")
-    tagged = panes.tag(df, to_us(df, ts, unit), None if watermark is None else F.col(watermark))
-    partial = tagged.groupBy(*keys, PANE, FIRST_START).agg(
-        F.count(F.lit(1)).alias("cnt"), *[F.coalesce(F.sum(c), F.lit(0)).alias(n) for n, c in sums.items()]
-    )
-    names = ["cnt", *sums]
-    return _with_bounds(panes.totals(partial, keys, names), df, keys, ts, unit, panes.size, names)
+    totals = {n: F.coalesce(F.sum(c), F.lit(0)) for n, c in sums.items()}
+    return _totals(df, keys, ts, size, slide, {"cnt": F.count(F.lit(1)), **totals}, watermark, unit)
 
 
 def sliding_reduce(
@@ -70,7 +70,8 @@ def sliding_reduce(
     keys, panes = list(keys), Panes(duration_us(size), duration_us(slide))
     tagged = panes.tag(df, to_us(df, ts, unit), None if watermark is None else F.col(watermark))
     parts = tagged.groupBy(*keys, PANE, FIRST_START).agg(*[c.alias(n) for n, c in partial.items()])
-    return _with_bounds(panes.merged(parts, keys, merge), df, keys, ts, unit, panes.size, list(merge))
+    end = from_us(F.col(WINDOW_START) + F.lit(panes.size), df.schema[ts].dataType, unit)
+    return panes.merged(parts, keys, merge).select(*keys, end.alias(WINDOW_END), *merge)
 
 
 def sliding_min_record(
@@ -88,5 +89,5 @@ def sliding_min_record(
         df, keys, ts, size, slide, {"record": F.min(ranked)}, {"record": F.min("record")}, watermark, unit
     )
     return least.select(
-        *keys, "window_start", "window_end", *[F.col(f"record.{c}").alias(c) for c in (value, *extra)]
+        *keys, WINDOW_END, *[F.col(f"record.{c}").alias(c) for c in (value, *extra)]
     )

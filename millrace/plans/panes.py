@@ -20,6 +20,7 @@ from millrace.functions.times import MILLI_US, floor_to
 PANE = "__pane"
 FIRST_START = "__first_start"
 WINDOW_START = "__window_start"
+RUN_FROM, RUN_TO = "__run_from", "__run_to"
 _BLOCK = "__block"
 
 
@@ -87,9 +88,10 @@ class Panes:
     def totals(self, panes: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
         """Sums and counts: a pane adds at its first window and subtracts after its last.
 
-        The running total changes at these steps only; each run of equal windows
-        is written out once, so the work is that of the result, not of
-        panes times windows. The first of ``columns`` must be a row count.
+        The running total changes at these steps only. One row comes out per run
+        of equal windows, with the starts of its first and last window, so the
+        work is that of the result, not of panes times windows. The first of
+        ``columns`` must be a row count.
         """
         end = F.col(_BLOCK) + F.lit(self.block)
         lo = F.greatest(FIRST_START, _BLOCK)
@@ -106,9 +108,7 @@ class Panes:
             .agg(*[F.sum(f"{steps}.{c}").alias(c) for c in columns])
         )
         walk = Window.partitionBy(*keys, _BLOCK).orderBy(at)
-        running = changes.select(
-            *keys, at, F.lead(at).over(walk).alias("__until"),
+        return changes.select(
+            *keys, F.col(at).alias(RUN_FROM), (F.lead(at).over(walk) - F.lit(self.slide)).alias(RUN_TO),
             *[F.sum(c).over(walk).alias(c) for c in columns],
         ).filter(F.col(columns[0]) > 0)
-        starts = F.sequence(F.col(at), F.col("__until") - F.lit(self.slide), F.lit(self.slide))
-        return running.select(*keys, F.explode(starts).alias(WINDOW_START), *columns)

@@ -11,10 +11,11 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions import parsing, rendering
 from millrace.functions.text import not_empty
-from millrace.functions.times import SECOND_US, to_us
+from millrace.functions.times import SECOND_US, from_us, to_us
 from millrace.operators import alarms, lateness, patterns, ranking, routing, sliding, words
 from millrace.session import scratch_path
 from millrace.sinks.fanout import fan_out
@@ -44,16 +45,22 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 def _seconds(df: DataFrame, *columns: str) -> DataFrame:
     for c in columns:
-        df = df.withColumn(c, (to_us(df, c) / F.lit(SECOND_US)).cast("long")).withColumnRenamed(c, f"{c}_s")
+        df = df.withColumn(c, from_us(to_us(df, c, "us"), T.LongType(), "s")).withColumnRenamed(c, f"{c}_s")
     return df
 
 
 def _micros(df: DataFrame, *columns: str) -> DataFrame:
     for c in columns:
-        df = df.withColumn(c, to_us(df, c)).withColumnRenamed(c, f"{c}_us")
+        df = df.withColumn(c, to_us(df, c, "us")).withColumnRenamed(c, f"{c}_us")
     return df
 
 
+def _timed(spark: SparkSession, sf: str) -> DataFrame:
+    """Events with ``ts`` in microseconds: converted once per event, not once per window."""
+    events = table(spark, sf, "events")
+    return events.withColumn("ts", to_us(events, "ts"))
+
+
 # --- words ---------------------------------------------------------------
 
 _WS = r"[ \t\n\x0B\f\r]"
@@ -115,15 +122,16 @@ WHERE rank <= 3"""
 
 
 def _views(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "events").filter(F.col("event_type") == "view")
+    return _timed(spark, sf).filter(F.col("event_type") == "view")
 
 
 def _item_counts(df: DataFrame) -> DataFrame:
-    return sliding.sliding_count(df.withColumnRenamed("user_id", "item_id"), ["item_id"], "ts", "60 minutes", "5 minutes")
+    clicks = df.withColumnRenamed("user_id", "item_id")
+    return sliding.sliding_count(clicks, ["item_id"], "ts", "60 minutes", "5 minutes", unit="us")
 
 
 def _ranking(top: DataFrame) -> DataFrame:
-    return _seconds(top.drop("window_start"), "window_end").withColumn("rank", F.col("rank").cast("long"))
+    return _seconds(top, "window_end").withColumn("rank", F.col("rank").cast("long"))
 
 
 _VIEW_ROWS = _window_rows(300, 3600, "event_type = 'view'")
@@ -135,8 +143,8 @@ SELECT user_id, window_end_s, count(*) AS cnt
 FROM ({_window_rows(5, 3600, "event_type = 'view'")}) GROUP BY ALL
 """)
 def sliding_count_5s(spark: SparkSession, sf: str) -> DataFrame:
-    counts = sliding.sliding_count(_views(spark, sf), ["user_id"], "ts", "60 minutes", "5 seconds")
-    return _seconds(counts.drop("window_start"), "window_end")
+    counts = sliding.sliding_count(_views(spark, sf), ["user_id"], "ts", "60 minutes", "5 seconds", unit="us")
+    return _seconds(counts, "window_end")
 
 
 @query(_top3(_VIEW_ROWS))
@@ -146,8 +154,8 @@ def hot_items_topn(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(_top3(_VISIT_ROWS).replace("item_id", "mid"))
 def visit_topn(spark: SparkSession, sf: str) -> DataFrame:
-    visits = table(spark, sf, "events").withColumnRenamed("user_id", "mid")
-    counts = sliding.sliding_count(visits, ["mid"], "ts", "60 minutes", "5 minutes")
+    visits = _timed(spark, sf).withColumnRenamed("user_id", "mid")
+    counts = sliding.sliding_count(visits, ["mid"], "ts", "60 minutes", "5 minutes", unit="us")
     return _ranking(ranking.top_n(counts, 3, tie=["mid"]))
 
 
@@ -162,9 +170,9 @@ _MIN_ROWS = _window_rows(3600, 21600, columns=", value, event_id, epoch_us(ts) A
 @query(_MIN_RECORD.format(rows=_MIN_ROWS))
 def sliding_min_record(spark: SparkSession, sf: str) -> DataFrame:
     least = sliding.sliding_min_record(
-        table(spark, sf, "events"), ["user_id"], "ts", "6 hours", "1 hour", "value", ["event_id"], ["event_id", "ts"]
+        _timed(spark, sf), ["user_id"], "ts", "6 hours", "1 hour", "value", ["event_id"], ["event_id", "ts"], unit="us"
     )
-    return _micros(_seconds(least.drop("window_start"), "window_end"), "ts")
+    return _micros(_seconds(least, "window_end"), "ts")
 
 
 @query("""
@@ -179,9 +187,9 @@ GROUP BY ALL
 def sliding_sum_uneven(spark: SparkSession, sf: str) -> DataFrame:
     """A size that is no multiple of the slide: panes are their greatest common divisor."""
     sums = sliding.sliding_sum(
-        table(spark, sf, "events"), ["user_id"], "ts", "25 minutes", "10 minutes", {"id_sum": "event_id"}
+        _timed(spark, sf), ["user_id"], "ts", "25 minutes", "10 minutes", {"id_sum": "event_id"}, unit="us"
     )
-    return _seconds(sums.drop("window_start"), "window_end")
+    return _seconds(sums, "window_end")
 
 
 _REPORT_HEAD = rendering.RULE.strip()
@@ -197,8 +205,9 @@ SELECT window_end_s,
 FROM ({_top3(_VIEW_ROWS)}) GROUP BY window_end_s
 """)
 def topn_report(spark: SparkSession, sf: str) -> DataFrame:
-    top = ranking.top_n(_item_counts(_views(spark, sf)), 3)
-    return _seconds(rendering.item_report(top), "window_end")
+    clicks = table(spark, sf, "events").filter(F.col("event_type") == "view").withColumnRenamed("user_id", "item_id")
+    counts = sliding.sliding_count(clicks, ["item_id"], "ts", "60 minutes", "5 minutes")
+    return _seconds(rendering.item_report(ranking.top_n(counts, 3)), "window_end")
 
 
 @query(f"""
@@ -210,8 +219,8 @@ SELECT window_end_s,
 FROM ({_top3(_VISIT_ROWS)}) GROUP BY window_end_s
 """)
 def visit_report(spark: SparkSession, sf: str) -> DataFrame:
-    top = ranking.top_n(_item_counts(table(spark, sf, "events")), 3)
-    return _seconds(rendering.visit_report(top, key="item_id"), "window_end")
+    top = ranking.top_n(_item_counts(_timed(spark, sf)), 3)
+    return _seconds(rendering.visit_report(top, key="item_id", unit="us"), "window_end")
 
 
 # --- patterns -------------------------------------------------------------
@@ -513,9 +522,8 @@ _ARRIVAL_SQL = f"epoch_us(ts) + ((event_id * 7919) % {_DELAY_S}) * {SECOND_US}"
 
 
 def _arrivals(spark: SparkSession, sf: str) -> DataFrame:
-    events = table(spark, sf, "events")
     delay = (F.col("event_id") * 7919) % _DELAY_S
-    return events.withColumn("arrival_us", to_us(events, "ts") + delay * F.lit(SECOND_US))
+    return _timed(spark, sf).withColumn("arrival_us", F.col("ts") + delay * F.lit(SECOND_US))
 
 
 def _marked_sql(seen: str) -> str:
@@ -542,9 +550,9 @@ _CONTROL_SQL = "CASE WHEN event_type = 'signup' AND user_id % 15 = 0 THEN epoch_
 SELECT user_id, window_end_s, count(*) AS cnt FROM ({_kept_sql(_BOUNDED_SQL)}) GROUP BY ALL
 """)
 def drop_late(spark: SparkSession, sf: str) -> DataFrame:
-    marked = lateness.bounded_watermark(_arrivals(spark, sf), ["arrival_us", "event_id"], "ts", "10 minutes")
-    counts = sliding.sliding_count(marked, ["user_id"], "ts", "2 hours", "30 minutes", lateness.WATERMARK)
-    return _seconds(counts.drop("window_start"), "window_end")
+    marked = lateness.bounded_watermark(_arrivals(spark, sf), ["arrival_us", "event_id"], "ts", "10 minutes", "us")
+    counts = sliding.sliding_count(marked, ["user_id"], "ts", "2 hours", "30 minutes", lateness.WATERMARK, "us")
+    return _seconds(counts, "window_end")
 
 
 @query(f"""
@@ -553,8 +561,8 @@ WHERE (us // 1800000000) * 1800000000 + 1800000000 - 1000 <= watermark_us
 """)
 def late_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Rows too late for their only window of 30 minutes, if the source is taken to be in order."""
-    marked = lateness.ascending_watermark(_arrivals(spark, sf), ["arrival_us", "event_id"], "ts")
-    late = lateness.late_rows(marked, "ts", "30 minutes", "30 minutes")
+    marked = lateness.ascending_watermark(_arrivals(spark, sf), ["arrival_us", "event_id"], "ts", "us")
+    late = lateness.late_rows(marked, "ts", "30 minutes", "30 minutes", "us")
     return _micros(late.select("event_id", "user_id", "ts", lateness.WATERMARK), "ts")
 
 
@@ -567,11 +575,12 @@ WHERE place = 1
 def punctuated_late(spark: SparkSession, sf: str) -> DataFrame:
     """Least records per window, with a watermark moved by some signups only."""
     control = (F.col("event_type") == "signup") & (F.col("user_id") % 15 == 0)
-    marked = lateness.punctuated_watermark(_arrivals(spark, sf), ["arrival_us", "event_id"], "ts", control)
+    marked = lateness.punctuated_watermark(_arrivals(spark, sf), ["arrival_us", "event_id"], "ts", control, "us")
     least = sliding.sliding_min_record(
-        marked, ["user_id"], "ts", "2 hours", "30 minutes", "value", ["event_id"], ["event_id", "ts"], lateness.WATERMARK
+        marked, ["user_id"], "ts", "2 hours", "30 minutes", "value", ["event_id"], ["event_id", "ts"],
+        lateness.WATERMARK, "us",
     )
-    return _micros(_seconds(least.drop("window_start"), "window_end"), "ts")
+    return _micros(_seconds(least, "window_end"), "ts")
 
 
 # --- the same on streams ---------------------------------------------------------
@@ -619,7 +628,7 @@ def stream_sliding_min_record(spark: SparkSession, sf: str) -> DataFrame:
 @query(ORACLES["fail_streak_keyed"])
 def stream_fail_streak(spark: SparkSession, sf: str) -> DataFrame:
     found = stateful.fail_streaks(
-        _event_stream(spark, sf), "ts", "event_id", fail="error", within="4 hours", bucket="1 day"
+        _event_stream(spark, sf), "ts", "event_id", fail="error", within="4 hours", bucket="10 days"
     )
     return _micros(_finished(found, "fail-streak"), "first_time", "last_fail_time")
 
@@ -637,7 +646,7 @@ def stream_fail_next_global(spark: SparkSession, sf: str) -> DataFrame:
 def stream_order_results(spark: SparkSession, sf: str) -> DataFrame:
     found = stateful.order_results(
         _event_stream(spark, sf), "ts", "event_id", "user_id", create="click", pay="purchase", within="12 hours",
-        bucket="3 days",
+        bucket="10 days",
     )
     paid = F.when(F.col("status") == patterns.MATCHED, F.col("result_msg"))
     return _micros(_finished(found, "orders").withColumn("result_msg", paid), "create_ts", "pay_ts", "deadline")

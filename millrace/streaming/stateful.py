@@ -55,8 +55,8 @@ class OrderedMachine(StatefulProcessor):
         self.fields = [f.split()[0] for f in self.payload.split(", ")]
         members = ", ".join(f.replace(" ", ": ") for f in self.payload.split(", "))
         self.waiting = handle.getMapState("waiting", "slice BIGINT", f"rows ARRAY<STRUCT<{members}>>")
-        self.machine = handle.getValueState("machine", self.memory)
-        self.wakeup = handle.getValueState("wakeup", "at BIGINT")
+        # The machine's state and its timer share one value: every access is a call to the JVM.
+        self.machine = handle.getValueState("machine", f"{self.memory}, wakeup BIGINT")
 
     def advance(self, key: tuple, state: tuple, row: tuple) -> tuple[tuple, list[Row]]:
         """The state after one row, and what it emits."""
@@ -71,25 +71,34 @@ class OrderedMachine(StatefulProcessor):
         return None
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+        held = self.machine.get()
+        *state, wakeup = held or (*self.blank, None)
+        known = held is not None
         first = None
         for part in batched(rows, _APPEND_ROWS):
             slices = defaultdict(list)
             for row in part:
                 slices[row["us"] // self.slice].append(tuple(row[f] for f in self.fields))
             for at, arrived in slices.items():
-                self.waiting.updateValue((at,), (self._slice(at) + arrived,))
+                self.waiting.updateValue((at,), ((self._slice(at) if known else []) + arrived,))
+            known = True
             least = min(row["us"] for row in part)
             first = least if first is None else min(first, least)
-        if first is not None:
-            self._wake_by(first // MILLI_US + 1)
+        due = first // MILLI_US + 1
+        if wakeup is None or due < wakeup:
+            if wakeup is not None:
+                self.handle.deleteTimer(wakeup)
+            self.handle.registerTimer(due)
+            self.machine.update((*state, due))
         return iter(())
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
         watermark = timerValues.getCurrentWatermarkInMs() * MILLI_US
-        self.wakeup.clear()
         key = tuple(key)
-        state = tuple(self.machine.get()) if self.machine.exists() else self.blank
+        *state, _ = self.machine.get()
+        state = tuple(state)
         instants = []
+        spent = []
         for at in sorted(k[0] for k in self.waiting.keys()):
             if at * self.slice >= watermark:
                 instants.append(at * self.slice)
@@ -104,31 +113,28 @@ class OrderedMachine(StatefulProcessor):
                 self.waiting.updateValue((at,), (rest,))
                 instants.append(rest[0][0])
                 break
-            self.waiting.removeKey((at,))
+            spent.append(at)
+        if instants:
+            for at in spent:
+                self.waiting.removeKey((at,))
+        else:
+            self.waiting.clear()
         state, emitted = self.expire(key, state, watermark)
         yield from emitted
-        if state == self.blank:
+        if state != self.blank and (due := self.deadline(key, state)) is not None:
+            instants.append(due)
+        if instants:
+            wakeup = min(instants) // MILLI_US + 1
+            self.handle.registerTimer(wakeup)
+            self.machine.update((*state, wakeup))
+        elif state == self.blank:
             self.machine.clear()
         else:
-            self.machine.update(state)
-            if (due := self.deadline(key, state)) is not None:
-                instants.append(due)
-        if instants:
-            self._wake_by(min(instants) // MILLI_US + 1)
+            self.machine.update((*state, None))
 
     def _slice(self, at: int) -> list[tuple]:
-        if not self.waiting.containsKey((at,)):
-            return []
-        return [tuple(row) for row in self.waiting.getValue((at,))[0]]
-
-    def _wake_by(self, at: int) -> None:
-        set_for = self.wakeup.get()[0] if self.wakeup.exists() else None
-        if set_for is not None and set_for <= at:
-            return
-        if set_for is not None:
-            self.handle.deleteTimer(set_for)
-        self.handle.registerTimer(at)
-        self.wakeup.update((at,))
+        found = self.waiting.getValue((at,))
+        return [tuple(row) for row in found[0]] if found else []
 
     def close(self) -> None:
         pass

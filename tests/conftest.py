@@ -16,7 +16,7 @@ TESTDATA = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(cores=8, partitions=4, app="millrace-tests")
+    session = local_session(cores=8, partitions=2, app="millrace-tests")
     yield session
     session.stop()
 
