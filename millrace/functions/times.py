@@ -48,7 +48,12 @@ def to_us(df: DataFrame, column: str, unit: str = "s") -> Column:
     if isinstance(kind, T.TimestampType):
         return F.unix_micros(column)
     if isinstance(kind, T.TimestampNTZType):
-        return F.timestamp_diff("MICROSECOND", F.expr(_NTZ_EPOCH), F.col(column))
+        # Differences of zone-free times are exact in every session time zone,
+        # which conversions by way of TIMESTAMP are not.
+        since = F.col(column) - F.expr(_NTZ_EPOCH)
+        parts = {"DAY": 86_400 * SECOND_US, "HOUR": 3_600 * SECOND_US, "MINUTE": 60 * SECOND_US}
+        whole = sum((F.extract(F.lit(p), since).cast("long") * F.lit(us) for p, us in parts.items()), F.lit(0))
+        return whole + (F.extract(F.lit("SECOND"), since) * F.lit(SECOND_US)).cast("long")
     if isinstance(kind, T.IntegralType):
         return F.col(column).cast("long") * F.lit(_NUMBER_US[unit])
     raise TypeError(f"{column}: {kind.simpleString()} is not a time")

@@ -42,17 +42,16 @@ def split_hot(
 ) -> tuple[DataFrame | None, DataFrame | None]:
     """``df`` as (rows of ordinary keys, rows of hot keys with HOT and CHUNK columns).
 
-    A key is hot above ``max(rows_per_group, rows / MAX_CHUNKS)`` rows, so there
-    are fewer than MAX_CHUNKS hot keys: a bound on what is collected and broadcast.
+    Hot are the MAX_CHUNKS longest keys of those above ``rows_per_group`` rows: a
+    bound on what is collected and broadcast. A key left out is shorter than each
+    of these, so it has less than a MAX_CHUNKS-th of all rows.
     """
-    keys = list(keys)
-    rows = df.count()
-    limit = max(rows_per_group or ROWS_PER_GROUP, -(-rows // MAX_CHUNKS))
-    if rows <= limit:
-        return df, None
+    keys, limit = list(keys), rows_per_group or ROWS_PER_GROUP
     if not keys:
-        return None, _with_chunk(df.withColumn(HOT, F.lit(0)), order[0], rows, limit)
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > limit).collect()
+        rows = df.count()
+        return (df, None) if rows <= limit else (None, _with_chunk(df.withColumn(HOT, F.lit(0)), order[0], rows, limit))
+    lengths = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    counts = lengths.filter(F.col("__n") > limit).orderBy(F.desc("__n")).limit(MAX_CHUNKS).collect()
     if not counts:
         return df, None
     schema = T.StructType(

@@ -56,12 +56,14 @@ class Panes:
         return floor_to(watermark + F.lit(MILLI_US - self.size), self.slide) + F.lit(self.slide)
 
     def tag(self, df: DataFrame, us: Column, watermark: Column | None = None) -> DataFrame:
-        """Adds pane and first open window start; rows too late for every window go."""
-        tagged = df.withColumn(PANE, self.pane(us))
+        """Adds pane and first open window start; rows that are in no open window go."""
+        tagged = df.withColumn(PANE, self.pane(us)).filter(F.col(PANE).isNotNull())
         first = self.first_start(F.col(PANE))
         if watermark is not None:
             first = F.greatest(first, self.first_open_start(watermark))
         tagged = tagged.withColumn(FIRST_START, first)
+        if watermark is None and self.size >= self.slide:
+            return tagged
         return tagged.filter(F.col(FIRST_START) <= self.last_start(F.col(PANE)))
 
     def spread(self, panes: DataFrame, keys: list[str]) -> DataFrame:

@@ -22,11 +22,19 @@ from millrace.sinks.files import start_batches
 WINDOW_END = "window_end"
 
 
-def with_window_ends(df: DataFrame, ts: str, size: str, slide: str, lateness: str, unit: str = "s") -> DataFrame:
-    """One row per window of each row, with the watermark on ``window_end``."""
+def with_window_ends(
+    df: DataFrame, ts: str, size: str, slide: str, lateness: str, where: Column | None = None, unit: str = "s"
+) -> DataFrame:
+    """One row per window of each row, with the watermark on ``window_end``.
+
+    Rows that do not meet ``where`` only get their last window: enough to move
+    the watermark as far as with all of them.
+    """
     panes = Panes(duration_us(size), duration_us(slide))
     pane = panes.pane(to_us(df, ts, unit))
     first, last = panes.first_start(pane), panes.last_start(pane)
+    if where is not None:
+        first = F.when(where, first).otherwise(last)
     starts = F.when(first <= last, F.sequence(first, last, F.lit(panes.slide)))
     ends = F.transform(starts, lambda s: F.timestamp_micros(s + F.lit(panes.size)))
     exploded = df.withColumn(WINDOW_END, F.explode(ends))
@@ -38,9 +46,13 @@ def sliding_count(
     where: Column | None = None, lateness: str = "0 seconds", unit: str = "s",
 ) -> DataFrame:
     """``keys, window_end, cnt`` of the rows that meet ``where``."""
-    counted = F.lit(True) if where is None else where
-    windows = with_window_ends(df, ts, size, slide, lateness, unit)
-    return windows.groupBy(*keys, WINDOW_END).agg(F.count_if(counted).alias("cnt")).filter(F.col("cnt") > 0)
+    counted = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
+    marked = df.withColumn("__counted", counted)
+    # Other rows share one group without a key: no state per key for them.
+    for k in keys:
+        marked = marked.withColumn(k, F.when(F.col("__counted"), F.col(k)))
+    windows = with_window_ends(marked, ts, size, slide, lateness, F.col("__counted"), unit)
+    return windows.groupBy(*keys, WINDOW_END).agg(F.count_if("__counted").alias("cnt")).filter(F.col("cnt") > 0)
 
 
 def sliding_min_record(
@@ -50,7 +62,7 @@ def sliding_min_record(
     """The record with the least ``value`` of every window, ties by ``tie``."""
     extra = [c for c in columns if c != value]
     ranked = F.struct(value, *tie, *[c for c in extra if c not in tie])
-    windows = with_window_ends(df, ts, size, slide, lateness, unit)
+    windows = with_window_ends(df, ts, size, slide, lateness, unit=unit)
     least = windows.groupBy(*keys, WINDOW_END).agg(F.min(F.when(F.col(value).isNotNull(), ranked)).alias("record"))
     return least.filter(F.col("record").isNotNull()).select(
         *keys, WINDOW_END, *[F.col(f"record.{c}").alias(c) for c in (value, *extra)]

@@ -88,3 +88,17 @@ def test_ascending_watermark_is_a_millisecond_behind(make):
     rows = make([("x", 5), ("x", 4), ("x", 9)], "id STRING, t LONG")
     marked = lateness.ascending_watermark(rows, ["seq"], "t")
     assert [r[WATERMARK] for r in marked.orderBy("seq").collect()] == [None, 4_999_000, 4_999_000]
+
+
+def test_zone_free_times_do_not_depend_on_the_session_zone(spark, rows_of):
+    """02:30 does not exist on that day in that zone, yet it is a time like any other."""
+    sql = "SELECT 'a' AS k, TIMESTAMP_NTZ'2024-03-10 02:30:00.5' AS ts UNION ALL SELECT 'a', TIMESTAMP_NTZ'1960-07-01 00:00:00.000001'"
+    want = [("a", 1710037805), ("a", -299894395)]
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        counts = sliding.sliding_count(spark.sql(sql), ["k"], "ts", "5 seconds", "5 seconds")
+        ends = counts.select("k", F.expr("window_end - TIMESTAMP_NTZ'1970-01-01 00:00:00'").alias("since"))
+        assert sorted((r.k, int(r.since.total_seconds())) for r in ends.collect()) == sorted(want)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
