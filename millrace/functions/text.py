@@ -21,7 +21,7 @@ def java_split(line: Column, separator: str) -> Column:
     if separator in _SINGLE_CHARACTERS:
         body = F.rtrim(line, F.lit(_SINGLE_CHARACTERS[separator]))
     else:
-        body = F.regexp_replace(line, f"(?:{separator})+$", "")
+        body = F.regexp_replace(line, rf"(?:{separator})+\z", "")
     fields = F.split(body, separator)
     return (
         F.when(line == "", F.array(F.lit("")))
