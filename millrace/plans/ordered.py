@@ -2,7 +2,7 @@
 
 ``Window.partitionBy(key)`` puts all rows of a key in one task. Here a key with
 more rows than a task should sort (a *hot* key) is cut into chunks along the
-order column. Chunk borders are quantiles of a sample, so a burst in time is
+order columns. Chunk borders are quantiles of a sample, so a burst in time is
 cut as well. Every scan then has three steps:
 
 1. a window inside each (hot key, chunk);
@@ -18,6 +18,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from functools import reduce
+from itertools import takewhile
+from math import inf, nextafter
 from operator import and_
 
 from pyspark.ml.feature import Bucketizer
@@ -49,7 +51,7 @@ def split_hot(
     keys, limit = list(keys), rows_per_group or ROWS_PER_GROUP
     if not keys:
         rows = df.count()
-        return (df, None) if rows <= limit else (None, _with_chunk(df.withColumn(HOT, F.lit(0)), order[0], rows, limit))
+        return (df, None) if rows <= limit else (None, _with_chunk(df.withColumn(HOT, F.lit(0)), order, rows, limit))
     lengths = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     counts = lengths.filter(F.col("__n") > limit).orderBy(F.desc("__n")).limit(MAX_CHUNKS).collect()
     if not counts:
@@ -62,7 +64,7 @@ def split_hot(
     same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__key{i}")) for i, k in enumerate(keys)])
     light = df.join(F.broadcast(hot), same, "left_anti")
     heavy = df.join(F.broadcast(hot), same).drop(*[f"__key{i}" for i in range(len(keys))])
-    return light, _with_chunk(heavy, order[0], sum(row["__n"] for row in counts), limit)
+    return light, _with_chunk(heavy, order, sum(row["__n"] for row in counts), limit)
 
 
 def _position(df: DataFrame, column: str) -> Column:
@@ -73,23 +75,56 @@ def _position(df: DataFrame, column: str) -> Column:
     return F.col(column).cast("double")
 
 
-def _with_chunk(heavy: DataFrame, column: str, rows: int, limit: int) -> DataFrame:
+def _borders(values: list[float], parts: int) -> list[float]:
+    """The values that cut a sorted sample into ``parts``; a value may come several times."""
+    return [values[i * len(values) // parts] for i in range(1, parts)] if values else []
+
+
+def _bucketed(df: DataFrame, position: str, borders: list[float], name: str) -> DataFrame:
+    if not borders:
+        return df.withColumn(name, F.lit(0))
+    splits = [float("-inf"), *borders, float("inf")]
+    cut = Bucketizer(splits=splits, inputCol=position, outputCol="__bucket", handleInvalid="keep")
+    # NULLs sort first, hence they belong to the first bucket.
+    bucket = F.when(F.col(position).isNull(), F.lit(0)).otherwise(F.col("__bucket").cast("int"))
+    return cut.transform(df).withColumn(name, bucket).drop("__bucket")
+
+
+def _with_chunk(heavy: DataFrame, order: Sequence[str], rows: int, limit: int) -> DataFrame:
+    """Adds CHUNK, which never falls along ``order`` and has about ``limit`` rows per value.
+
+    Cuts lie between values of the first order column. A value so frequent that
+    several cuts fall on it gets a chunk of its own, cut further along the second
+    order column.
+    """
     chunks = min(MAX_CHUNKS, -(-rows // limit))
-    position = _position(heavy, column)
+    places = [_position(heavy, c).alias(f"__p{i}") for i, c in enumerate(_numeric(heavy, order[:2]))]
     fraction = min(1.0, chunks * _SAMPLES_PER_CHUNK / rows)
-    sample = sorted(
-        r[0] for r in heavy.select(position.alias("p")).sample(fraction=fraction, seed=7).collect() if r[0] is not None
-    )
-    borders = sorted({sample[i * len(sample) // chunks] for i in range(1, chunks)}) if sample else []
-    if not borders:
-        return heavy.withColumn(CHUNK, F.lit(0))
-    cut = Bucketizer(
-        splits=[float("-inf"), *borders, float("inf")], inputCol="__p", outputCol="__c", handleInvalid="keep"
-    )
-    placed = cut.transform(heavy.withColumn("__p", position))
-    # NULLs sort first, hence they belong to the first chunk.
-    chunk = F.when(F.col("__p").isNull(), F.lit(0)).otherwise(F.col("__c").cast("int"))
-    return placed.withColumn(CHUNK, chunk).drop("__p", "__c")
+    sample = sorted(tuple(r) for r in heavy.select(*places).sample(fraction=fraction, seed=7).dropna().collect())
+    cuts = _borders([r[0] for r in sample], chunks)
+    placed = heavy.select("*", *places)
+    # Beyond 2^53 two whole numbers may share a double, so equal positions prove nothing.
+    ties = {v for v, again in zip(cuts, cuts[1:]) if v == again and abs(v) < 2**53} if len(places) > 1 else set()
+    borders = sorted({*cuts, *(nextafter(v, inf) for v in ties)})
+    placed = _bucketed(placed, "__p0", borders, CHUNK)
+    if ties:
+        tied = sorted(r[1] for r in sample if r[0] in ties)
+        finer = sorted(set(_borders(tied, -(-len(tied) // _SAMPLES_PER_CHUNK))))
+        own = [i + 1 for i, v in enumerate(borders) if v in ties]
+        placed = _bucketed(placed, "__p1", finer, "__finer")
+        finer_chunk = F.when(F.col(CHUNK).isin(own), F.col("__finer")).otherwise(0)
+        placed = placed.withColumn(CHUNK, F.col(CHUNK).cast("long") * (len(finer) + 1) + finer_chunk).drop("__finer")
+    return placed.drop("__p0", "__p1")
+
+
+def _numeric(df: DataFrame, columns: Sequence[str]) -> list[str]:
+    """The leading columns that have a position: whole numbers, floats and times."""
+    kinds = (T.IntegralType, T.FractionalType, T.TimestampType, T.TimestampNTZType)
+    found = list(takewhile(lambda c: isinstance(df.schema[c].dataType, kinds), columns))
+    if not found:
+        raise TypeError(f"the first order column {columns[0]} must be a number or a time")
+    # Decimals may round when cast; they serve for cuts, but not to tell ties apart.
+    return found[:1] if isinstance(df.schema[found[0]].dataType, T.DecimalType) else found
 
 
 def _ordering(order: Sequence[str], backward: bool) -> list[Column]:

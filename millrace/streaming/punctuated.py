@@ -41,8 +41,14 @@ def start_min_records(
     ranked = F.struct(value, *tie, *[c for c in columns if c != value and c not in tie])
 
     def collect(rows: DataFrame, batch_id: int) -> None:
-        spark = rows.sparkSession
-        before = F.lit(_reached_before(spark, path, batch_id)).cast("long")
+        rows.persist()
+        try:
+            store(rows, batch_id)
+        finally:
+            rows.unpersist()
+
+    def store(rows: DataFrame, batch_id: int) -> None:
+        before = F.lit(_reached_before(rows.sparkSession, path, batch_id)).cast("long")
         marked = punctuated_watermark(rows, arrival, ts, control, unit)
         marked = marked.withColumn(WATERMARK, F.greatest(WATERMARK, before))
         parts = panes.tag(marked, to_us(rows, ts, unit), F.col(WATERMARK)).groupBy(*keys, PANE, FIRST_START)

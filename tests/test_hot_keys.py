@@ -41,10 +41,27 @@ def test_next_match_and_row_numbers(skewed, rows_of, limit):
         assert rows_of(make(limit)) == rows_of(make(None))
 
 
-def test_equal_times_cannot_be_cut_but_stay_right(make, rows_of):
-    rows = make([(1, 7, i) for i in range(60)] + [(2, i, i) for i in range(5)], "k LONG, t LONG, v LONG")
+def test_equal_times_are_cut_along_the_second_column(make, rows_of):
+    rows = make([(1, 7, i) for i in range(400)] + [(1, i, i) for i in range(5)] + [(2, i, i) for i in range(5)],
+                "k LONG, t LONG, v LONG")
+    _, heavy = ordered.split_hot(rows, ["k"], ["t", "seq"], 20)
+    sizes = [r["count"] for r in heavy.groupBy(ordered.CHUNK).count().collect()]
+    assert len(sizes) > 5 and max(sizes) < 200
+    cut = ordered.row_numbers(rows, ["k"], ["t", "seq"], "n", 20)
+    assert rows_of(cut) == rows_of(ordered.row_numbers(rows, ["k"], ["t", "seq"], "n"))
+    back = ordered.previous_row(rows, ["k"], ["t", "seq"], ["v"], "before", 20)
+    assert rows_of(back) == rows_of(ordered.previous_row(rows, ["k"], ["t", "seq"], ["v"], "before"))
+
+
+def test_huge_numbers_that_share_a_double(make, rows_of):
+    rows = make([(1, 2**60 + i % 3, i) for i in range(100)], "k LONG, t LONG, v LONG")
     cut = ordered.row_numbers(rows, ["k"], ["t", "seq"], "n", 10)
-    assert rows_of(cut.filter("k = 1").select("v", "n")) == rows_of(cut.filter("k = 1").selectExpr("v", "v + 1"))
+    assert rows_of(cut) == rows_of(ordered.row_numbers(rows, ["k"], ["t", "seq"], "n"))
+
+
+def test_text_cannot_order_a_hot_key(make):
+    with pytest.raises(TypeError):
+        ordered.row_numbers(make([(1, "a")] * 9, "k LONG, t STRING"), ["k"], ["t"], "n", 3)
 
 
 def test_null_times_come_first(make):
