@@ -20,6 +20,7 @@ from millrace.operators.lateness import WATERMARK, punctuated_watermark
 from millrace.plans.panes import FIRST_START, PANE, WINDOW_START, Panes
 from millrace.sinks.files import batch_folder, start_batches
 
+_CONTROL = "__control"
 _REACHED = T.StructType([T.StructField("reached", T.LongType())])
 
 
@@ -41,21 +42,23 @@ def start_min_records(
     ranked = F.struct(value, *tie, *[c for c in columns if c != value and c not in tie])
 
     def collect(rows: DataFrame, batch_id: int) -> None:
-        rows.persist()
+        needed = dict.fromkeys([*keys, ts, *arrival, value, *tie, *columns])
+        kept = rows.select(*needed, control.alias(_CONTROL)).persist()
         try:
-            store(rows, batch_id)
+            store(kept, batch_id)
         finally:
-            rows.unpersist()
+            kept.unpersist()
 
     def store(rows: DataFrame, batch_id: int) -> None:
         before = F.lit(_reached_before(rows.sparkSession, path, batch_id)).cast("long")
-        marked = punctuated_watermark(rows, arrival, ts, control, unit)
+        moves = F.col(_CONTROL)
+        marked = punctuated_watermark(rows, arrival, ts, moves, unit)
         marked = marked.withColumn(WATERMARK, F.greatest(WATERMARK, before))
         parts = panes.tag(marked, to_us(rows, ts, unit), F.col(WATERMARK)).groupBy(*keys, PANE, FIRST_START)
         parts.agg(F.min(ranked).alias("record")).write.mode("overwrite").parquet(
             batch_folder(f"{path}/panes", batch_id)
         )
-        reached = rows.agg(F.greatest(F.max(F.when(control, to_us(rows, ts, unit))), before).alias("reached"))
+        reached = rows.agg(F.greatest(F.max(F.when(moves, to_us(rows, ts, unit))), before).alias("reached"))
         reached.write.mode("overwrite").parquet(batch_folder(f"{path}/watermark", batch_id))
 
     return start_batches(stream, collect, checkpoint)

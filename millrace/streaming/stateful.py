@@ -38,7 +38,7 @@ class OrderedMachine(StatefulProcessor):
 
     ``payload`` is the DDL of what is kept of a row, ``us`` and ``seq`` first;
     ``memory`` that of the machine's own state and ``blank`` its first value.
-    Waiting rows lie in time slices as long as the machine's time limit, so a
+    Waiting rows lie in time slices of ten times the machine's limit, so a
     wake-up reads due slices only, one at a time.
     """
 
@@ -48,7 +48,7 @@ class OrderedMachine(StatefulProcessor):
 
     def __init__(self, limit: int):
         self.limit = limit
-        self.slice = max(limit, _LEAST_SLICE)
+        self.slice = max(10 * limit, _LEAST_SLICE)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
