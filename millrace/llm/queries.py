@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import bpe, licenses, mixing, perplexity, quality, secrets
+from millrace.llm import bpe, extraction, licenses, mixing, perplexity, quality, secrets, vectors
 from millrace.llm.common import documents
 from millrace.sources.lines import table
 
@@ -49,11 +49,23 @@ def op5_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return perplexity.classify(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
 
+@query()
+def op6_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.links(table(spark, sf_dir, "embeddings"))
+
+
 @query()
 def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(documents(spark, sf_dir))
 
 
+@query()
+def op9_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A trained reader has no SQL; tests measure it on pages whose main text is known."""
+    pages = table(spark, sf_dir, "pages")
+    return extraction.extract(pages, extraction.train(extraction.sample_pages(pages)))
+
+
 @query()
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word-level oracle in SQL does not exist; tests compare with the tokenizers library."""
