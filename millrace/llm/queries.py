@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import bpe, extraction, licenses, mixing, perplexity, quality, secrets, vectors
+from millrace.llm import bpe, extraction, licenses, mixing, perplexity, quality, secrets, shingles, vectors
 from millrace.llm.common import documents
 from millrace.sources.lines import table
 
@@ -59,6 +59,11 @@ def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(documents(spark, sf_dir))
 
 
+@query()
+def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingles.jaccard_components(documents(spark, sf_dir))
+
+
 @query()
 def op9_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A trained reader has no SQL; tests measure it on pages whose main text is known."""
