@@ -16,6 +16,8 @@ import json
 from array import array
 from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -166,8 +168,10 @@ def encode(df: DataFrame, path: str, key: str = "doc_id", text: str = "text", ou
     def run(batches: Iterator) -> Iterator[dict]:
         model = codec(path)
         for batch in batches:
-            ids = [array("I", model.encode(t or "")) for t in batch.column(1).to_pylist()]
-            yield {"key": batch.column(0), "ids": [list(x) for x in ids]}
+            ids = [model.encode(t.as_py() or "") for t in batch.column(1)]
+            ends = np.cumsum([0, *[len(x) // 4 for x in ids]]).astype(np.int32)
+            flat = pa.array(np.frombuffer(b"".join(ids), dtype=np.int32))
+            yield {"key": batch.column(0), "ids": pa.ListArray.from_arrays(ends, flat)}
 
     return map_batches(df.select(key, text), run, f"key {kind}, ids array<int>").toDF(key, out)
 

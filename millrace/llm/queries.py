@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import bpe, extraction, licenses, mixing, perplexity, quality, secrets, shingles, vectors
+from millrace.llm import bpe, extraction, licenses, mixing, perplexity, quality, secrets, shingles, substrings, vectors
 from millrace.llm.common import documents
 from millrace.sources.lines import table
 
@@ -31,6 +31,12 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.line_rules(documents(spark, sf_dir)).drop("cleaned")
 
 
+@query()
+def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SQL cannot look at every window of every text; tests compare with all windows of small tables."""
+    return substrings.repeated_substrings(documents(spark, sf_dir))
+
+
 @query()
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tags have no SQL; tests compare with a plain reading of the patterns and exhaustive paths."""
