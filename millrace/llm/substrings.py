@@ -266,7 +266,8 @@ def repeated_substrings(
     )
     texts = reliable_checkpoint(texts)
     rows = _stretch_rows(df, text, length, gram)
-    common = rows.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("h")
+    # A table of its own, so the join may deal out anew the rows of a gram that comes very often.
+    common = reliable_checkpoint(rows.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("h"))
     folder = scratch_path(spark, "stretches")
     rows.join(common, "h", "left_semi").write.parquet(folder)
     shared = spark.read.parquet(folder)
