@@ -33,6 +33,8 @@ WORDS, PERCENT = 4, 85
 COUNTERS = 1 << 18
 # Shingles in one block of sets that meet in a task; more sets are cut into blocks that meet pairwise.
 SHINGLES_PER_BLOCK = 1_500_000
+# Places of the prefix that meet first.
+EARLY = 2
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _CLASS_SHIFT = np.uint64(58)
@@ -155,11 +157,16 @@ class Tree:
         return found
 
 
-def tree_edges(keys: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """Links that connect what is connected: at most one less than there are sets."""
+def tree_edges(
+    keys: np.ndarray, sets: list[np.ndarray], percent: int, known: np.ndarray | None = None
+) -> list[tuple[int, int]]:
+    """Links that connect what is connected: at most one less than there are sets.
+
+    Sets with equal numbers in ``known`` are connected already.
+    """
     tree = Tree(sets)
     keys = [int(keys[i]) for i in tree.order]
-    parts = np.arange(len(keys))
+    parts = np.arange(len(keys)) if known is None else np.unique(known[tree.order], return_inverse=True)[1]
     edges = []
     for i, x in enumerate(tree.sets):
         other = parts != parts[i]
@@ -201,12 +208,12 @@ def _counters(df: DataFrame, text: str, words: int) -> np.ndarray:
 
 
 def _postings(df: DataFrame, text: str, words: int, percent: int, order: Order) -> DataFrame:
-    """(token, set): each set's prefix shingles; a set that comes often in a task is given once."""
+    """(token, set, at): each set's prefix shingles by place; a set that comes often in a task is given once."""
 
     def run(batches: Iterator) -> Iterator[dict]:
         seen = set()
         for batch in batches:
-            tokens, keys = [], []
+            tokens, keys, places = [], [], []
             for value in batch.column(0):
                 found = shingle_set(value.as_py(), words)
                 if not len(found) or (own := set_key(found)) in seen:
@@ -215,32 +222,67 @@ def _postings(df: DataFrame, text: str, words: int, percent: int, order: Order)
                 prefix = order.ranks(found)[: prefix_length(len(found), percent)]
                 tokens.append(prefix.view(np.int64))
                 keys.append(np.full(len(prefix), own, dtype=np.int64))
+                places.append(np.arange(len(prefix), dtype=np.int32))
             if tokens:
-                yield {"token": np.concatenate(tokens), "set": np.concatenate(keys)}
+                yield {"token": np.concatenate(tokens), "set": np.concatenate(keys), "at": np.concatenate(places)}
+
+    return map_batches(df.select(text), run, "token long, set long, at int")
 
-    return map_batches(df.select(text), run, "token long, set long")
 
+def _packed_texts(df: DataFrame, key: str, text: str, wanted: DataFrame, words: int) -> DataFrame:
+    """(set, n, packed) of the sets in ``wanted(set, id)``: the compressed text of document ``id``.
 
-def _packed_sets(df: DataFrame, key: str, text: str, wanted: DataFrame, words: int, order: Order) -> DataFrame:
-    """(set, n, ranks) of the sets in ``wanted(set, id)``, each read from its document ``id``."""
+    A compressed text is a fraction of its shingles' hashes, so it travels, and tasks make the set again.
+    """
 
     def pack(batches: Iterator) -> Iterator[dict]:
         tool = zstandard.ZstdCompressor(level=3)
         for batch in batches:
-            yield {"id": batch.column(0), "packed": [tool.compress((v.as_py() or "").encode()) for v in batch.column(1)]}
+            texts = [v.as_py() or "" for v in batch.column(1)]
+            yield {"id": batch.column(0), "packed": [tool.compress(t.encode()) for t in texts]}
 
-    def unpack(batches: Iterator) -> Iterator[dict]:
+    def check(batches: Iterator) -> Iterator[dict]:
         tool = zstandard.ZstdDecompressor()
         for batch in batches:
-            found = [shingle_set(tool.decompress(v.as_py()).decode(), words) for v in batch.column(0)]
+            keys, packed = batch.column(1).to_pylist(), batch.column(0).to_pylist()
+            found = [shingle_set(tool.decompress(p).decode(), words) for p in packed]
             # Rows that share the id but not the text are not the document meant.
-            right = [i for i, (s, k) in enumerate(zip(found, batch.column(1).to_pylist())) if len(s) and set_key(s) == k]
-            yield {"set": [batch.column(1)[i].as_py() for i in right], "n": [len(found[i]) for i in right],
-                   "ranks": [order.ranks(found[i]).tobytes() for i in right]}
+            right = [i for i, (f, k) in enumerate(zip(found, keys)) if len(f) and set_key(f) == k]
+            yield {"set": [keys[i] for i in right], "n": [len(found[i]) for i in right], "packed": [packed[i] for i in right]}
 
     texts = map_batches(df.select(F.col(key).cast("long"), text), pack, "id long, packed binary")
     chosen = texts.join(wanted, texts["id"].eqNullSafe(wanted["id"])).select("packed", "set")
-    return map_batches(chosen, unpack, "set long, n long, ranks binary")
+    return map_batches(chosen, check, "set long, n long, packed binary").dropDuplicates(["set"])
+
+
+def _meetings(rows: DataFrame, packed: DataFrame, words: int, percent: int, order: Order) -> DataFrame:
+    """Links (a, b) among the sets of ``rows(token, set, part)`` that share a token but no part yet."""
+    shared = rows.groupBy("token").agg(
+        F.count(F.lit(1)).alias("sets"), F.min("part").alias("lo"), F.max("part").alias("hi"),
+        F.sum(F.shiftright(F.xxhash64("set"), 20)).alias("who"),
+    ).filter("lo < hi")
+    # Shingles met by the same sets bring the same sets together: one of them will do.
+    one = reliable_checkpoint(shared.groupBy("sets", "who").agg(F.min("token").alias("token")).select("token"))
+    sized = packed.select("set", "n")
+    members = reliable_checkpoint(rows.join(one, "token", "left_semi").join(sized, "set"))
+    blocks = members.groupBy("token").agg(F.ceil(F.sum("n") / SHINGLES_PER_BLOCK).cast("int").alias("blocks"))
+    placed = members.join(reliable_checkpoint(blocks), "token").withColumn(
+        "b", F.pmod(F.xxhash64("set"), "blocks").cast("int")
+    )
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    pairs = placed.select("token", "set", "part", "b", other.alias("o")).select(
+        "token", "set", "part", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j")
+    )
+
+    def meet(group: pa.Table) -> pa.Table:
+        tool = zstandard.ZstdDecompressor()
+        texts = (tool.decompress(v).decode() for v in group.column("packed").to_pylist())
+        found = [order.ranks(shingle_set(t, words)) for t in texts]
+        edges = tree_edges(np.array(group.column("set")), found, percent, np.array(group.column("part")))
+        return pa.table({n: pa.array([e[k] for e in edges], pa.int64()) for k, n in enumerate("ab")})
+
+    met = pairs.join(packed.select("set", "packed"), "set").groupBy("token", "i", "j")
+    return reliable_checkpoint(met.applyInArrow(meet, "a long, b long"))
 
 
 def jaccard_components(
@@ -258,35 +300,21 @@ def jaccard_components(
     order = Order(_counters(df, text, words))
     sets = reliable_checkpoint(_sets(df, key, text, words))
     place = Window.partitionBy("token")
-    posted = _postings(df, text, words, percent, order).repartition("token").groupBy("token", "set").agg(F.lit(0))
-    met = posted.select(
-        "token", "set", F.count(F.lit(1)).over(place).alias("sets"), F.sum(F.shiftright(F.xxhash64("set"), 20)).over(place).alias("who")
-    ).filter("sets > 1")
+    posted = _postings(df, text, words, percent, order).repartition("token")
+    posted = posted.groupBy("token", "set").agg(F.min("at").alias("at"))
     folder = scratch_path(spark, "prefixes")
-    met.write.parquet(folder)
+    posted.select("*", F.count(F.lit(1)).over(place).alias("sets")).filter("sets > 1").drop("sets").write.parquet(folder)
     met = spark.read.parquet(folder)
-    # Shingles met by the same sets bring the same sets together: one of them will do.
-    one = met.groupBy("sets", "who").agg(F.min("token").alias("token")).select("token")
-    members = reliable_checkpoint(met.join(one, "token", "left_semi").select("token", "set"))
     first = sets.filter("set IS NOT NULL").groupBy("set").agg(F.min("id").alias("id"))
-    wanted = members.select("set").distinct().join(first, "set")
-    packed = reliable_checkpoint(
-        _packed_sets(df, key, text, wanted, words, order).dropDuplicates(["set"])
-    )
-    sized = members.join(packed.select("set", "n"), "set")
-    blocks = sized.groupBy("token").agg(F.ceil(F.sum("n") / SHINGLES_PER_BLOCK).cast("int").alias("blocks"))
-    placed = members.join(reliable_checkpoint(blocks), "token").withColumn("b", F.pmod(F.xxhash64("set"), "blocks").cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    meetings = placed.select("token", "set", "b", other.alias("o")).select(
-        "token", "set", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j")
-    )
-
-    def meet(group: pa.Table) -> pa.Table:
-        found = [np.frombuffer(v, dtype=np.uint64) for v in group.column("ranks").to_pylist()]
-        edges = tree_edges(np.array(group.column("set")), found, percent)
-        return pa.table({"a": pa.array([e[0] for e in edges], pa.int64()), "b": pa.array([e[1] for e in edges], pa.int64())})
-
-    edges = meetings.join(packed.select("set", "ranks"), "set").groupBy("token", "i", "j").applyInArrow(meet, "a long, b long")
+    wanted = met.select("set").distinct().join(first, "set")
+    packed = reliable_checkpoint(_packed_texts(df, key, text, wanted, words))
+    # Most links show among sets that share one of their first shingles; what these connect
+    # needs no second meeting, so the rest of the prefixes brings few sets together.
+    early = met.filter(F.col("at") < EARLY).select("token", "set", F.col("set").alias("part"))
+    edges = _meetings(early, packed, words, percent, order)
+    parts = reliable_checkpoint(connected_components(edges).withColumnRenamed("node", "set"))
+    rest = met.join(parts, "set", "left").select("token", "set", F.coalesce("component", "set").alias("part"))
+    edges = edges.unionByName(_meetings(rest, packed, words, percent, order))
     parts = connected_components(edges)
     labels = first.join(parts.withColumnRenamed("node", "set"), "set", "left").select(
         "set", "id", F.coalesce("component", "set").alias("component")
