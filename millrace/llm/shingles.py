@@ -1,8 +1,9 @@
 """N-gram Jaccard join on prefix trees: which documents have nearly the same shingles.
 
 Each text becomes the set of its word n-grams, as 64-bit hashes. The sets are put in
-one global order, rare shingles first: a fixed-size table of counters over all texts
-tells the frequent ones (any order gives right results, this one short lists). Two
+one global order, rare shingles first: shingles that several sets may meet at are
+counted over all texts, and a table of fixed size keeps their frequency classes (any
+order gives right results, this one short lists). Two
 sets that link share a shingle in their prefixes, the first ``n - ceil(j n) + 1`` in
 that order, so only sets that share a prefix shingle meet. Equal sets count as one,
 and prefix shingles that stand for the same sets as another are left out.
@@ -30,14 +31,15 @@ from millrace.llm.components import connected_components
 from millrace.session import reliable_checkpoint, scratch_path
 
 WORDS, PERCENT = 4, 85
-COUNTERS = 1 << 18
+# Slots of the table of frequency classes, and the count from which a shingle is entered.
+SLOTS, FREQUENT = 1 << 21, 6
 # Shingles in one block of sets that meet in a task; more sets are cut into blocks that meet pairwise.
 SHINGLES_PER_BLOCK = 1_500_000
-# Places of the prefix that meet first.
-EARLY = 2
+# Places at the end of the prefixes that meet first.
+EARLY = 3
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-_CLASS_SHIFT = np.uint64(58)
+_CLASS_SHIFT, _SLOTS = np.uint64(58), np.uint64(SLOTS - 1)
 _known: dict[bytes, int] = {}
 
 
@@ -80,14 +82,12 @@ def set_key(shingles: np.ndarray) -> int:
 class Order:
     """The global order, as one sortable number per shingle: class of frequency, then hash."""
 
-    def __init__(self, counts: np.ndarray) -> None:
-        mean = max(1.0, counts.sum() / len(counts))
-        often = np.floor(np.log2(np.maximum(counts, 1) / mean))
-        self.classes = np.where(often >= 2, np.minimum(often, 31), 0).astype(np.uint8)
+    def __init__(self, classes: np.ndarray) -> None:
+        self.classes = classes
 
     def ranks(self, shingles: np.ndarray) -> np.ndarray:
-        classes = self.classes[(shingles >> np.uint64(46)).astype(np.int64)].astype(np.uint64)
-        return np.sort(classes << _CLASS_SHIFT | shingles & np.uint64((1 << 58) - 1))
+        classes = self.classes[(shingles & _SLOTS).astype(np.int64)].astype(np.uint64)
+        return np.sort(classes << _CLASS_SHIFT | shingles >> np.uint64(6))
 
 
 def prefix_length(size: int, percent: int) -> int:
@@ -189,26 +189,34 @@ def _sets(df: DataFrame, key: str, text: str, words: int) -> DataFrame:
     return map_batches(df.select(F.col(key).cast("long"), text), run, "id long, n long, set long")
 
 
-def _counters(df: DataFrame, text: str, words: int) -> np.ndarray:
-    """How many shingles fall on each of COUNTERS counters, over all texts."""
+def _frequency_order(df: DataFrame, text: str, words: int, percent: int) -> Order:
+    """Classes by the logarithm of a shingle's count among the texts' first shingles by hash, twice the prefix each.
+
+    Shingles that share a slot take the greater class. At most SLOTS rows come to the driver.
+    """
 
     def run(batches: Iterator) -> Iterator[dict]:
-        total = np.zeros(COUNTERS, dtype=np.int64)
         for batch in batches:
+            found = []
             for value in batch.column(0):
-                np.add.at(total, (shingle_set(value.as_py(), words) >> np.uint64(46)).astype(np.int64), 1)
-        slots = np.flatnonzero(total)
-        yield {"slot": slots.astype(np.int32), "c": total[slots]}
+                shingles = shingle_set(value.as_py(), words)
+                found.append(shingles[: 2 * prefix_length(len(shingles), percent)] if len(shingles) else shingles)
+            if found:
+                yield {"token": np.concatenate(found).view(np.int64)}
 
-    rows = map_batches(df.select(text), run, "slot int, c long").groupBy("slot").agg(F.sum("c").alias("c"))
-    counts = np.zeros(COUNTERS, dtype=np.int64)
-    found = rows.toPandas()  # at most COUNTERS rows, whatever the input
-    counts[found["slot"]] = found["c"]
-    return counts
+    counts = map_batches(df.select(text), run, "token long").groupBy("token").agg(F.count(F.lit(1)).alias("c"))
+    slot = F.col("token").bitwiseAND(F.lit(SLOTS - 1)).cast("int")
+    rows = counts.filter(F.col("c") >= FREQUENT).groupBy(slot.alias("slot")).agg(F.max("c").alias("c")).toPandas()
+    classes = np.zeros(SLOTS, dtype=np.uint8)
+    classes[rows["slot"]] = np.minimum(np.log2(rows["c"].to_numpy(dtype=float)), 31).astype(np.uint8)
+    return Order(classes)
 
 
 def _postings(df: DataFrame, text: str, words: int, percent: int, order: Order) -> DataFrame:
-    """(token, set, at): each set's prefix shingles by place; a set that comes often in a task is given once."""
+    """(token, set, at): each set's prefix shingles by place from the prefix's end.
+
+    A set that comes often in a task is given once.
+    """
 
     def run(batches: Iterator) -> Iterator[dict]:
         seen = set()
@@ -222,7 +230,7 @@ def _postings(df: DataFrame, text: str, words: int, percent: int, order: Order)
                 prefix = order.ranks(found)[: prefix_length(len(found), percent)]
                 tokens.append(prefix.view(np.int64))
                 keys.append(np.full(len(prefix), own, dtype=np.int64))
-                places.append(np.arange(len(prefix), dtype=np.int32))
+                places.append(np.arange(len(prefix) - 1, -1, -1, dtype=np.int32))
             if tokens:
                 yield {"token": np.concatenate(tokens), "set": np.concatenate(keys), "at": np.concatenate(places)}
 
@@ -252,7 +260,8 @@ def _packed_texts(df: DataFrame, key: str, text: str, wanted: DataFrame, words:
 
     texts = map_batches(df.select(F.col(key).cast("long"), text), pack, "id long, packed binary")
     chosen = texts.join(wanted, texts["id"].eqNullSafe(wanted["id"])).select("packed", "set")
-    return map_batches(chosen, check, "set long, n long, packed binary").dropDuplicates(["set"])
+    # Repeated rows may give a set twice; it then only meets itself.
+    return map_batches(chosen, check, "set long, n long, packed binary")
 
 
 def _meetings(rows: DataFrame, packed: DataFrame, words: int, percent: int, order: Order) -> DataFrame:
@@ -297,7 +306,7 @@ def jaccard_components(
     columns are ignored. Shingles, and sets, are told apart by 64-bit hashes.
     """
     spark = df.sparkSession
-    order = Order(_counters(df, text, words))
+    order = _frequency_order(df, text, words, percent)
     sets = reliable_checkpoint(_sets(df, key, text, words))
     place = Window.partitionBy("token")
     posted = _postings(df, text, words, percent, order).repartition("token")
@@ -308,8 +317,8 @@ def jaccard_components(
     first = sets.filter("set IS NOT NULL").groupBy("set").agg(F.min("id").alias("id"))
     wanted = met.select("set").distinct().join(first, "set")
     packed = reliable_checkpoint(_packed_texts(df, key, text, wanted, words))
-    # Most links show among sets that share one of their first shingles; what these connect
-    # needs no second meeting, so the rest of the prefixes brings few sets together.
+    # Near copies share the last, most frequent shingles of their prefixes; what meeting at
+    # these connects needs no second meeting, so the other shingles bring few sets together.
     early = met.filter(F.col("at") < EARLY).select("token", "set", F.col("set").alias("part"))
     edges = _meetings(early, packed, words, percent, order)
     parts = reliable_checkpoint(connected_components(edges).withColumnRenamed("node", "set"))
