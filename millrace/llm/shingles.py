@@ -8,7 +8,8 @@ sets that link share a shingle in their prefixes, the first ``n - ceil(j n) + 1`
 that order, so only sets that share a prefix shingle meet. Equal sets count as one,
 and prefix shingles that stand for the same sets as another are left out.
 
-Where sets meet, a task stores them in a prefix tree in global order, paths without
+Sets connected by shared prefix shingles meet as one cluster if it is of bounded size,
+else per shingle. Where sets meet, a task stores them in a prefix tree in global order, paths without
 branches as one node. Each set walks the tree from the root: the overlap with a shared
 path is counted once for all sets below, and a subtree is left when its sets are all
 linked already, too long, too short, or cannot reach the overlap needed with what
@@ -35,8 +36,6 @@ WORDS, PERCENT = 4, 85
 SLOTS, FREQUENT = 1 << 21, 6
 # Shingles in one block of sets that meet in a task; more sets are cut into blocks that meet pairwise.
 SHINGLES_PER_BLOCK = 1_500_000
-# Places at the end of the prefixes that meet first.
-EARLY = 3
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _CLASS_SHIFT, _SLOTS = np.uint64(58), np.uint64(SLOTS - 1)
@@ -157,21 +156,28 @@ class Tree:
         return found
 
 
-def tree_edges(
-    keys: np.ndarray, sets: list[np.ndarray], percent: int, known: np.ndarray | None = None
-) -> list[tuple[int, int]]:
+def tree_edges(keys: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     """Links that connect what is connected: at most one less than there are sets.
 
-    Sets with equal numbers in ``known`` are connected already.
+    A set walks only towards sets that share a shingle of its prefix and are not connected to it yet.
     """
     tree = Tree(sets)
     keys = [int(keys[i]) for i in tree.order]
-    parts = np.arange(len(keys)) if known is None else np.unique(known[tree.order], return_inverse=True)[1]
+    parts = np.arange(len(keys))
+    prefixes = [s[: prefix_length(len(s), percent)].tolist() for s in tree.sets]
+    holders: dict[int, list[int]] = {}
+    for i, prefix in enumerate(prefixes):
+        for token in prefix:
+            holders.setdefault(token, []).append(i)
     edges = []
     for i, x in enumerate(tree.sets):
-        other = parts != parts[i]
+        other = np.zeros(len(keys), dtype=bool)
+        for token in prefixes[i]:
+            if len(holders[token]) > 1:
+                other[holders[token]] = True
+        other &= parts != parts[i]
         if not other.any():
-            break
+            continue
         for j in tree.linked(x, percent, other):
             if parts[i] != parts[j]:
                 edges.append((keys[i], keys[j]))
@@ -213,15 +219,12 @@ def _frequency_order(df: DataFrame, text: str, words: int, percent: int) -> Orde
 
 
 def _postings(df: DataFrame, text: str, words: int, percent: int, order: Order) -> DataFrame:
-    """(token, set, at): each set's prefix shingles by place from the prefix's end.
-
-    A set that comes often in a task is given once.
-    """
+    """(token, set): each set's prefix shingles; a set that comes often in a task is given once."""
 
     def run(batches: Iterator) -> Iterator[dict]:
         seen = set()
         for batch in batches:
-            tokens, keys, places = [], [], []
+            tokens, keys = [], []
             for value in batch.column(0):
                 found = shingle_set(value.as_py(), words)
                 if not len(found) or (own := set_key(found)) in seen:
@@ -230,11 +233,10 @@ def _postings(df: DataFrame, text: str, words: int, percent: int, order: Order)
                 prefix = order.ranks(found)[: prefix_length(len(found), percent)]
                 tokens.append(prefix.view(np.int64))
                 keys.append(np.full(len(prefix), own, dtype=np.int64))
-                places.append(np.arange(len(prefix) - 1, -1, -1, dtype=np.int32))
             if tokens:
-                yield {"token": np.concatenate(tokens), "set": np.concatenate(keys), "at": np.concatenate(places)}
+                yield {"token": np.concatenate(tokens), "set": np.concatenate(keys)}
 
-    return map_batches(df.select(text), run, "token long, set long, at int")
+    return map_batches(df.select(text), run, "token long, set long")
 
 
 def _packed_texts(df: DataFrame, key: str, text: str, wanted: DataFrame, words: int) -> DataFrame:
@@ -264,34 +266,51 @@ def _packed_texts(df: DataFrame, key: str, text: str, wanted: DataFrame, words:
     return map_batches(chosen, check, "set long, n long, packed binary")
 
 
-def _meetings(rows: DataFrame, packed: DataFrame, words: int, percent: int, order: Order) -> DataFrame:
-    """Links (a, b) among the sets of ``rows(token, set, part)`` that share a token but no part yet."""
-    shared = rows.groupBy("token").agg(
-        F.count(F.lit(1)).alias("sets"), F.min("part").alias("lo"), F.max("part").alias("hi"),
+def _places(met: DataFrame, packed: DataFrame) -> DataFrame:
+    """(whole, place, i, j, set): where the sets of ``met(token, set)`` meet.
+
+    Sets that tokens connect form a cluster. One of up to SHINGLES_PER_BLOCK shingles meets
+    as a whole, so each set travels once. In larger ones the sets of each token meet,
+    cut into blocks that meet pairwise if they are many.
+    """
+    shared = met.groupBy("token").agg(
+        F.count(F.lit(1)).alias("sets"), F.min("set").alias("hub"),
         F.sum(F.shiftright(F.xxhash64("set"), 20)).alias("who"),
-    ).filter("lo < hi")
+    )
     # Shingles met by the same sets bring the same sets together: one of them will do.
-    one = reliable_checkpoint(shared.groupBy("sets", "who").agg(F.min("token").alias("token")).select("token"))
-    sized = packed.select("set", "n")
-    members = reliable_checkpoint(rows.join(one, "token", "left_semi").join(sized, "set"))
-    blocks = members.groupBy("token").agg(F.ceil(F.sum("n") / SHINGLES_PER_BLOCK).cast("int").alias("blocks"))
-    placed = members.join(reliable_checkpoint(blocks), "token").withColumn(
+    one = shared.groupBy("sets", "who").agg(F.min(F.struct("token", "hub")).alias("one")).select("one.*")
+    members = reliable_checkpoint(met.join(reliable_checkpoint(one), "token").join(packed.select("set", "n"), "set"))
+    cluster = reliable_checkpoint(connected_components(members.select("set", "hub"), "set", "hub"))
+    cluster = cluster.select(F.col("node").alias("set"), F.col("component").alias("cluster"))
+    weights = packed.select("set", "n").join(cluster, "set").groupBy("cluster").agg(F.sum("n").alias("weight"))
+    sized = members.join(cluster, "set").join(reliable_checkpoint(weights), "cluster")
+    whole = F.col("weight") <= SHINGLES_PER_BLOCK
+    rows = sized.select(
+        whole.alias("whole"), F.when(whole, F.col("cluster")).otherwise(F.col("token")).alias("place"), "set", "n"
+    ).distinct()
+    rows = reliable_checkpoint(rows)
+    blocks = rows.groupBy("whole", "place").agg(F.ceil(F.sum("n") / SHINGLES_PER_BLOCK).cast("int").alias("blocks"))
+    placed = rows.join(reliable_checkpoint(blocks), ["whole", "place"]).withColumn(
         "b", F.pmod(F.xxhash64("set"), "blocks").cast("int")
     )
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    pairs = placed.select("token", "set", "part", "b", other.alias("o")).select(
-        "token", "set", "part", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j")
+    return placed.select("whole", "place", "set", "b", other.alias("o")).select(
+        "whole", "place", "set", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j")
     )
 
+
+def _meetings(met: DataFrame, packed: DataFrame, words: int, percent: int, order: Order) -> DataFrame:
+    """Links (a, b) among sets that share a prefix shingle, enough to connect what is connected."""
+
     def meet(group: pa.Table) -> pa.Table:
         tool = zstandard.ZstdDecompressor()
         texts = (tool.decompress(v).decode() for v in group.column("packed").to_pylist())
         found = [order.ranks(shingle_set(t, words)) for t in texts]
-        edges = tree_edges(np.array(group.column("set")), found, percent, np.array(group.column("part")))
+        edges = tree_edges(np.array(group.column("set")), found, percent)
         return pa.table({n: pa.array([e[k] for e in edges], pa.int64()) for k, n in enumerate("ab")})
 
-    met = pairs.join(packed.select("set", "packed"), "set").groupBy("token", "i", "j")
-    return reliable_checkpoint(met.applyInArrow(meet, "a long, b long"))
+    meeting = _places(met, packed).join(packed.select("set", "packed"), "set").groupBy("whole", "place", "i", "j")
+    return meeting.applyInArrow(meet, "a long, b long")
 
 
 def jaccard_components(
@@ -310,21 +329,14 @@ def jaccard_components(
     sets = reliable_checkpoint(_sets(df, key, text, words))
     place = Window.partitionBy("token")
     posted = _postings(df, text, words, percent, order).repartition("token")
-    posted = posted.groupBy("token", "set").agg(F.min("at").alias("at"))
+    posted = posted.groupBy("token", "set").agg(F.lit(0)).select("token", "set")
     folder = scratch_path(spark, "prefixes")
     posted.select("*", F.count(F.lit(1)).over(place).alias("sets")).filter("sets > 1").drop("sets").write.parquet(folder)
     met = spark.read.parquet(folder)
     first = sets.filter("set IS NOT NULL").groupBy("set").agg(F.min("id").alias("id"))
     wanted = met.select("set").distinct().join(first, "set")
     packed = reliable_checkpoint(_packed_texts(df, key, text, wanted, words))
-    # Near copies share the last, most frequent shingles of their prefixes; what meeting at
-    # these connects needs no second meeting, so the other shingles bring few sets together.
-    early = met.filter(F.col("at") < EARLY).select("token", "set", F.col("set").alias("part"))
-    edges = _meetings(early, packed, words, percent, order)
-    parts = reliable_checkpoint(connected_components(edges).withColumnRenamed("node", "set"))
-    rest = met.join(parts, "set", "left").select("token", "set", F.coalesce("component", "set").alias("part"))
-    edges = edges.unionByName(_meetings(rest, packed, words, percent, order))
-    parts = connected_components(edges)
+    parts = connected_components(_meetings(met, packed, words, percent, order))
     labels = first.join(parts.withColumnRenamed("node", "set"), "set", "left").select(
         "set", "id", F.coalesce("component", "set").alias("component")
     )
