@@ -8,8 +8,9 @@ sets that link share a shingle in their prefixes, the first ``n - ceil(j n) + 1`
 that order, so only sets that share a prefix shingle meet. Equal sets count as one,
 and prefix shingles that stand for the same sets as another are left out.
 
-Sets connected by shared prefix shingles meet as one cluster if it is of bounded size,
-else per shingle. Where sets meet, a task stores them in a prefix tree in global order, paths without
+The first shingle that linked sets share has few before it in either set, as those
+before are in one set only; sets for which it lies too deep do not meet there. Where
+sets meet, a task stores them in a prefix tree in global order, paths without
 branches as one node. Each set walks the tree from the root: the overlap with a shared
 path is counted once for all sets below, and a subtree is left when its sets are all
 linked already, too long, too short, or cannot reach the overlap needed with what
@@ -157,27 +158,15 @@ class Tree:
 
 
 def tree_edges(keys: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """Links that connect what is connected: at most one less than there are sets.
-
-    A set walks only towards sets that share a shingle of its prefix and are not connected to it yet.
-    """
+    """Links that connect what is connected: at most one less than there are sets."""
     tree = Tree(sets)
     keys = [int(keys[i]) for i in tree.order]
     parts = np.arange(len(keys))
-    prefixes = [s[: prefix_length(len(s), percent)].tolist() for s in tree.sets]
-    holders: dict[int, list[int]] = {}
-    for i, prefix in enumerate(prefixes):
-        for token in prefix:
-            holders.setdefault(token, []).append(i)
     edges = []
     for i, x in enumerate(tree.sets):
-        other = np.zeros(len(keys), dtype=bool)
-        for token in prefixes[i]:
-            if len(holders[token]) > 1:
-                other[holders[token]] = True
-        other &= parts != parts[i]
+        other = parts != parts[i]
         if not other.any():
-            continue
+            break
         for j in tree.linked(x, percent, other):
             if parts[i] != parts[j]:
                 edges.append((keys[i], keys[j]))
@@ -219,12 +208,17 @@ def _frequency_order(df: DataFrame, text: str, words: int, percent: int) -> Orde
 
 
 def _postings(df: DataFrame, text: str, words: int, percent: int, order: Order) -> DataFrame:
-    """(token, set): each set's prefix shingles; a set that comes often in a task is given once."""
+    """(token, set, excess): each set's prefix shingles; a set that comes often in a task is given once.
+
+    ``excess`` is positive where a shingle's place is too deep for a partner at place 0 of
+    the same size: linked sets a, b have ``excess_a + excess_b <= 0`` at their first common
+    shingle, as |a| + |b| - 2 |a & b| is at least the sum of both places.
+    """
 
     def run(batches: Iterator) -> Iterator[dict]:
         seen = set()
         for batch in batches:
-            tokens, keys = [], []
+            tokens, keys, excess = [], [], []
             for value in batch.column(0):
                 found = shingle_set(value.as_py(), words)
                 if not len(found) or (own := set_key(found)) in seen:
@@ -233,10 +227,11 @@ def _postings(df: DataFrame, text: str, words: int, percent: int, order: Order)
                 prefix = order.ranks(found)[: prefix_length(len(found), percent)]
                 tokens.append(prefix.view(np.int64))
                 keys.append(np.full(len(prefix), own, dtype=np.int64))
+                excess.append((100 + percent) * np.arange(len(prefix)) - (100 - percent) * len(found))
             if tokens:
-                yield {"token": np.concatenate(tokens), "set": np.concatenate(keys)}
+                yield {"token": np.concatenate(tokens), "set": np.concatenate(keys), "excess": np.concatenate(excess)}
 
-    return map_batches(df.select(text), run, "token long, set long")
+    return map_batches(df.select(text), run, "token long, set long, excess long")
 
 
 def _packed_texts(df: DataFrame, key: str, text: str, wanted: DataFrame, words: int) -> DataFrame:
@@ -267,35 +262,24 @@ def _packed_texts(df: DataFrame, key: str, text: str, wanted: DataFrame, words:
 
 
 def _places(met: DataFrame, packed: DataFrame) -> DataFrame:
-    """(whole, place, i, j, set): where the sets of ``met(token, set)`` meet.
+    """(token, i, j, set): where the sets of ``met(token, set)`` meet.
 
-    Sets that tokens connect form a cluster. One of up to SHINGLES_PER_BLOCK shingles meets
-    as a whole, so each set travels once. In larger ones the sets of each token meet,
-    cut into blocks that meet pairwise if they are many.
+    The sets of a token meet, cut into blocks of about SHINGLES_PER_BLOCK that meet
+    pairwise if they are many.
     """
     shared = met.groupBy("token").agg(
-        F.count(F.lit(1)).alias("sets"), F.min("set").alias("hub"),
-        F.sum(F.shiftright(F.xxhash64("set"), 20)).alias("who"),
+        F.count(F.lit(1)).alias("sets"), F.sum(F.shiftright(F.xxhash64("set"), 20)).alias("who")
     )
     # Shingles met by the same sets bring the same sets together: one of them will do.
-    one = shared.groupBy("sets", "who").agg(F.min(F.struct("token", "hub")).alias("one")).select("one.*")
-    members = reliable_checkpoint(met.join(reliable_checkpoint(one), "token").join(packed.select("set", "n"), "set"))
-    cluster = reliable_checkpoint(connected_components(members.select("set", "hub"), "set", "hub"))
-    cluster = cluster.select(F.col("node").alias("set"), F.col("component").alias("cluster"))
-    weights = packed.select("set", "n").join(cluster, "set").groupBy("cluster").agg(F.sum("n").alias("weight"))
-    sized = members.join(cluster, "set").join(reliable_checkpoint(weights), "cluster")
-    whole = F.col("weight") <= SHINGLES_PER_BLOCK
-    rows = sized.select(
-        whole.alias("whole"), F.when(whole, F.col("cluster")).otherwise(F.col("token")).alias("place"), "set", "n"
-    ).distinct()
-    rows = reliable_checkpoint(rows)
-    blocks = rows.groupBy("whole", "place").agg(F.ceil(F.sum("n") / SHINGLES_PER_BLOCK).cast("int").alias("blocks"))
-    placed = rows.join(reliable_checkpoint(blocks), ["whole", "place"]).withColumn(
+    one = reliable_checkpoint(shared.groupBy("sets", "who").agg(F.min("token").alias("token")).select("token"))
+    members = reliable_checkpoint(met.join(one, "token").join(packed.select("set", "n"), "set"))
+    blocks = members.groupBy("token").agg(F.ceil(F.sum("n") / SHINGLES_PER_BLOCK).cast("int").alias("blocks"))
+    placed = members.join(reliable_checkpoint(blocks), "token").withColumn(
         "b", F.pmod(F.xxhash64("set"), "blocks").cast("int")
     )
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    return placed.select("whole", "place", "set", "b", other.alias("o")).select(
-        "whole", "place", "set", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j")
+    return placed.select("token", "set", "b", other.alias("o")).select(
+        "token", "set", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j")
     )
 
 
@@ -309,7 +293,7 @@ def _meetings(met: DataFrame, packed: DataFrame, words: int, percent: int, order
         edges = tree_edges(np.array(group.column("set")), found, percent)
         return pa.table({n: pa.array([e[k] for e in edges], pa.int64()) for k, n in enumerate("ab")})
 
-    meeting = _places(met, packed).join(packed.select("set", "packed"), "set").groupBy("whole", "place", "i", "j")
+    meeting = _places(met, packed).join(packed.select("set", "packed"), "set").groupBy("token", "i", "j")
     return meeting.applyInArrow(meet, "a long, b long")
 
 
@@ -329,9 +313,11 @@ def jaccard_components(
     sets = reliable_checkpoint(_sets(df, key, text, words))
     place = Window.partitionBy("token")
     posted = _postings(df, text, words, percent, order).repartition("token")
-    posted = posted.groupBy("token", "set").agg(F.lit(0)).select("token", "set")
+    posted = posted.groupBy("token", "set").agg(F.min("excess").alias("excess"))
+    near = posted.select("*", F.min("excess").over(place).alias("least")).filter("excess + least <= 0")
+    met = near.select("token", "set", F.count(F.lit(1)).over(place).alias("sets")).filter("sets > 1").drop("sets")
     folder = scratch_path(spark, "prefixes")
-    posted.select("*", F.count(F.lit(1)).over(place).alias("sets")).filter("sets > 1").drop("sets").write.parquet(folder)
+    met.write.parquet(folder)
     met = spark.read.parquet(folder)
     first = sets.filter("set IS NOT NULL").groupBy("set").agg(F.min("id").alias("id"))
     wanted = met.select("set").distinct().join(first, "set")
