@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.functions.text import java_trim
 from millrace.functions.times import from_us, to_us
 
 # Texts that consumers of the reports and records match on.
@@ -81,7 +82,7 @@ def visit_report(
     millis = from_us(to_us(top, window_end, unit), T.LongType(), "ms").cast("string")
     line = F.concat(
         F.lit("No."), F.col(rank).cast("string"), F.lit("WindowKeyTime("), millis, F.lit(","),
-        F.trim(F.col(key).cast("string")), F.lit(","), F.col(cnt).cast("string"), F.lit(")\n"),
+        java_trim(F.col(key).cast("string")), F.lit(","), F.col(cnt).cast("string"), F.lit(")\n"),
     )
     text = F.concat(F.lit(RULE), F.col("__body"), F.lit(RULE))
     return _ranked_lines(top, window_end, rank, line).select(window_end, text.alias("report"))

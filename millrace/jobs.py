@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from millrace.functions.text import java_trim
 from millrace.functions import parsing, rendering
 from millrace.functions.text import not_empty
 from millrace.functions.times import event_time
@@ -51,7 +52,7 @@ def top_visitors(
     Names count apart if their blanks differ and are shown without blanks.
     """
     counts = sliding.sliding_count(parsing.parse_visit(lines), ["mid"], "ts", size, slide)
-    return ranking.top_n(counts, n, tie=["mid"]).withColumn("mid", F.trim("mid"))
+    return ranking.top_n(counts, n, tie=["mid"]).withColumn("mid", java_trim(F.col("mid")))
 
 
 def start_top_visitors(
@@ -62,7 +63,7 @@ def start_top_visitors(
     counts = windows.sliding_count(parsing.parse_visit(lines), ["mid"], "ts", size, slide, lateness=lateness)
 
     def trimmed(rows: DataFrame, batch_id: int) -> None:
-        write(rows.withColumn("mid", F.trim("mid")), batch_id)
+        write(rows.withColumn("mid", java_trim(F.col("mid"))), batch_id)
 
     return windows.start_top_n(counts, n, trimmed, checkpoint, tie=["mid"], available_now=available_now)
 

@@ -80,14 +80,16 @@ def sliding_min_record(
 ) -> DataFrame:
     """The record with the least ``value`` of every window.
 
+    NULL values are no record, windows without one give no row.
     Of equal values the first by ``tie`` (arrival order) wins; ``columns`` are
     what to return of the record besides ``value``.
     """
     extra = [c for c in columns if c != value]
     ranked = F.struct(value, *tie, *[c for c in extra if c not in tie])
     least = sliding_reduce(
-        df, keys, ts, size, slide, {"record": F.min(ranked)}, {"record": F.min("record")}, watermark, unit
+        df, keys, ts, size, slide, {"record": F.min(F.when(F.col(value).isNotNull(), ranked))},
+        {"record": F.min("record")}, watermark, unit
     )
-    return least.select(
+    return least.filter(F.col("record").isNotNull()).select(
         *keys, WINDOW_END, *[F.col(f"record.{c}").alias(c) for c in (value, *extra)]
     )

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from millrace.functions import parsing, rendering
 from millrace.functions.text import not_empty
@@ -100,8 +101,8 @@ FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)
 WHERE line <> '' GROUP BY doc_id
 """)
 def nonempty_lines(spark: SparkSession, sf: str) -> DataFrame:
-    lines = table(spark, sf, "documents").select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
-    return lines.filter(not_empty(F.col("line"))).groupBy("doc_id").agg(F.count(F.lit(1)).alias("lines"))
+    full = F.size(F.filter(F.split("text", "\n"), not_empty)).cast("long")
+    return table(spark, sf, "documents").select("doc_id", full.alias("lines")).filter("lines > 0")
 
 
 # --- sliding windows and rankings ----------------------------------------
@@ -585,83 +586,102 @@ def punctuated_late(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- the same on streams ---------------------------------------------------------
 #
-# The whole table is read as a finite file stream, with a marker row at its end
-# that closes all windows and timers. Results go to the shared folder and are
-# read back, so they meet the SQL twins of the batch forms.
+# The whole table is read as a finite file stream, some files per micro-batch. When
+# all are read, a marker row closes all windows and timers in a second run. Results go
+# to the shared folder and are read back, so they meet the SQL twins of the batch forms.
 
-def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
-    return with_end_marker(stream_table(spark, sf, "events"), "ts")
+_FILES_PER_BATCH = 16
 
 
-def _finished(stream: DataFrame, label: str, mode: str = "append") -> DataFrame:
+def _event_stream(spark: SparkSession, sf: str) -> tuple[DataFrame, Callable[[], None]]:
+    return with_end_marker(stream_table(spark, sf, "events", _FILES_PER_BATCH), "ts")
+
+
+def _to_the_end(start: Callable[[], StreamingQuery], close: Callable[[], None] | None) -> None:
+    start().awaitTermination()
+    if close:
+        close()
+        start().awaitTermination()
+
+
+def _finished(
+    stream: DataFrame, label: str, mode: str = "append", close: Callable[[], None] | None = None
+) -> DataFrame:
     spark = stream.sparkSession
-    out = scratch_path(spark, label)
-    start_batches(stream, parquet_batches(out), scratch_path(spark, f"{label}-state"), mode).awaitTermination()
+    out, state = scratch_path(spark, label), scratch_path(spark, f"{label}-state")
+    _to_the_end(lambda: start_batches(stream, parquet_batches(out), state, mode), close)
     return read_batches(spark, out, stream.schema)
 
 
 @query(ORACLES["word_count"])
 def stream_word_count(spark: SparkSession, sf: str) -> DataFrame:
     """Updates of a running count; the last update of a word is the greatest."""
-    counts = words.word_count(stream_table(spark, sf, "documents"), "text")
+    counts = words.word_count(stream_table(spark, sf, "documents", _FILES_PER_BATCH), "text")
     updates = _finished(counts, "word-count", "update")
     return updates.groupBy("word").agg(F.max("cnt").alias("cnt"))
 
 
 @query(ORACLES["hot_items_topn"])
 def stream_hot_items_topn(spark: SparkSession, sf: str) -> DataFrame:
-    clicks = _event_stream(spark, sf).withColumnRenamed("user_id", "item_id")
+    events, close = _event_stream(spark, sf)
+    clicks = events.withColumnRenamed("user_id", "item_id")
     counts = windows.sliding_count(clicks, ["item_id"], "ts", "60 minutes", "5 minutes", F.col("event_type") == "view")
     out = scratch_path(spark, "hot-items")
-    windows.start_top_n(counts, 3, parquet_batches(out), scratch_path(spark, "hot-items-state")).awaitTermination()
+    state = scratch_path(spark, "hot-items-state")
+    _to_the_end(lambda: windows.start_top_n(counts, 3, parquet_batches(out), state), close)
     return _ranking(read_batches(spark, out, counts.withColumn("rank", F.lit(0)).schema))
 
 
 @query(ORACLES["sliding_min_record"])
 def stream_sliding_min_record(spark: SparkSession, sf: str) -> DataFrame:
+    events, close = _event_stream(spark, sf)
     least = windows.sliding_min_record(
-        _event_stream(spark, sf), ["user_id"], "ts", "6 hours", "1 hour", "value", ["event_id"], ["event_id", "ts"]
+        events, ["user_id"], "ts", "6 hours", "1 hour", "value", ["event_id"], ["event_id", "ts"]
     )
-    return _micros(_seconds(_finished(least, "min-record"), "window_end"), "ts")
+    return _micros(_seconds(_finished(least, "min-record", close=close), "window_end"), "ts")
 
 
 @query(ORACLES["fail_streak_keyed"])
 def stream_fail_streak(spark: SparkSession, sf: str) -> DataFrame:
+    events, close = _event_stream(spark, sf)
     found = stateful.fail_streaks(
-        _event_stream(spark, sf), "ts", "event_id", fail="error", within="4 hours", bucket="10 days"
+        events, "ts", "event_id", fail="error", within="4 hours", bucket="10 days"
     )
-    return _micros(_finished(found, "fail-streak"), "first_time", "last_fail_time")
+    return _micros(_finished(found, "fail-streak", close=close), "first_time", "last_fail_time")
 
 
 @query(ORACLES["fail_next_global"])
 def stream_fail_next_global(spark: SparkSession, sf: str) -> DataFrame:
+    events, close = _event_stream(spark, sf)
     found = stateful.fail_streaks(
-        _event_stream(spark, sf), "ts", "event_id", fail="error", within="60 seconds",
+        events, "ts", "event_id", fail="error", within="60 seconds",
         message=patterns.FAIL_PATTERN_MESSAGE, keys=[], bucket="6 hours",
     )
-    return _micros(_finished(found, "fail-next"), "first_time", "last_fail_time")
+    return _micros(_finished(found, "fail-next", close=close), "first_time", "last_fail_time")
 
 
 @query(ORACLES["order_results"])
 def stream_order_results(spark: SparkSession, sf: str) -> DataFrame:
+    events, close = _event_stream(spark, sf)
     found = stateful.order_results(
-        _event_stream(spark, sf), "ts", "event_id", "user_id", create="click", pay="purchase", within="12 hours",
+        events, "ts", "event_id", "user_id", create="click", pay="purchase", within="12 hours",
         bucket="10 days",
     )
     paid = F.when(F.col("status") == patterns.MATCHED, F.col("result_msg"))
-    return _micros(_finished(found, "orders").withColumn("result_msg", paid), "create_ts", "pay_ts", "deadline")
+    return _micros(_finished(found, "orders", close=close).withColumn("result_msg", paid), "create_ts", "pay_ts", "deadline")
 
 
 @query(ORACLES["rising_alarm"])
 def stream_rising_alarm(spark: SparkSession, sf: str) -> DataFrame:
-    found = stateful.rising_alarms(_event_stream(spark, sf), "user_id", "ts", "value", "event_id", horizon="6 hours")
-    return _micros(_finished(found, "alarms"), "alarm_ts")
+    events, close = _event_stream(spark, sf)
+    found = stateful.rising_alarms(events, "user_id", "ts", "value", "event_id", horizon="6 hours")
+    return _micros(_finished(found, "alarms", close=close), "alarm_ts")
 
 
 @query(ORACLES["punctuated_late"])
 def stream_punctuated_late(spark: SparkSession, sf: str) -> DataFrame:
     """Arrival order is a column, so rows of a micro-batch are late as in the table."""
-    events = stream_table(spark, sf, "events")
+    events = stream_table(spark, sf, "events", _FILES_PER_BATCH)
     delay = (F.col("event_id") * 7919) % _DELAY_S
     arrivals = events.withColumn("arrival_us", to_us(events, "ts") + delay * F.lit(SECOND_US))
     control = (F.col("event_type") == "signup") & (F.col("user_id") % 15 == 0)
@@ -677,7 +697,7 @@ def stream_punctuated_late(spark: SparkSession, sf: str) -> DataFrame:
 @query(ORACLES["freeze_side_output"])
 def stream_freeze_side_output(spark: SparkSession, sf: str) -> DataFrame:
     """A routed stream fanned out to one table per tag; the freeze tag's is returned."""
-    readings = stream_table(spark, sf, "events").select("event_id", "value")
+    readings = stream_table(spark, sf, "events", _FILES_PER_BATCH).select("event_id", "value")
     routed = routing.freeze_route(readings, "value")
     cold, rest = scratch_path(spark, "freeze"), scratch_path(spark, "main")
     writers = {routing.FREEZE_TAG: parquet_batches(cold), routing.MAIN: parquet_batches(rest)}

@@ -50,9 +50,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def stream_table(
     spark: SparkSession, folder: str, name: str, files_per_batch: int | None = None
 ) -> DataFrame:
-    """The same table as a stream of files, with the schema of its batch form."""
+    """The same table as a stream of files, with the schema of its batch form.
+
+    The table may be one file or a folder of part files; a pattern finds both.
+    """
     reader = spark.readStream.schema(table(spark, folder, name).schema)
-    reader = reader.option("pathGlobFilter", f"{name}.parquet")
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(folder)
+    return reader.parquet(f"{folder.rstrip('/')}/{name}.parque[t]")

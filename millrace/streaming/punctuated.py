@@ -55,7 +55,7 @@ def start_min_records(
         marked = punctuated_watermark(rows, arrival, ts, moves, unit)
         marked = marked.withColumn(WATERMARK, F.greatest(WATERMARK, before))
         parts = panes.tag(marked, to_us(rows, ts, unit), F.col(WATERMARK)).groupBy(*keys, PANE, FIRST_START)
-        parts.agg(F.min(ranked).alias("record")).write.mode("overwrite").parquet(
+        parts.agg(F.min(F.when(F.col(value).isNotNull(), ranked)).alias("record")).write.mode("overwrite").parquet(
             batch_folder(f"{path}/panes", batch_id)
         )
         reached = rows.agg(F.greatest(F.max(F.when(moves, to_us(rows, ts, unit))), before).alias("reached"))
@@ -79,4 +79,5 @@ def min_records(
     if closed_only:
         reached = spark.read.parquet(f"{path}/watermark").agg(F.max("reached")).first()[0]
         found = found.filter(end - F.lit(MILLI_US) <= F.lit(reached).cast("long"))
+    found = found.filter(F.col("record").isNotNull())
     return found.select(*keys, F.timestamp_micros(end).alias("window_end"), "record.*")

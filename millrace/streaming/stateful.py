@@ -238,6 +238,8 @@ def _run(rows: DataFrame, by: Sequence[str], machine: OrderedMachine, output: st
     # These machines need the RocksDB state store; the setting is read when the query starts.
     rows.sparkSession.conf.set(_PROVIDER, ROCKSDB)
     timed = rows.withColumn("event_ts", F.timestamp_micros("us"))
+    # Rows without a time have no place in the order; as in a table, they are no events.
+    timed = timed.filter(F.col("event_ts").isNotNull())
     late = timed.withWatermark("event_ts", interval_text(duration_us(lateness)))
     return late.groupBy(*by).transformWithState(machine, output, "Append", "EventTime")
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,12 +30,14 @@ def bounded(df: DataFrame, ts: str, delay: str) -> DataFrame:
     return df.withWatermark(ts, interval_text(duration_us(delay)))
 
 
-def with_end_marker(stream: DataFrame, ts: str) -> DataFrame:
-    """``stream`` and one far-future row, which closes all windows and timers.
+def with_end_marker(stream: DataFrame, ts: str) -> tuple[DataFrame, Callable[[], None]]:
+    """``stream`` joined by an empty source, and a function that puts a far-future row there.
 
-    A finite stream keeps its last windows open otherwise. The marker has NULLs
-    in all columns but ``ts``. It has to reach the watermark: count by condition
-    instead of filtering in between.
+    A finite stream keeps its last windows and timers open. Run the query until it has
+    read all files, in as many micro-batches as it takes, call the function, and run it
+    again on the same checkpoint: the row then closes all windows. Sooner it would make
+    all rows after it late. The marker has NULLs in all columns but ``ts``. It has to
+    reach the watermark: count by condition instead of filtering in between.
     """
     spark = stream.sparkSession
     folder = scratch_path(spark, "end-marker")
@@ -42,6 +45,10 @@ def with_end_marker(stream: DataFrame, ts: str) -> DataFrame:
     row = spark.range(1).select(
         *[(zone_free if f.name == ts else F.lit(None).cast(f.dataType)).alias(f.name) for f in stream.schema]
     )
-    row.coalesce(1).write.parquet(folder)
+    row.limit(0).write.parquet(folder)
     marker = spark.readStream.schema(stream.schema).parquet(folder)
-    return stream.unionByName(marker)
+
+    def close() -> None:
+        row.coalesce(1).write.mode("append").parquet(folder)
+
+    return stream.unionByName(marker), close

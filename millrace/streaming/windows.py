@@ -21,6 +21,8 @@ from millrace.sinks.files import start_batches
 
 WINDOW_END = "window_end"
 
+_INSIDE = "__inside"
+
 
 def with_window_ends(
     df: DataFrame, ts: str, size: str, slide: str, lateness: str, where: Column | None = None, unit: str = "s"
@@ -28,16 +30,18 @@ def with_window_ends(
     """One row per window of each row, with the watermark on ``window_end``.
 
     Rows that do not meet ``where`` only get their last window: enough to move
-    the watermark as far as with all of them.
+    the watermark as far as with all of them. Rows between windows (slide above size)
+    get the window before them, with a false ``_INSIDE``: they only move the watermark.
     """
     panes = Panes(duration_us(size), duration_us(slide))
     pane = panes.pane(to_us(df, ts, unit))
     first, last = panes.first_start(pane), panes.last_start(pane)
     if where is not None:
         first = F.when(where, first).otherwise(last)
-    starts = F.when(first <= last, F.sequence(first, last, F.lit(panes.slide)))
+    inside = first <= last
+    starts = F.when(inside, F.sequence(first, last, F.lit(panes.slide))).otherwise(F.array(last))
     ends = F.transform(starts, lambda s: F.timestamp_micros(s + F.lit(panes.size)))
-    exploded = df.withColumn(WINDOW_END, F.explode(ends))
+    exploded = df.withColumn(_INSIDE, inside).withColumn(WINDOW_END, F.explode(ends))
     return exploded.withWatermark(WINDOW_END, interval_text(panes.size + duration_us(lateness)))
 
 
@@ -52,7 +56,7 @@ def sliding_count(
     for k in keys:
         marked = marked.withColumn(k, F.when(F.col("__counted"), F.col(k)))
     windows = with_window_ends(marked, ts, size, slide, lateness, F.col("__counted"), unit)
-    return windows.groupBy(*keys, WINDOW_END).agg(F.count_if("__counted").alias("cnt")).filter(F.col("cnt") > 0)
+    return windows.groupBy(*keys, WINDOW_END).agg(F.count_if(F.col("__counted") & F.col(_INSIDE)).alias("cnt")).filter(F.col("cnt") > 0)
 
 
 def sliding_min_record(
@@ -63,7 +67,7 @@ def sliding_min_record(
     extra = [c for c in columns if c != value]
     ranked = F.struct(value, *tie, *[c for c in extra if c not in tie])
     windows = with_window_ends(df, ts, size, slide, lateness, unit=unit)
-    least = windows.groupBy(*keys, WINDOW_END).agg(F.min(F.when(F.col(value).isNotNull(), ranked)).alias("record"))
+    least = windows.groupBy(*keys, WINDOW_END).agg(F.min(F.when(F.col(value).isNotNull() & F.col(_INSIDE), ranked)).alias("record"))
     return least.filter(F.col("record").isNotNull()).select(
         *keys, WINDOW_END, *[F.col(f"record.{c}").alias(c) for c in (value, *extra)]
     )

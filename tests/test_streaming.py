@@ -14,7 +14,8 @@ from millrace.operators import alarms, patterns, ranking, routing, sliding, word
 from millrace.sinks import documents, files
 from millrace.sinks.fanout import fan_out
 from millrace.sources import kafka
-from millrace.sources.lines import collection, stream_text_lines
+from millrace.sinks import files as files_module
+from millrace.sources.lines import collection, stream_table, stream_text_lines
 from millrace.streaming import punctuated, stateful, watermarks, windows
 
 END = dt.datetime(2900, 1, 1)
@@ -194,13 +195,60 @@ def test_end_marker_closes_all_windows(spark, feed, rows_of):
     rows = random_events(50)
     f = feed(EVENTS)
     f.add(rows)
-    stream = windows.sliding_count(
-        watermarks.with_end_marker(f.stream(), "ts"), ["k"], "ts", "60 seconds", "5 seconds", F.col("k").isNotNull())
+    marked, close = watermarks.with_end_marker(f.stream(), "ts")
+    stream = windows.sliding_count(marked, ["k"], "ts", "60 seconds", "5 seconds", F.col("k").isNotNull())
+    f.run(stream)
+    close()
     f.run(stream)
     want = sliding.sliding_count(spark.createDataFrame(rows, EVENTS), ["k"], "ts", "60 seconds", "5 seconds")
     assert rows_of(f.results(stream.schema)) == rows_of(want)
 
 
+@pytest.mark.parametrize("files", [1, 3, 7])
+def test_no_row_is_lost_over_many_batches(spark, tmp_path, rows_of, files):
+    rows = random_events(84)
+    for i in range(7):
+        part = spark.createDataFrame(rows[12 * i : 12 * i + 12], EVENTS).coalesce(1)
+        part.write.mode("append").parquet(str(tmp_path / "events.parquet"))
+    source = stream_table(spark, str(tmp_path), "events", files)
+    marked, close = watermarks.with_end_marker(source, "ts")
+    # Files of one second may come in any order, so rows may lag.
+    stream = windows.sliding_count(
+        marked, ["k"], "ts", "60 seconds", "5 seconds", F.col("k").isNotNull(), lateness="1 hour")
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    files_run = lambda: files_module.start_batches(stream, files_module.parquet_batches(out), state, "append")
+    files_run().awaitTermination()
+    close()
+    files_run().awaitTermination()
+    want = sliding.sliding_count(spark.createDataFrame(rows, EVENTS), ["k"], "ts", "60 seconds", "5 seconds")
+    assert rows_of(files_module.read_batches(spark, out, stream.schema)) == rows_of(want)
+
+
+def test_rows_between_windows_move_the_watermark_only(spark, feed, rows_of):
+    rows = [(1, "a", at(1), 0, 1.0), (1, "a", at(8), 1, 1.0), (1, "a", at(21), 2, 1.0)]
+    f = feed(EVENTS)
+    f.add(rows)
+    marked, close = watermarks.with_end_marker(f.stream(), "ts")
+    stream = windows.sliding_count(marked, ["k"], "ts", "5 seconds", "10 seconds", F.col("k").isNotNull())
+    f.run(stream)
+    close()
+    f.run(stream)
+    want = sliding.sliding_count(spark.createDataFrame(rows, EVENTS), ["k"], "ts", "5 seconds", "10 seconds")
+    assert rows_of(f.results(stream.schema)) == rows_of(want)
+
+
+def test_null_values_are_no_least_record(spark, feed, rows_of):
+    rows = [(1, "a", at(1), 0, None), (1, "a", at(2), 1, 5.0), (2, "a", at(3), 2, None)]
+    f = feed(EVENTS)
+    f.add(rows)
+    f.add(marker())
+    args = (["k"], "ts", "10 seconds", "5 seconds", "x", ["seq"], ["seq"])
+    stream = windows.sliding_min_record(f.stream(), *args)
+    f.run(stream)
+    want = rows_of(sliding.sliding_min_record(spark.createDataFrame(rows, EVENTS), *args))
+    assert rows_of(f.results(stream.schema)) == want and {r[2] for r in want} == {5.0}
+
+
 def test_watermark_helpers(feed):
     plan = watermarks.bounded(feed(EVENTS).stream(), "ts", "2 seconds")
     assert plan.isStreaming and watermarks.ascending(plan.select("ts"), "ts").isStreaming
