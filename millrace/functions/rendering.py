@@ -15,12 +15,15 @@ TIME_LABEL = "时间： "
 ITEM_LABEL = " 商品ID= "
 VIEWS_LABEL = " 浏览量= "
 DESCRIBE_PREFIX = "转换成字符串： "
+SENSOR_NAME = "Sensor("
+VISIT_NAME = "WindowKeyTime("
+PLACE_LABEL = "No."
 
 
 def sensor_text(id: Column, event_time: Column, temperature: Column) -> Column:
     """``Sensor(id,time,temperature)``."""
     return F.concat(
-        F.lit("Sensor("), id, F.lit(","), event_time.cast("string"),
+        F.lit(SENSOR_NAME), id, F.lit(","), event_time.cast("string"),
         F.lit(","), temperature.cast("string"), F.lit(")"),
     )
 
@@ -65,7 +68,7 @@ def item_report(
     if not isinstance(top.schema[window_end].dataType, (T.TimestampType, T.TimestampNTZType)):
         raise TypeError(f"{window_end} must be a timestamp")
     line = F.concat(
-        F.lit("No."), F.col(rank).cast("string"), F.lit(": "), F.lit(ITEM_LABEL), F.col(key).cast("string"),
+        F.lit(PLACE_LABEL), F.col(rank).cast("string"), F.lit(": "), F.lit(ITEM_LABEL), F.col(key).cast("string"),
         F.lit(VIEWS_LABEL), F.col(cnt).cast("string"), F.lit("\n"),
     )
     text = F.concat(
@@ -81,7 +84,7 @@ def visit_report(
     """The ranking of each window as a text block of records."""
     millis = from_us(to_us(top, window_end, unit), T.LongType(), "ms").cast("string")
     line = F.concat(
-        F.lit("No."), F.col(rank).cast("string"), F.lit("WindowKeyTime("), millis, F.lit(","),
+        F.lit(PLACE_LABEL), F.col(rank).cast("string"), F.lit(VISIT_NAME), millis, F.lit(","),
         java_trim(F.col(key).cast("string")), F.lit(","), F.col(cnt).cast("string"), F.lit(")\n"),
     )
     text = F.concat(F.lit(RULE), F.col("__body"), F.lit(RULE))

@@ -5,11 +5,11 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import START as BASE
 from millrace.functions import parsing, rendering
 from millrace.operators import alarms, patterns, ranking, routing, sliding, words
 from millrace.sources import lines
 
-BASE = 1547718000
 
 
 @pytest.fixture(scope="module")
@@ -18,18 +18,17 @@ def sensors(sensor_lines):
 
 
 def test_fail_streaks_chain_and_exclude_two_seconds(logins_1, rows_of):
-    base = 1558430800
     found = patterns.fail_streaks(logins_1).collect()
     assert {r.warning_msg for r in found} == {"login fail in 2 seconds"}
-    assert sorted((r.user_id, r.first_time - base, r.last_fail_time - base) for r in found) == [
-        (1, 42, 43), (1, 43, 44), (2, 46, 47), (2, 47, 48), (2, 59, 60),
+    assert sorted((r.user_id, r.first_time - BASE, r.last_fail_time - BASE) for r in found) == [
+        (31, 5, 6), (31, 6, 7), (32, 21, 21),
     ]
 
 
 @pytest.mark.parametrize("keys", [[], ["user_id"]])
 def test_strict_pattern(logins_2, rows_of, keys):
     found = patterns.fail_streaks(logins_2, keys=keys, message=patterns.FAIL_PATTERN_MESSAGE)
-    assert rows_of(found) == [(2, 1558430847, 1558430848, "fail login Warining ")]
+    assert rows_of(found) == [(42, BASE + 50, BASE + 51, patterns.FAIL_PATTERN_MESSAGE)]
 
 
 def test_unkeyed_pattern_spans_users(make, rows_of):
@@ -41,9 +40,12 @@ def test_unkeyed_pattern_spans_users(make, rows_of):
 def test_orders_paid_and_timed_out(orders, rows_of):
     found = patterns.order_results(orders)
     paid = found.filter("status = 'matched'").drop("deadline")
-    assert rows_of(paid) == [(2, "matched", "order pay successfully", 1558430843, 1558430850)]
+    assert rows_of(paid) == [(72, "matched", "order pay successfully", BASE + 110, BASE + 400)]
     late = found.filter("status = 'timeout'")
-    assert rows_of(late) == [(1, "timeout", "超时：1558431742", 1558430842, None, 1558431742)]
+    assert rows_of(late) == [
+        (71, "timeout", f"超时：{BASE + 1000}", BASE + 100, None, BASE + 1000),
+        (73, "timeout", f"超时：{BASE + 1020}", BASE + 120, None, BASE + 1020),
+    ]
 
 
 def test_one_payment_completes_all_open_orders(make, rows_of):
@@ -61,7 +63,7 @@ def test_pattern_stages_by_name(logins_2):
     failed = F.col("event_type") == "fail"
     pattern = patterns.Pattern.begin("begin", failed).next("next", failed).within("2 seconds")
     row = patterns.match(logins_2, pattern, ["user_id"], "event_time", "seq").first()
-    assert (row.begin.event_time, row.next.event_time, row.begin.ip) == (1558430847, 1558430848, "192.168.0.1")
+    assert (row.begin.event_time, row.next.event_time, row.begin.ip) == (BASE + 50, BASE + 51, "10.4.0.3")
 
 
 def test_sliding_min_record(sensors, rows_of):
@@ -70,10 +72,8 @@ def test_sliding_min_record(sensors, rows_of):
     )
     got = sorted((r.id, r.window_end - BASE, r.event_time - BASE) for r in found.collect())
     assert got == sorted(
-        [("sensor_1", e, 199) for e in (200, 205, 210)] + [("sensor_6", e, 201) for e in (205, 210, 215)]
-        + [("sensor_7", e, 202) for e in (205, 210, 215)]
-        + [("sensor_10", 210, 207), ("sensor_10", 215, 207), ("sensor_10", 220, 207), ("sensor_10", 225, 216),
-           ("sensor_10", 230, 216)]
+        [("probe_a", e, 12) for e in (15, 20, 25)] + [("probe_b", e, 13) for e in (15, 20, 25)]
+        + [("probe_c", e, 17) for e in (20, 25, 30)] + [("probe_c", e, 26) for e in (35, 40)]
     )
 
 
@@ -88,23 +88,23 @@ def test_min_record_tie_keeps_the_first(make):
 def test_rising_alarms(sensors):
     found = alarms.rising_alarms(sensors, "id", "event_time", "temperature")
     assert sorted((r.id, r.alarm_ts) for r in found.collect()) == sorted(
-        [("sensor_1", BASE + 201), ("sensor_6", BASE + 203), ("sensor_7", BASE + 204), ("sensor_10", BASE + 218)]
+        [("probe_a", BASE + 14), ("probe_b", BASE + 15), ("probe_c", BASE + 28)]
     )
-    assert found.filter("id = 'sensor_1'").first().alarm_msg == "连续升温报警sensor_1"
+    assert found.filter("id = 'probe_a'").first().alarm_msg == "连续升温报警probe_a"
 
 
 def test_freeze_route(sensors, rows_of):
     routed = routing.freeze_route(sensors)
     cold = routing.side_output(routed, routing.FREEZE_TAG).select("id", F.col("event_time") - BASE)
-    assert rows_of(cold) == [("sensor_10", 207), ("sensor_6", 201), ("sensor_7", 202)]
+    assert rows_of(cold) == [("probe_b", 13), ("probe_c", 17)]
     assert routing.side_output(routed, routing.MAIN).count() == 3
 
 
 def test_word_counts(make, rows_of):
-    source = make([("hello world",)] * 9, "value STRING")
-    assert rows_of(words.word_count(source)) == [("hello", 9), ("world", 9)]
+    source = make([("rain wind",)] * 9, "value STRING")
+    assert rows_of(words.word_count(source)) == [("rain", 9), ("wind", 9)]
     log = words.running_word_count(source, ["seq"])
-    assert rows_of(log.select("word", "cnt")) == sorted((w, n) for w in ("hello", "world") for n in range(1, 10))
+    assert rows_of(log.select("word", "cnt")) == sorted((w, n) for w in ("rain", "wind") for n in range(1, 10))
 
 
 def test_split_connect_union(spark, rows_of):
@@ -130,9 +130,9 @@ def test_negative_odd_numbers_are_odd(make):
 
 
 def test_behavior_line(make):
-    row = parsing.parse_behavior(make([("543462,1715,1464116,pv,1511658000",)], "value STRING")).first()
+    row = parsing.parse_behavior(make([("901,22,3333,pv,1700000123",)], "value STRING")).first()
     assert (row.user_id, row.item_id, row.category_id, row.behavior, row.event_time) == (
-        543462, 1715, 1464116, "pv", 1511658000
+        901, 22, 3333, "pv", 1700000123
     )
 
 
@@ -184,7 +184,7 @@ def test_reports(make):
 
 
 def test_hot_items_of_the_sample_shape(make):
-    rows = make([(i, i % 5, 1511658000 + 3 * i) for i in range(200)], "user_id LONG, item_id LONG, event_time LONG")
+    rows = make([(i, i % 5, BASE + 3 * i) for i in range(200)], "user_id LONG, item_id LONG, event_time LONG")
     top = ranking.top_n(sliding.sliding_count(rows, ["item_id"], "event_time", "60 seconds", "5 seconds"), 3)
     assert top.select("window_end").distinct().count() == 131
     assert top.groupBy("window_end").count().filter("count > 3").count() == 0
