@@ -25,8 +25,10 @@ from millrace.llm.components import connected_components, local_components
 from millrace.session import reliable_checkpoint
 
 THRESHOLD = 0.95
-SAMPLE, MOST_PIVOTS, ROWS_PER_BLOCK = 4_000, 256, 2_000
-_TILE = 512
+SAMPLE, MOST_PIVOTS, ROWS_PER_BLOCK = 4_000, 256, 8_000
+# Cells that a sample vector may visit on average; with more, fewer pivots serve better.
+MOST_VISITS = 4
+_TILE = 256
 # Beyond this, sums of int8 products are not exact in single precision.
 _EXACT_DIMENSIONS = 1_000
 _ROUNDING = 1e-9
@@ -50,6 +52,16 @@ def choose_pivots(sample: np.ndarray, most: int) -> np.ndarray:
     return sample[chosen]
 
 
+def useful_pivots(sample: np.ndarray, pivots: np.ndarray, reach: float) -> np.ndarray:
+    """As many of the pivots as keep the sample's visits few; vectors without clusters are left with one cell."""
+    while len(pivots) > 1:
+        far = np.sqrt(np.maximum(0, 2 - 2 * sample @ pivots.T))
+        if (far <= far.min(axis=1)[:, None] + reach).sum(axis=1).mean() <= MOST_VISITS:
+            break
+        pivots = pivots[: len(pivots) // 2]
+    return pivots
+
+
 def quantised(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(q, scale, |x - scale q|) per row, q within int8; errors are rounded up."""
     scale = np.abs(x).max(axis=1) / 127
@@ -118,10 +130,10 @@ def links(df: DataFrame, threshold: float = THRESHOLD, key: str = "vec_id", vect
     sample = units.orderBy(F.xxhash64("k1", "k2"), "rep").limit(SAMPLE).select("d", "unit").collect()
     count = units.count()
     most = int(min(MOST_PIVOTS, max(1, count**0.5)))
-    pivots = {
-        d: choose_pivots(np.array([np.frombuffer(r["unit"]) for r in sample if r["d"] == d]), most)
-        for d in {r["d"] for r in sample}
-    }
+    pivots = {}
+    for d in {r["d"] for r in sample}:
+        own = np.array([np.frombuffer(r["unit"]) for r in sample if r["d"] == d])
+        pivots[d] = useful_pivots(own, choose_pivots(own, most), reach)
 
     def visit(batches: Iterator) -> Iterator[dict]:
         for batch in batches:
@@ -133,8 +145,8 @@ def links(df: DataFrame, threshold: float = THRESHOLD, key: str = "vec_id", vect
                 own = pivots.get(int(d))
                 # Lengths that the sample has not met make one cell each.
                 own = np.zeros((1, d)) if own is None or not len(own) else own
-                for start in range(0, len(x), 4_096):
-                    part = x[start : start + 4_096]
+                for start in range(0, len(x), 1_024):
+                    part = x[start : start + 1_024]
                     far = np.sqrt(np.maximum(0, (part**2).sum(1)[:, None] + (own**2).sum(1) - 2 * part @ own.T))
                     home = far.argmin(axis=1)
                     r, cell = np.nonzero(far <= far.min(axis=1)[:, None] + reach + 1e-7)
