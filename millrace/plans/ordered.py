@@ -1,130 +1,50 @@
 """Ordered scans per key that stay balanced when one key holds most rows.
 
-``Window.partitionBy(key)`` puts all rows of a key in one task. Here a key with
-more rows than a task should sort (a *hot* key) is cut into chunks along the
-order columns. Chunk borders are quantiles of a sample, so a burst in time is
-cut as well. Every scan then has three steps:
+``Window.partitionBy(key)`` puts all rows of a key in one task. A table of more
+rows than a task should sort is cut by ranges of (keys, order) instead, so a
+frequent key and a burst in time are cut as well. Every scan then has three steps:
 
-1. a window inside each (hot key, chunk);
-2. one summary row per (hot key, chunk), and what precedes each chunk computed
+1. a window inside each (key, chunk);
+2. one summary row per (key, chunk), and what precedes each chunk computed
    from these few rows;
 3. both merged.
 
-Borders only decide where the work is cut, never the result. Keys that are not
-hot, usually all of them, take the plain window.
+Borders only decide where the work is cut, never the result. A chunk is a range
+partition; its number is fixed by one reliable copy, as borders found a second time
+need not be the same. The number of chunks has no cap, nothing is collected, and any
+type that Spark can sort will do. Tables that fit one task take the plain window.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import reduce
-from itertools import takewhile
-from math import inf, nextafter
-from operator import and_
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from millrace.functions.times import to_us
+from millrace.session import reliable_checkpoint
 
-HOT = "__hot"
+KEY = "__key"
 CHUNK = "__chunk"
 _CARRY = "__carry"
 _SUMMARY = "__summary"
 
 ROWS_PER_GROUP = 2_000_000
-MAX_CHUNKS = 8_192
-_SAMPLES_PER_CHUNK = 16
 
 
-def split_hot(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_per_group: int | None
-) -> tuple[DataFrame | None, DataFrame | None]:
-    """``df`` as (rows of ordinary keys, rows of hot keys with HOT and CHUNK columns).
+def chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_per_group: int | None) -> DataFrame | None:
+    """``df`` with KEY (the keys as one struct) and CHUNK, or None if its rows fit one chunk.
 
-    Hot are the MAX_CHUNKS longest keys of those above ``rows_per_group`` rows: a
-    bound on what is collected and broadcast. A key left out is shorter than each
-    of these, so it has less than a MAX_CHUNKS-th of all rows.
+    CHUNK never falls along ``order`` within a key and has about ``rows_per_group``
+    rows per value. Rows alike in all keys and order columns share a chunk.
     """
-    keys, limit = list(keys), rows_per_group or ROWS_PER_GROUP
-    if not keys:
-        rows = df.count()
-        return (df, None) if rows <= limit else (None, _with_chunk(df.withColumn(HOT, F.lit(0)), order, rows, limit))
-    lengths = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    counts = lengths.filter(F.col("__n") > limit).orderBy(F.desc("__n")).limit(MAX_CHUNKS).collect()
-    if not counts:
-        return df, None
-    schema = T.StructType(
-        [T.StructField(HOT, T.IntegerType(), False)]
-        + [T.StructField(f"__key{i}", df.schema[k].dataType, True) for i, k in enumerate(keys)]
-    )
-    hot = df.sparkSession.createDataFrame([(i, *row[:-1]) for i, row in enumerate(counts)], schema)
-    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__key{i}")) for i, k in enumerate(keys)])
-    light = df.join(F.broadcast(hot), same, "left_anti")
-    heavy = df.join(F.broadcast(hot), same).drop(*[f"__key{i}" for i in range(len(keys))])
-    return light, _with_chunk(heavy, order, sum(row["__n"] for row in counts), limit)
-
-
-def _position(df: DataFrame, column: str) -> Column:
-    """The order column as a double; equal or smaller values never map higher."""
-    kind = df.schema[column].dataType
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return to_us(df, column).cast("double")
-    return F.col(column).cast("double")
-
-
-def _borders(values: list[float], parts: int) -> list[float]:
-    """The values that cut a sorted sample into ``parts``; a value may come several times."""
-    return [values[i * len(values) // parts] for i in range(1, parts)] if values else []
-
-
-def _bucketed(df: DataFrame, position: str, borders: list[float], name: str) -> DataFrame:
-    if not borders:
-        return df.withColumn(name, F.lit(0))
-    splits = [float("-inf"), *borders, float("inf")]
-    cut = Bucketizer(splits=splits, inputCol=position, outputCol="__bucket", handleInvalid="keep")
-    # NULLs sort first, hence they belong to the first bucket.
-    bucket = F.when(F.col(position).isNull(), F.lit(0)).otherwise(F.col("__bucket").cast("int"))
-    return cut.transform(df).withColumn(name, bucket).drop("__bucket")
-
-
-def _with_chunk(heavy: DataFrame, order: Sequence[str], rows: int, limit: int) -> DataFrame:
-    """Adds CHUNK, which never falls along ``order`` and has about ``limit`` rows per value.
-
-    Cuts lie between values of the first order column. A value so frequent that
-    several cuts fall on it gets a chunk of its own, cut further along the second
-    order column.
-    """
-    chunks = min(MAX_CHUNKS, -(-rows // limit))
-    places = [_position(heavy, c).alias(f"__p{i}") for i, c in enumerate(_numeric(heavy, order[:2]))]
-    fraction = min(1.0, chunks * _SAMPLES_PER_CHUNK / rows)
-    sample = sorted(tuple(r) for r in heavy.select(*places).sample(fraction=fraction, seed=7).dropna().collect())
-    cuts = _borders([r[0] for r in sample], chunks)
-    placed = heavy.select("*", *places)
-    # Beyond 2^53 two whole numbers may share a double, so equal positions prove nothing.
-    ties = {v for v, again in zip(cuts, cuts[1:]) if v == again and abs(v) < 2**53} if len(places) > 1 else set()
-    borders = sorted({*cuts, *(nextafter(v, inf) for v in ties)})
-    placed = _bucketed(placed, "__p0", borders, CHUNK)
-    if ties:
-        tied = sorted(r[1] for r in sample if r[0] in ties)
-        finer = sorted(set(_borders(tied, -(-len(tied) // _SAMPLES_PER_CHUNK))))
-        own = [i + 1 for i, v in enumerate(borders) if v in ties]
-        placed = _bucketed(placed, "__p1", finer, "__finer")
-        finer_chunk = F.when(F.col(CHUNK).isin(own), F.col("__finer")).otherwise(0)
-        placed = placed.withColumn(CHUNK, F.col(CHUNK).cast("long") * (len(finer) + 1) + finer_chunk).drop("__finer")
-    return placed.drop("__p0", "__p1")
-
-
-def _numeric(df: DataFrame, columns: Sequence[str]) -> list[str]:
-    """The leading columns that have a position: whole numbers, floats and times."""
-    kinds = (T.IntegralType, T.FractionalType, T.TimestampType, T.TimestampNTZType)
-    found = list(takewhile(lambda c: isinstance(df.schema[c].dataType, kinds), columns))
-    if not found:
-        raise TypeError(f"the first order column {columns[0]} must be a number or a time")
-    # Decimals may round when cast; they serve for cuts, but not to tell ties apart.
-    return found[:1] if isinstance(df.schema[found[0]].dataType, T.DecimalType) else found
+    rows, limit = df.count(), rows_per_group or ROWS_PER_GROUP
+    if rows <= limit:
+        return None
+    # A field that is never NULL makes a struct of no keys, too.
+    whole = F.struct(F.lit(0).alias("all"), *[F.col(k) for k in keys]).alias(KEY)
+    ranged = df.repartitionByRange(-(-rows // limit), *keys, *_ordering(order, backward=False))
+    return reliable_checkpoint(ranged.select("*", whole, F.spark_partition_id().alias(CHUNK)))
 
 
 def _ordering(order: Sequence[str], backward: bool) -> list[Column]:
@@ -149,20 +69,17 @@ def ordered_scan(
     ``carry`` combines the summaries of the chunks gone before, and ``merge``
     joins local value and carry. ``backward`` walks from last to first row.
     """
-    light, heavy = split_hot(df, keys, order, rows_per_group)
-    parts = []
-    if light is not None:
-        by = list(keys) or [F.lit(0)]
-        window = Window.partitionBy(*by).orderBy(*_ordering(order, backward))
-        parts.append(light.withColumn(name, local(window)))
-    if heavy is not None:
-        along = Window.partitionBy(HOT).orderBy(*_ordering([CHUNK], backward))
-        summaries = heavy.groupBy(HOT, CHUNK).agg(summary.alias(_SUMMARY))
-        carried = summaries.select(HOT, CHUNK, carry(F.col(_SUMMARY), along).alias(_CARRY))
-        inside = Window.partitionBy(HOT, CHUNK).orderBy(*_ordering(order, backward))
-        scanned = heavy.join(carried, [HOT, CHUNK]).withColumn(name, merge(local(inside), F.col(_CARRY)))
-        parts.append(scanned.drop(HOT, CHUNK, _CARRY))
-    return reduce(DataFrame.unionByName, parts)
+    cut = chunked(df, keys, order, rows_per_group)
+    if cut is None:
+        window = Window.partitionBy(*(list(keys) or [F.lit(0)])).orderBy(*_ordering(order, backward))
+        return df.withColumn(name, local(window))
+    along = Window.partitionBy(KEY).orderBy(*_ordering([CHUNK], backward))
+    summaries = cut.groupBy(KEY, CHUNK).agg(summary.alias(_SUMMARY))
+    # Only a key that crosses a border has something to carry: at most one row per border.
+    carried = summaries.select(KEY, CHUNK, carry(F.col(_SUMMARY), along).alias(_CARRY)).filter(F.col(_CARRY).isNotNull())
+    inside = Window.partitionBy(KEY, CHUNK).orderBy(*_ordering(order, backward))
+    scanned = cut.withColumn(name, local(inside)).join(carried, [KEY, CHUNK], "left")
+    return scanned.withColumn(name, merge(F.col(name), F.col(_CARRY))).drop(KEY, CHUNK, _CARRY)
 
 
 def previous_row(

@@ -41,27 +41,46 @@ def test_next_match_and_row_numbers(skewed, rows_of, limit):
         assert rows_of(make(limit)) == rows_of(make(None))
 
 
-def test_equal_times_are_cut_along_the_second_column(make, rows_of):
+def sizes(rows, keys, order, limit):
+    cut = ordered.chunked(rows, keys, order, limit)
+    return [r["count"] for r in cut.groupBy(ordered.KEY, ordered.CHUNK).count().collect()]
+
+
+def test_equal_times_are_cut_along_later_columns(make, rows_of):
     rows = make([(1, 7, i) for i in range(400)] + [(1, i, i) for i in range(5)] + [(2, i, i) for i in range(5)],
                 "k LONG, t LONG, v LONG")
-    _, heavy = ordered.split_hot(rows, ["k"], ["t", "seq"], 20)
-    sizes = [r["count"] for r in heavy.groupBy(ordered.CHUNK).count().collect()]
-    assert len(sizes) > 5 and max(sizes) < 200
+    for order in (["t", "seq"], ["t", "k", "seq"]):  # in the second, ties on two columns
+        found = sizes(rows, ["k"], order, 20)
+        assert sum(found) == 410 and max(found) < 60
     cut = ordered.row_numbers(rows, ["k"], ["t", "seq"], "n", 20)
     assert rows_of(cut) == rows_of(ordered.row_numbers(rows, ["k"], ["t", "seq"], "n"))
     back = ordered.previous_row(rows, ["k"], ["t", "seq"], ["v"], "before", 20)
     assert rows_of(back) == rows_of(ordered.previous_row(rows, ["k"], ["t", "seq"], ["v"], "before"))
 
 
+def test_many_hot_keys_are_all_cut(make, rows_of):
+    rows = make([(i % 12 or None, i) for i in range(1200)], "k LONG, t LONG")
+    assert max(sizes(rows, ["k"], ["t"], 20)) < 60
+    cut = ordered.max_so_far(rows, ["k"], ["t"], F.col("t"), "m", 20)
+    assert rows_of(cut) == rows_of(ordered.max_so_far(rows, ["k"], ["t"], F.col("t"), "m"))
+
+
 def test_huge_numbers_that_share_a_double(make, rows_of):
     rows = make([(1, 2**60 + i % 3, i) for i in range(100)], "k LONG, t LONG, v LONG")
     cut = ordered.row_numbers(rows, ["k"], ["t", "seq"], "n", 10)
     assert rows_of(cut) == rows_of(ordered.row_numbers(rows, ["k"], ["t", "seq"], "n"))
 
 
-def test_text_cannot_order_a_hot_key(make):
-    with pytest.raises(TypeError):
-        ordered.row_numbers(make([(1, "a")] * 9, "k LONG, t STRING"), ["k"], ["t"], "n", 3)
+@pytest.mark.parametrize("kind", ["STRING", "DATE", "BINARY", "DECIMAL(30,3)", "BOOLEAN"])
+def test_any_type_that_sorts_can_order(make, rows_of, kind):
+    rows = make([(i % 2, f"{i * 37 % 90:04d}") for i in range(90)], "k LONG, s STRING")
+    at = {
+        "DATE": F.date_add(F.lit("2024-01-01").cast("date"), F.col("s").cast("int")),
+        "BOOLEAN": F.col("s").cast("int") % 2 == 0,
+    }.get(kind, F.col("s").cast(kind))
+    rows = rows.withColumn("t", at)
+    cut = ordered.row_numbers(rows, ["k"], ["t", "seq"], "n", 7).select("k", "seq", "n")
+    assert rows_of(cut) == rows_of(ordered.row_numbers(rows, ["k"], ["t", "seq"], "n").select("k", "seq", "n"))
 
 
 def test_null_times_come_first(make):
