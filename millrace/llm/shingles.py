@@ -9,12 +9,15 @@ that order, so only sets that share a prefix shingle meet. Equal sets count as o
 and prefix shingles that stand for the same sets as another are left out.
 
 The first shingle that linked sets share has few before it in either set, as those
-before are in one set only; sets for which it lies too deep do not meet there. Where
-sets meet, a task stores them in a prefix tree in global order, paths without
-branches as one node. Each set walks the tree from the root: the overlap with a shared
-path is counted once for all sets below, and a subtree is left when its sets are all
-linked already, too long, too short, or cannot reach the overlap needed with what
-remains. Links between sets already connected are not needed for the components.
+before are in one set only; sets for which it lies too deep do not meet there. The
+shingles whose sets have the same least member make a family, to which each set
+travels once, with the list of its shingles there. A task stores a family in a prefix tree
+in global order, paths without branches as one node. Each set walks the tree from the
+root, level by level, among those it shares a prefix shingle with: the overlap with a
+shared path is counted once for all sets below, and a subtree is left when its sets are
+all linked or refuted already, too long, too short, or cannot reach the overlap needed
+with what remains. The sets most like the others walk first, as they connect most, and
+links between sets already connected are not needed for the components.
 """
 
 from __future__ import annotations
@@ -37,22 +40,15 @@ WORDS, PERCENT = 4, 85
 SLOTS, FREQUENT = 1 << 21, 6
 # Shingles in one block of sets that meet in a task; more sets are cut into blocks that meet pairwise.
 SHINGLES_PER_BLOCK = 1_500_000
+# Sets in one block, as a walk looks at a mask of them.
+SETS_PER_BLOCK = 20_000
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
+_SPACE = np.zeros(256, dtype=bool)
+_SPACE[list(b" \t\n\x0b\f\r")] = True
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _CLASS_SHIFT, _SLOTS = np.uint64(58), np.uint64(SLOTS - 1)
-_known: dict[bytes, int] = {}
-
-
-def _word_hashes(words: list[bytes]) -> np.ndarray:
-    known = _known.get
-    found = [known(w) for w in words]
-    if None in found:
-        if len(_known) > 600_000:
-            _known.clear()
-        for i, h in enumerate(found):
-            if h is None:
-                found[i] = _known[words[i]] = xxhash.xxh3_64_intdigest(words[i])
-    return np.array(found, dtype=np.uint64)
+# Steps of a walk along a path: the first is short, as most walks end early.
+_FIRST_STEP = 64
 
 
 def _stirred(x: np.ndarray) -> np.ndarray:
@@ -61,17 +57,41 @@ def _stirred(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+def _weights(places: np.ndarray) -> np.ndarray:
+    """A 64-bit factor for each place in a word."""
+    return _stirred((places.astype(np.uint64) + np.uint64(1)) * _ODD)
+
+
+_USUAL_WEIGHTS = _weights(np.arange(1_024))
+
+
+def _word_hashes(text: bytes) -> np.ndarray:
+    """A 64-bit hash of each word: the stirred sum of its bytes, weighed by their places."""
+    letters = np.frombuffer(text, dtype=np.uint8)
+    edges = np.flatnonzero(np.diff(np.concatenate(([True], _SPACE[letters], [True]))))
+    starts = edges[::2]
+    if not len(starts):
+        return np.empty(0, dtype=np.uint64)
+    spans = np.append(starts[1:], len(letters)) - starts
+    letters, starts = letters[starts[0] :], starts - starts[0]
+    places = np.arange(len(letters)) - np.repeat(starts, spans)
+    weighed = _USUAL_WEIGHTS[places] if spans.max() <= len(_USUAL_WEIGHTS) else _weights(places)
+    weighed = weighed * (letters.astype(np.uint64) + np.uint64(1))
+    weighed[_SPACE[letters]] = 0
+    return _stirred(np.add.reduceat(weighed, starts))
+
+
 def shingle_set(text: str | None, size: int = WORDS) -> np.ndarray:
     """The distinct shingle hashes of a text, sorted; a text of fewer words is one shingle, without words none."""
-    words = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
-    if not words:
-        return np.empty(0, dtype=np.uint64)
-    hashes = _word_hashes(words)
-    width = min(size, len(words))
-    total = np.full(len(words) - width + 1, width, dtype=np.uint64)
+    hashes = _word_hashes((text or "").encode("utf-8", "surrogatepass").translate(_LOWER))
+    if not len(hashes):
+        return hashes
+    width = min(size, len(hashes))
+    total = np.full(len(hashes) - width + 1, width, dtype=np.uint64)
     for i in range(width):
         total = total * _ODD + hashes[i : len(hashes) - width + 1 + i]
-    return np.unique(_stirred(total))
+    total = np.sort(_stirred(total))
+    return total[np.concatenate(([True], total[1:] != total[:-1]))]
 
 
 def set_key(shingles: np.ndarray) -> int:
@@ -100,77 +120,123 @@ def needed(a: int, b: int, percent: int) -> int:
 
 
 class Tree:
-    """A prefix tree of ordered sets; a node has a path, the range of its sets, and their shortest and longest."""
+    """A prefix tree of ordered, distinct sets, none empty.
+
+    A node is a path, given by its first set and two depths, and the range of the sets
+    below; of these the first ``ended`` end with the path. Its children stand side by side.
+    """
 
     def __init__(self, sets: list[np.ndarray]) -> None:
         # Big-endian bytes compare as the numbers do, so sorting puts shared prefixes side by side.
         self.order = sorted(range(len(sets)), key=lambda i: sets[i].astype(">u8").tobytes())
         self.sets = [sets[i] for i in self.order]
         self.sizes = np.array([len(s) for s in self.sets])
-        self.root = self._node(0, len(self.sets), 0)
-
-    def _node(self, lo: int, hi: int, depth: int) -> tuple:
-        first, last = self.sets[lo], self.sets[hi - 1]
-        short = min(len(first), len(last))
-        differ = np.flatnonzero(first[depth:short] != last[depth:short])
-        end = depth + int(differ[0]) if len(differ) else short
-        below = []
-        if hi - lo > 1:
-            at = lo
-            while at < hi and len(self.sets[at]) <= end:
-                at += 1
-            ended = at - lo
-            while at < hi:
-                branch, until = self.sets[at][end], at + 1
-                while until < hi and self.sets[until][end] == branch:
-                    until += 1
-                below.append((at, until))
-                at = until
-        else:
-            ended, end = 1, len(first)
-        sizes = self.sizes[lo:hi]
-        return lo, hi, depth, end, ended, below, int(sizes.min()), int(sizes.max())
-
-    def linked(self, x: np.ndarray, percent: int, wanted: np.ndarray) -> list[int]:
-        """Places of the sets among ``wanted`` (a mask by place) that link with ``x``."""
-        found, size = [], len(x)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.tokens, self.ids = np.unique(np.concatenate(self.sets), return_inverse=True)
+        self._build()
+
+    def _build(self) -> None:
+        shared = np.zeros(len(self.sets), dtype=np.int64)
+        for i, (x, y) in enumerate(zip(self.sets, self.sets[1:])):
+            short = min(len(x), len(y))
+            differ = x[:short] != y[:short]
+            at = int(differ.argmax())
+            shared[i] = at if differ[at] else short
+        nodes, waiting = [], [(0, len(self.sets), 0)]
+        for lo, hi, depth in waiting:
+            end = int(shared[lo : hi - 1].min()) if hi - lo > 1 else int(self.sizes[lo])
+            ended = int((self.sizes[lo:hi] == end).sum())
+            cuts = lo + 1 + np.flatnonzero(shared[lo : hi - 1] == end)
+            below = [b for b in (lo, *cuts.tolist()) if b >= lo + ended] if ended < hi - lo else []
+            sizes = self.sizes[lo:hi]
+            nodes.append((lo, hi, depth, end, ended, len(waiting), len(below), sizes.min(), sizes.max()))
+            waiting.extend((x, y, end) for x, y in zip(below, [*below[1:], hi]))
+        columns = np.array(nodes, dtype=np.int64).T
+        self.lo, self.hi, self.depth, self.end, self.ended, self.child, self.children, self.least, self.most = columns
+
+    def linked(self, x: np.ndarray, percent: int, wanted: np.ndarray) -> np.ndarray:
+        """Places of the sets among ``wanted`` (a mask by place) that link with ``x``, a set that ``tokens`` holds."""
+        size = len(x)
+        own = np.searchsorted(self.tokens, x)
+        mark = np.zeros(len(self.tokens), dtype=bool)
+        mark[own] = True
         low, high = -(-percent * size // 100), 100 * size // percent
-        waiting = [(self.root, 0)]
-        while waiting:
-            (lo, hi, depth, end, ended, below, least, most), shared = waiting.pop()
-            if most < low or least > high or not wanted[lo:hi].any():
-                continue
-            path = self.sets[lo][depth:end]
-            if len(path):
-                at = np.searchsorted(x, path)
-                shared += int((x[np.minimum(at, size - 1)] == path).sum())
-                behind = size - int(np.searchsorted(x, path[-1], "right"))
-            else:
-                behind = size
+        before = np.concatenate(([0], np.cumsum(wanted)))
+        found = []
+        node, shared = np.zeros(1, dtype=np.int64), np.zeros(1, dtype=np.int64)
+        at, step = self.depth[node], _FIRST_STEP
+        while len(node):
+            keep = (self.most[node] >= low) & (self.least[node] <= high) & (before[self.hi[node]] > before[self.lo[node]])
+            node, shared, at = node[keep], shared[keep], at[keep]
+            stop = np.minimum(at + step, self.end[node])
+            lengths, begin = stop - at, self.starts[self.lo[node]]
+            ends = np.cumsum(lengths)
+            path = np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin + at - (ends - lengths), lengths)
+            hits = np.concatenate(([0], np.cumsum(mark[self.ids[path]])))
+            shared = shared + hits[ends] - hits[ends - lengths]
+            last = self.ids[begin + np.maximum(stop, 1) - 1]
+            behind = np.where(stop > 0, size - np.searchsorted(own, last, "right"), size)
             # No set below can share more than what is left of either side.
-            if shared + min(behind, most - end) < needed(size, max(least, low), percent):
-                continue
-            for place in range(lo, lo + ended):
-                if wanted[place] and shared >= needed(size, int(self.sizes[place]), percent):
-                    found.append(place)
-            waiting.extend((self._node(a, b, end), shared) for a, b in below)
-        return found
-
-
-def tree_edges(keys: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """Links that connect what is connected: at most one less than there are sets."""
+            reach = shared + np.minimum(behind, self.most[node] - stop)
+            keep = reach >= needed(size, np.maximum(self.least[node], low), percent)
+            node, shared, at = node[keep], shared[keep], stop[keep]
+            over = at == self.end[node]
+            leaving = over & (self.ended[node] > 0)
+            count = self.ended[node[leaving]]
+            place = np.repeat(self.lo[node[leaving]], count) + _ranges(count)
+            enough = np.repeat(shared[leaving], count) >= needed(size, self.sizes[place], percent)
+            found.append(place[enough & wanted[place]])
+            count = self.children[node[over]]
+            below = np.repeat(self.child[node[over]], count) + _ranges(count)
+            node = np.concatenate((node[~over], below))
+            shared = np.concatenate((shared[~over], np.repeat(shared[over], count)))
+            at = np.concatenate((at[~over], self.depth[below]))
+            step *= 2
+        return np.concatenate(found)
+
+
+def _ranges(counts: np.ndarray) -> np.ndarray:
+    """0 .. count - 1 for each count, one after the other."""
+    ends = np.cumsum(counts)
+    return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - counts, counts)
+
+
+def tree_edges(
+    keys: np.ndarray, sets: list[np.ndarray], percent: int, met: list[np.ndarray], side: np.ndarray
+) -> list[tuple[int, int]]:
+    """Links that connect what is connected: at most one less than there are sets.
+
+    Only sets whose lists in ``met`` share a shingle are compared; where there are two
+    sides, only those of different sides.
+    """
     tree = Tree(sets)
-    keys = [int(keys[i]) for i in tree.order]
-    parts = np.arange(len(keys))
+    count = len(tree.sets)
+    keys, side = keys[tree.order], side[tree.order]
+    met = [met[i] for i in tree.order]
+    lengths = np.array([len(m) for m in met])
+    owner = np.repeat(np.arange(count), lengths)
+    shingles, number = np.unique(np.concatenate(met), return_inverse=True)
+    members = owner[np.argsort(number, kind="stable")]
+    sizes = np.bincount(number, minlength=len(shingles))
+    begins, first = np.cumsum(sizes) - sizes, np.cumsum(lengths) - lengths
+    likeness = np.add.reduceat(np.bincount(tree.ids)[tree.ids], tree.starts) / tree.sizes
+    two, parts = bool(side.any() and not side.all()), np.arange(count)
+    waiting = np.ones(count, dtype=bool)
     edges = []
-    for i, x in enumerate(tree.sets):
-        other = parts != parts[i]
-        if not other.any():
-            break
-        for j in tree.linked(x, percent, other):
-            if parts[i] != parts[j]:
-                edges.append((keys[i], keys[j]))
-                parts[parts == parts[j]] = parts[i]
+    for i in np.argsort(-likeness, kind="stable").tolist():
+        own = number[first[i] : first[i] + lengths[i]]
+        wanted = np.zeros(count, dtype=bool)
+        wanted[members[np.repeat(begins[own], sizes[own]) + _ranges(sizes[own])]] = True
+        waiting[i] = False
+        wanted &= waiting & (parts != parts[i])
+        if two:
+            wanted &= side != side[i]
+        if wanted.any():
+            links = tree.linked(tree.sets[i], percent, wanted)
+            joined, one = np.unique(parts[links], return_index=True)
+            if len(joined):
+                edges.extend((int(keys[i]), int(keys[j])) for j in links[one])
+                parts[np.isin(parts, joined)] = parts[i]
     return edges
 
 
@@ -247,53 +313,54 @@ def _packed_texts(df: DataFrame, key: str, text: str, wanted: DataFrame, words:
             yield {"id": batch.column(0), "packed": [tool.compress(t.encode()) for t in texts]}
 
     def check(batches: Iterator) -> Iterator[dict]:
-        tool = zstandard.ZstdDecompressor()
+        tool, seen = zstandard.ZstdDecompressor(), set()
         for batch in batches:
             keys, packed = batch.column(1).to_pylist(), batch.column(0).to_pylist()
             found = [shingle_set(tool.decompress(p).decode(), words) for p in packed]
-            # Rows that share the id but not the text are not the document meant.
-            right = [i for i, (f, k) in enumerate(zip(found, keys)) if len(f) and set_key(f) == k]
+            # Rows that share the id but not the text are not the document meant; rows that repeat it are needed once.
+            right = []
+            for i, (f, k) in enumerate(zip(found, keys)):
+                if len(f) and set_key(f) == k and k not in seen:
+                    seen.add(k)
+                    right.append(i)
             yield {"set": [keys[i] for i in right], "n": [len(found[i]) for i in right], "packed": [packed[i] for i in right]}
 
     texts = map_batches(df.select(F.col(key).cast("long"), text), pack, "id long, packed binary")
     chosen = texts.join(wanted, texts["id"].eqNullSafe(wanted["id"])).select("packed", "set")
-    # Repeated rows may give a set twice; it then only meets itself.
+    # A set that two tasks give only meets itself.
     return map_batches(chosen, check, "set long, n long, packed binary")
 
 
 def _places(met: DataFrame, packed: DataFrame) -> DataFrame:
-    """(token, i, j, set): where the sets of ``met(token, set)`` meet.
+    """(lead, i, j, set, met, side): where the sets of a family meet, of ``met(lead, set, met)``.
 
-    The sets of a token meet, cut into blocks of about SHINGLES_PER_BLOCK that meet
-    pairwise if they are many.
+    A family is cut into blocks of about SHINGLES_PER_BLOCK and SETS_PER_BLOCK that meet
+    pairwise if it is large; ``side`` tells which block of a pair a set is from.
     """
-    shared = met.groupBy("token").agg(
-        F.count(F.lit(1)).alias("sets"), F.sum(F.shiftright(F.xxhash64("set"), 20)).alias("who")
-    )
-    # Shingles met by the same sets bring the same sets together: one of them will do.
-    one = reliable_checkpoint(shared.groupBy("sets", "who").agg(F.min("token").alias("token")).select("token"))
-    members = reliable_checkpoint(met.join(one, "token").join(packed.select("set", "n"), "set"))
-    blocks = members.groupBy("token").agg(F.ceil(F.sum("n") / SHINGLES_PER_BLOCK).cast("int").alias("blocks"))
-    placed = members.join(reliable_checkpoint(blocks), "token").withColumn(
+    members = reliable_checkpoint(met.join(packed.select("set", "n"), "set"))
+    full = F.greatest(F.sum("n") / SHINGLES_PER_BLOCK, F.count(F.lit(1)) / SETS_PER_BLOCK)
+    blocks = members.groupBy("lead").agg(F.ceil(full).cast("int").alias("blocks"))
+    placed = members.join(reliable_checkpoint(blocks), "lead").withColumn(
         "b", F.pmod(F.xxhash64("set"), "blocks").cast("int")
     )
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    return placed.select("token", "set", "b", other.alias("o")).select(
-        "token", "set", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j")
+    return placed.select("lead", "set", "met", "b", other.alias("o")).select(
+        "lead", "set", "met", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"), (F.col("b") > F.col("o")).alias("side")
     )
 
 
 def _meetings(met: DataFrame, packed: DataFrame, words: int, percent: int, order: Order) -> DataFrame:
     """Links (a, b) among sets that share a prefix shingle, enough to connect what is connected."""
 
-    def meet(group: pa.Table) -> pa.Table:
+    def meet(family: pa.Table) -> pa.Table:
         tool = zstandard.ZstdDecompressor()
-        texts = (tool.decompress(v).decode() for v in group.column("packed").to_pylist())
+        texts = (tool.decompress(v).decode() for v in family.column("packed").to_pylist())
         found = [order.ranks(shingle_set(t, words)) for t in texts]
-        edges = tree_edges(np.array(group.column("set")), found, percent)
+        shingles = [np.array(m.values) for m in family.column("met")]
+        edges = tree_edges(np.array(family.column("set")), found, percent, shingles, np.array(family.column("side")))
         return pa.table({n: pa.array([e[k] for e in edges], pa.int64()) for k, n in enumerate("ab")})
 
-    meeting = _places(met, packed).join(packed.select("set", "packed"), "set").groupBy("token", "i", "j")
+    meeting = _places(met, packed).join(packed.select("set", "packed"), "set").groupBy("lead", "i", "j")
     return meeting.applyInArrow(meet, "a long, b long")
 
 
@@ -315,7 +382,9 @@ def jaccard_components(
     posted = _postings(df, text, words, percent, order).repartition("token")
     posted = posted.groupBy("token", "set").agg(F.min("excess").alias("excess"))
     near = posted.select("*", F.min("excess").over(place).alias("least")).filter("excess + least <= 0")
-    met = near.select("token", "set", F.count(F.lit(1)).over(place).alias("sets")).filter("sets > 1").drop("sets")
+    sizes = near.select("token", "set", F.count(F.lit(1)).over(place).alias("sets"), F.min("set").over(place).alias("lead"))
+    # A set has no more shingles in a family than its prefix has.
+    met = sizes.filter("sets > 1").groupBy("lead", "set").agg(F.collect_list("token").alias("met"))
     folder = scratch_path(spark, "prefixes")
     met.write.parquet(folder)
     met = spark.read.parquet(folder)

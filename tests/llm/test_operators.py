@@ -220,6 +220,25 @@ def test_tree_finds_all_links():
         assert set(tree.linked(x, 85, np.ones(len(sets), bool))) == want
 
 
+@pytest.mark.parametrize("block", [1_500_000, 900])
+def test_families_in_blocks(spark, monkeypatch, block):
+    """A hub with edits on both sides of the threshold, a repeated row, a word longer than the usual table of places."""
+    monkeypatch.setattr(shingles, "SHINGLES_PER_BLOCK", block)
+    rng = np.random.default_rng(88)
+    base = [f"w{i}" for i in range(220)] + ["long" * 600]
+    rows = [(i, " ".join(w if rng.random() > rate else f"e{rng.integers(10**9)}" for w in base))
+            for i, rate in enumerate(rng.choice([0.0, 0.01, 0.02, 0.04], 60))]
+    rows = [*rows, rows[7], rows[7]]
+    sets = [(i, {tuple(w[k : k + 4]) for k in range(len(w) - 3)}) for i, w in ((i, t.split()) for i, t in rows)]
+    part = {i: i for i, _ in sets}
+    for _ in range(8):
+        for (i, a), (j, b) in itertools.permutations(sets, 2):
+            if 100 * len(a & b) >= 85 * len(a | b):
+                part[i] = min(part[i], part[j])
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert by_id(shingles.jaccard_components(frame), "*") == sorted((i, len(s), part[i]) for i, s in sets)
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(20, 60)] + [(1, 9), (9, 5), (7, 7), (None, 3)]
     got = by_id(components.connected_components(spark.createDataFrame(edges, "a long, b long")), "*")
