@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import bpe, extraction, licenses, mixing, perplexity, quality, secrets, shingles, substrings, vectors
+from millrace.llm import bpe, extraction, licenses, mixing, oracles, perplexity, quality, secrets, shingles, spelling
+from millrace.llm import substrings, vectors
 from millrace.llm.common import documents
 from millrace.sources.lines import table
 
@@ -81,3 +82,8 @@ def op9_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word-level oracle in SQL does not exist; tests compare with the tokenizers library."""
     return bpe.digests(documents(spark, sf_dir), VOCABULARY)
+
+
+@query(oracles.SPELLING)
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(documents(spark, sf_dir))
