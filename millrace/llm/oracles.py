@@ -14,12 +14,12 @@ crc AS (
 
 
 def _crc32(text: str) -> str:
-    """SQL: the unsigned crc32 of a text's UTF-8 bytes; needs the table ``crc``."""
+    """SQL: the unsigned crc32 of a text's UTF-8 bytes; needs the one row of ``crc`` beside it."""
     digit = "(instr('0123456789ABCDEF', substr(hex({0}), {1}, 1)) - 1)"
     byte = f"{digit.format(text, '2 * i - 1')} * 16 + {digit.format(text, '2 * i')}"
     bytes_ = f"list_transform(range(1, 1 + CAST(length(hex({text})) // 2 AS BIGINT)), lambda i: CAST({byte} AS BIGINT))"
     start = f"list_prepend(CAST(4294967295 AS BIGINT), {bytes_})"
-    step = "xor(c >> 8, (SELECT tab FROM crc)[(xor(c, b) & 255) + 1])"
+    step = "xor(c >> 8, tab[(xor(c, b) & 255) + 1])"
     return f"xor(list_reduce({start}, lambda c, b: {step}), 4294967295)"
 
 
@@ -33,7 +33,7 @@ runs AS (
              translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_LETTERS}+')) AS run
     FROM documents)
   WHERE length(run) >= {spelling.LEAST_LENGTH} GROUP BY ALL),
-hashed AS (SELECT run, times, {_crc32("coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run")} AS h FROM runs),
+hashed AS (SELECT run, times, {_crc32("coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run")} AS h FROM runs, crc),
 words AS (
   SELECT word, CAST(sum(times) AS BIGINT) AS n FROM (
     SELECT times, CASE WHEN h % {spelling.DAMAGE} = 0
@@ -41,10 +41,10 @@ words AS (
     FROM hashed)
   WHERE length(word) >= {spelling.LEAST_LENGTH} GROUP BY word HAVING sum(times) >= {spelling.LEAST_COUNT}),
 cut AS (
-  SELECT word, n, at, substr(word, 1, at) || substr(word, at + 2) AS rest
-  FROM (SELECT word, n, unnest(range(length(word))) AS at FROM words)),
+  SELECT word, n, place, substr(word, 1, place) || substr(word, place + 2) AS rest
+  FROM (SELECT word, n, unnest(range(length(word))) AS place FROM words)),
 near AS (
-  SELECT a.word, b.word AS other, b.n AS other_n FROM cut a JOIN cut b ON a.at = b.at AND a.rest = b.rest AND a.word <> b.word
+  SELECT a.word, b.word AS other, b.n AS other_n FROM cut a JOIN cut b ON a.place = b.place AND a.rest = b.rest AND a.word <> b.word
   UNION SELECT a.word, b.word, b.n FROM cut a JOIN words b ON a.rest = b.word
   UNION SELECT b.word, a.word, a.n FROM cut a JOIN words b ON a.rest = b.word),
 best AS (
