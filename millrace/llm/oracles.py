@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.llm import spelling
+from millrace.llm import chat, repair, spelling
 
 # The table of the reflected polynomial 0xEDB88320, made by a rule.
 _CRC_TABLE = """
@@ -60,3 +60,132 @@ SELECT words.word, forms.form, ends.place AS root, words.n, coalesce(best.n_near
 FROM words LEFT JOIN best USING (word) LEFT JOIN forms USING (word)
 JOIN (SELECT * FROM walk WHERE place NOT IN (SELECT word FROM forms)) ends USING (word)
 """
+
+CHAT = f"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+numbered AS (
+  SELECT *, length(text) + length(role)
+           + length(regexp_extract_all(role || ' ' || text, '[<\\[]\\\\*(/?s>|/?INST\\])')) + 20 AS chars,
+         (length(text) + {chat.CODE_POINTS - 1}) // {chat.CODE_POINTS} + {chat.MARKS} AS tokens,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS n
+  FROM turns),
+placed AS (
+  SELECT *, sum(tokens) OVER (PARTITION BY conv_id ORDER BY n) - tokens AS gone,
+         max(CASE WHEN n = 1 AND role = 'system' THEN tokens ELSE 0 END) OVER (PARTITION BY conv_id) AS lead
+  FROM numbered),
+started AS (
+  SELECT conv_id, n, role, text, tokens, chars, lead,
+         greatest({chat.BUDGET - chat.HISTORY} - lead, {chat.BUDGET // 4}) // 2 AS wide,
+         CASE WHEN n = 1 AND role = 'system' THEN -1 ELSE gone - lead END AS start
+  FROM placed),
+windowed AS (
+  SELECT *, CASE WHEN start < 0 THEN 1 WHEN tokens > wide THEN 2 * (start // wide) + 2
+                 ELSE 2 * ((start + tokens - 1) // wide) + 1 END AS win
+  FROM started),
+openings AS (
+  SELECT conv_id, win, win // {2 * chat.BLOCK_SLOTS} AS block, min(start) AS opens FROM windowed WHERE start >= 0 GROUP BY ALL),
+written AS (
+  SELECT conv_id, chars FROM windowed
+  UNION ALL
+  SELECT t.conv_id, t.chars FROM windowed t JOIN openings o
+    ON t.conv_id IS NOT DISTINCT FROM o.conv_id AND t.win // {2 * chat.BLOCK_SLOTS} = o.block AND o.win > t.win
+   AND t.start >= 0 AND o.opens BETWEEN t.start + 1 AND t.start + {chat.HISTORY}
+  UNION ALL
+  SELECT t.conv_id, t.chars FROM windowed t JOIN openings o
+    ON t.conv_id IS NOT DISTINCT FROM o.conv_id AND t.start < 0 AND o.win > 1),
+sizes AS (SELECT conv_id, CAST(sum(chars) AS BIGINT) AS formatted_chars FROM written GROUP BY conv_id)
+SELECT t.conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY n)) AS loss_sha256,
+       any_value(formatted_chars) AS formatted_chars
+FROM numbered t JOIN sizes s ON t.conv_id IS NOT DISTINCT FROM s.conv_id GROUP BY t.conv_id
+"""
+
+_BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+
+def _then(path: str, cost: str | int, initial: str) -> str:
+    """SQL: a path (ten digits of cost, then the audit) after one more edit; NULL stays NULL."""
+    return f"(lpad(CAST(CAST(substr({path}, 1, 10) AS BIGINT) + {cost} AS VARCHAR), 10, '0') || substr({path}, 11) || {initial})"
+
+
+_INSERTED = f"""
+SELECT * EXCLUDE (user_, assistant), user_,
+       least(assistant, {_then("user_", repair.INSERT, "'I'")}) AS assistant
+FROM (SELECT * EXCLUDE (user_), least(user_, {", ".join(_then(s, repair.INSERT, "'I'") for s in ("nothing", "system_", "assistant"))}) AS user_
+      FROM ({{}}))"""
+_FREE = "fault IN ('clean', 'truncated')"
+_LEFT = f"CASE WHEN fault = 'truncated' THEN {repair.UNFINISHED} ELSE 0 END"
+
+
+def _taken(path: str, initial: str) -> str:
+    """SQL: the path after the row is kept or given a role, where its fault lets it stay."""
+    kept = _then(path, f"{_LEFT} + CASE WHEN first = '{initial}' THEN 0 ELSE {repair.REROLE} END", f"CASE WHEN first = '{initial}' THEN 'K' ELSE 'R' END")
+    return f"CASE WHEN {_FREE} THEN {kept} END"
+
+
+# DuckDB: one step per row of every conversation, the least path of each state as one string.
+REPAIR = f"""
+WITH RECURSIVE {_CRC_TABLE},
+original AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {_crc32("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS kind
+  FROM conversations, crc),
+live AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE WHEN kind = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM original WHERE kind <> 0),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS n,
+         rtrim(text, {_BLANKS}) AS ended FROM live),
+flagged AS (
+  SELECT conv_id, n, role, text, substr(role, 1, 1) AS first,
+         CASE WHEN ended = '' THEN 'blank'
+              WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 THEN 'duplicate'
+              WHEN right(ended, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE 'clean' END AS fault,
+         lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY n) || substr(role, 1, 1) NOT IN ('su', 'ua', 'au') AS odd
+  FROM numbered),
+walk AS (
+  SELECT DISTINCT conv_id, CAST(0 AS BIGINT) AS n, '0000000000' AS nothing, CAST(NULL AS VARCHAR) AS system_,
+         CAST(NULL AS VARCHAR) AS assistant, CAST(NULL AS VARCHAR) AS user_ FROM flagged
+  UNION ALL
+  SELECT conv_id, n, {_then("nothing", repair.DELETE, "'D'")},
+         least({_then("system_", repair.DELETE, "'D'")}, CASE WHEN first = 's' THEN {_taken("nothing", "s")} END),
+         least({_then("assistant", repair.DELETE, "'D'")}, {_taken("user_", "a")}),
+         least({_then("user_", repair.DELETE, "'D'")}, {", ".join(_taken(s, "u") for s in ("nothing", "system_", "assistant"))})
+  FROM ({_INSERTED.format("SELECT w.conv_id, f.n, nothing, system_, assistant, user_, first, fault FROM walk w JOIN flagged f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.n = w.n + 1")})),
+ends AS (
+  SELECT conv_id, least(nothing, assistant) AS path FROM ({_INSERTED.format("SELECT * FROM walk")})
+  QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY n DESC) = 1),
+letters AS (
+  SELECT conv_id, i, substr(path, 10 + i, 1) AS edit, i - length(replace(substr(path, 11, i), 'I', '')) AS inserts
+  FROM (SELECT conv_id, path, unnest(range(1, length(path) - 9)) AS i FROM ends)),
+outputs AS (
+  SELECT l.conv_id, i, edit, f.role, f.text, f.first,
+         row_number() OVER (PARTITION BY l.conv_id ORDER BY i) AS place,
+         first_value(edit = 'K' AND f.first = 's') OVER (PARTITION BY l.conv_id ORDER BY i) AS led
+  FROM letters l LEFT JOIN flagged f ON edit <> 'I' AND f.conv_id IS NOT DISTINCT FROM l.conv_id AND f.n = i - inserts
+  WHERE edit <> 'D'),
+repaired AS (
+  SELECT conv_id, sha256(string_agg(
+           CASE WHEN edit = 'K' THEN role WHEN (place - CASE WHEN led THEN 1 ELSE 0 END) % 2 = 1 THEN 'user' ELSE 'assistant' END
+           || ':' || CASE WHEN edit = 'I' THEN '' ELSE text END, chr(10) ORDER BY i)) AS hash
+  FROM outputs GROUP BY conv_id),
+counts AS (
+  SELECT conv_id, count_if(fault = 'blank') AS blank, count_if(fault = 'duplicate') AS duplicate,
+         count_if(fault = 'truncated') AS truncated, count_if(odd) AS illegal FROM flagged GROUP BY conv_id),
+gaps AS (SELECT conv_id, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps FROM live GROUP BY conv_id)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank, CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate,
+       CAST(coalesce(truncated, 0) AS BIGINT) AS truncated, CAST(coalesce(illegal, 0) AS BIGINT) AS illegal,
+       coalesce(CAST(substr(path, 1, 10) AS BIGINT), 0) AS cost, coalesce(substr(path, 11), '') AS audit,
+       coalesce(hash, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN gaps g ON g.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM o.conv_id
+"""

@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import bpe, extraction, licenses, mixing, oracles, perplexity, quality, secrets, shingles, spelling
-from millrace.llm import substrings, vectors
+from millrace.llm import bpe, chat, extraction, licenses, mixing, oracles, perplexity, quality, repair, secrets
+from millrace.llm import shingles, spelling, substrings, vectors
 from millrace.llm.common import documents
 from millrace.sources.lines import table
 
@@ -84,6 +84,17 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(documents(spark, sf_dir), VOCABULARY)
 
 
+@query(oracles.REPAIR)
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.report(table(spark, sf_dir, "conversations"))
+
+
+@query(oracles.CHAT)
+def op12_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = chat.with_control_texts(spark, table(spark, sf_dir, "conversations"))
+    return chat.digests(chat.windows(rows))
+
+
 @query(oracles.SPELLING)
 def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(documents(spark, sf_dir))
