@@ -17,12 +17,19 @@ from millrace.functions import parsing, rendering
 from millrace.functions.text import not_empty
 from millrace.functions.times import event_time
 from millrace.operators import alarms, patterns, ranking, routing, sliding, words
-from millrace.sinks import files
-from millrace.streaming import windows
+from millrace.sinks import documents, files
+from millrace.streaming import patterns as stream_patterns
+from millrace.streaming import stateful
+from millrace.streaming.windows import LeastRecord, Lateness, WindowStream, ranked, row_count
 
 BatchWriter = Callable[[DataFrame, int], None]
 
 
+def _tables(checkpoint: str) -> str:
+    """Where a job keeps its own tables: beside the checkpoint, as both belong together."""
+    return f"{checkpoint.rstrip('/')}-tables"
+
+
 def _behavior(lines: DataFrame) -> DataFrame:
     return parsing.parse_behavior(lines).withColumn("ts", event_time("event_time"))
 
@@ -40,8 +47,10 @@ def start_hot_items(
     slide: str = "5 seconds", behavior: str = "pv", available_now: bool = False,
 ) -> StreamingQuery:
     """The same on a stream in order; every micro-batch's rankings go to ``write``."""
-    counts = windows.sliding_count(_behavior(lines), ["item_id"], "ts", size, slide, F.col("behavior") == behavior)
-    return windows.start_top_n(counts, n, write, checkpoint, available_now=available_now)
+    views = WindowStream(
+        row_count(), ["item_id"], "ts", size, slide, _tables(checkpoint), where=F.col("behavior") == behavior
+    )
+    return views.start(_behavior(lines), ranked(write, n), checkpoint, available_now)
 
 
 def top_visitors(
@@ -60,12 +69,12 @@ def start_top_visitors(
     slide: str = "5 seconds", lateness: str = "2 seconds", available_now: bool = False,
 ) -> StreamingQuery:
     """The same on a stream whose rows lag by up to ``lateness``."""
-    counts = windows.sliding_count(parsing.parse_visit(lines), ["mid"], "ts", size, slide, lateness=lateness)
+    visits = WindowStream(row_count(), ["mid"], "ts", size, slide, _tables(checkpoint), lateness=Lateness(lateness))
 
     def trimmed(rows: DataFrame, batch_id: int) -> None:
         write(rows.withColumn("mid", java_trim(F.col("mid"))), batch_id)
 
-    return windows.start_top_n(counts, n, trimmed, checkpoint, tie=["mid"], available_now=available_now)
+    return visits.start(parsing.parse_visit(lines), ranked(trimmed, n, tie=["mid"]), checkpoint, available_now)
 
 
 def print_rankings(top: DataFrame) -> None:
@@ -86,11 +95,42 @@ def coldest_readings(
     )
 
 
+def start_coldest_readings(
+    lines: DataFrame, write: BatchWriter, checkpoint: str, seq: str = "seq", size: str = "15 seconds",
+    slide: str = "5 seconds", lateness: str | float = "1 second", available_now: bool = False,
+) -> StreamingQuery:
+    """The same on a stream whose rows lag by up to ``lateness``."""
+    return _coldest(seq, size, slide, checkpoint, Lateness(lateness)).start(_sensors(lines), write, checkpoint, available_now)
+
+
+def start_controlled_readings(
+    lines: DataFrame, write: BatchWriter, checkpoint: str, control: str, seq: str = "seq", size: str = "15 seconds",
+    slide: str = "5 seconds", available_now: bool = False,
+) -> StreamingQuery:
+    """The same where only the readings of the sensor ``control`` move the watermark; ``seq`` is the arrival order."""
+    lateness = Lateness(arrival=(seq,), control=F.col("id") == control)
+    return _coldest(seq, size, slide, checkpoint, lateness).start(_sensors(lines), write, checkpoint, available_now)
+
+
+def _coldest(seq: str, size: str, slide: str, checkpoint: str, lateness: Lateness) -> WindowStream:
+    record = LeastRecord("temperature", [seq], ["event_time"])
+    return WindowStream(record, ["id"], "event_time", size, slide, _tables(checkpoint), lateness=lateness)
+
+
 def temperature_alarms(lines: DataFrame, seq: str = "seq", horizon: str = "2 seconds") -> DataFrame:
     """Sensors whose temperature did not fall back in time."""
     return alarms.rising_alarms(_sensors(lines), "id", "event_time", "temperature", [seq], horizon)
 
 
+def start_temperature_alarms(
+    lines: DataFrame, write: BatchWriter, checkpoint: str, seq: str = "seq", horizon: str = "2 seconds",
+    lateness: str = "0 seconds", available_now: bool = False,
+) -> StreamingQuery:
+    """The same on a stream."""
+    found = stateful.rising_alarms(_sensors(lines), "id", "event_time", "temperature", seq, horizon, lateness)
+    return files.start_batches(found, write, checkpoint, "append", available_now)
+
+
 def freeze_warnings(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Readings at or above the freezing limit, and those below it."""
     routed = routing.freeze_route(_sensors(lines))
@@ -109,6 +149,14 @@ def sensor_documents(lines: DataFrame) -> DataFrame:
     return parsing.parse_sensor(lines).select(rendering.sensor_document(*fields).alias("document"))
 
 
+def start_sensor_documents(
+    lines: DataFrame, send: documents.Sender, checkpoint: str, available_now: bool = False
+) -> StreamingQuery:
+    """The same on a stream, sent in bulk requests, each document stored once."""
+    batches = documents.once_batches(F.col("document"), send, _tables(checkpoint))
+    return files.start_batches(sensor_documents(lines), batches, checkpoint, "append", available_now)
+
+
 def login_warnings(logins: DataFrame, seq: str = "seq") -> DataFrame:
     """Two failed logins of a user within two seconds."""
     return patterns.fail_streaks(logins, seq=seq)
@@ -119,12 +167,43 @@ def login_pattern_warnings(logins: DataFrame, seq: str = "seq") -> DataFrame:
     return patterns.fail_streaks(logins, seq=seq, keys=[], message=patterns.FAIL_PATTERN_MESSAGE)
 
 
+def start_login_warnings(
+    logins: DataFrame, write: BatchWriter, checkpoint: str, seq: str = "seq", available_now: bool = False,
+    keys: list[str] | None = None, message: str = patterns.FAIL_STREAK_MESSAGE, lateness: str | float = 0,
+) -> StreamingQuery:
+    """The same on a stream; ``keys=[]`` and the other message give the warnings among all users' rows."""
+    streaks = stream_patterns.fail_streaks(_tables(checkpoint), seq=seq, keys=keys, lateness=Lateness(lateness))
+
+    def warn(rows: DataFrame, batch_id: int) -> None:
+        write(patterns.fail_warnings(rows, "user_id", "event_time", message), batch_id)
+
+    return streaks.start(logins, warn, checkpoint, available_now)
+
+
 def order_outputs(orders: DataFrame, seq: str = "seq") -> tuple[DataFrame, DataFrame]:
     """Orders paid within 15 minutes, and those that ran out of time."""
     results = patterns.order_results(orders, seq=seq)
     return results.filter(F.col("status") == patterns.MATCHED), results.filter(F.col("status") == patterns.TIMEOUT)
 
 
+def start_order_outputs(
+    orders: DataFrame, paid: BatchWriter, late: BatchWriter, checkpoint: str, seq: str = "seq",
+    lateness: str | float = 0, available_now: bool = False,
+) -> StreamingQuery:
+    """The same on a stream: paid orders to one writer, those out of time to the other."""
+    results = stream_patterns.order_results(_tables(checkpoint), seq=seq, lateness=Lateness(lateness))
+
+    def write(rows: DataFrame, batch_id: int) -> None:
+        texts = patterns.order_texts(rows, "order_id", "event_time").persist()
+        try:
+            paid(texts.filter(F.col("status") == patterns.MATCHED), batch_id)
+            late(texts.filter(F.col("status") == patterns.TIMEOUT), batch_id)
+        finally:
+            texts.unpersist()
+
+    return results.start(orders, write, checkpoint, available_now)
+
+
 def start_word_count(lines: DataFrame, path: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
     """Running word counts of a line stream, as text files of updates."""
     return files.start_batches(words.word_count(lines), files.pair_batches(path), checkpoint, "update", available_now)

@@ -131,9 +131,18 @@ def fail_streaks(
     users as one sequence; the warning then names the first row's user.
     """
     keys = [user] if keys is None else list(keys)
-    failed = F.col(event) == fail
-    pattern = Pattern.begin("begin", failed).next("next", failed).within(within)
+    pattern = fail_pattern(event, fail, within)
     pairs = match(df, pattern, keys, ts, seq, _unique([user, ts]), unit, rows_per_group)
+    return fail_warnings(pairs, user, ts, message)
+
+
+def fail_pattern(event: str, fail: str, within: str) -> Pattern:
+    failed = F.col(event) == fail
+    return Pattern.begin("begin", failed).next("next", failed).within(within)
+
+
+def fail_warnings(pairs: DataFrame, user: str, ts: str, message: str) -> DataFrame:
+    """Matches of :func:`fail_pattern` as warnings."""
     return pairs.select(
         F.col(f"begin.{user}").alias("user_id"),
         F.col(f"begin.{ts}").alias("first_time"),
@@ -152,10 +161,16 @@ def order_results(
     ``order_id, status, result_msg, create_ts, pay_ts, deadline``; filter on
     ``status`` for the main output and the timeout output.
     """
-    pattern = (
-        Pattern.begin("begin", F.col(event) == create).followed_by("follow", F.col(event) == pay).within(within)
-    )
-    found = match_or_timeout(df, pattern, [order_id], ts, seq, [ts], unit, rows_per_group)
+    pattern = order_pattern(event, create, pay, within)
+    return order_texts(match_or_timeout(df, pattern, [order_id], ts, seq, [ts], unit, rows_per_group), order_id, ts)
+
+
+def order_pattern(event: str, create: str, pay: str, within: str) -> Pattern:
+    return Pattern.begin("begin", F.col(event) == create).followed_by("follow", F.col(event) == pay).within(within)
+
+
+def order_texts(found: DataFrame, order_id: str, ts: str) -> DataFrame:
+    """Outcomes of :func:`order_pattern` with their texts."""
     late_text = F.concat(F.lit(TIMEOUT_PREFIX), F.col("deadline").cast("string"))
     return found.select(
         F.col(order_id).alias("order_id"),

@@ -8,23 +8,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.times import duration_us, from_us, series, to_us
-from millrace.plans.panes import FIRST_START, PANE, RUN_FROM, RUN_TO, WINDOW_START, Panes
+from millrace.functions.times import duration_us, from_us, to_us
+from millrace.plans.aggregates import WINDOW_END, Accumulator, LeastRecord, Merged, Sums, WindowAggregate
+from millrace.plans.panes import FIRST_START, PANE, Panes
 
-WINDOW_END = "window_end"
 
-
-def _totals(
-    df: DataFrame, keys: Sequence[str], ts: str, size: str, slide: str, sums: dict[str, Column],
-    watermark: str | None, unit: str,
+def sliding_windows(
+    df: DataFrame, aggregate: WindowAggregate, keys: Sequence[str], ts: str, size: str, slide: str,
+    watermark: str | None = None, unit: str = "s",
 ) -> DataFrame:
-    """Windows of sums over rows; the first sum must be a row count."""
-    keys, panes, kind = list(keys), Panes(duration_us(size), duration_us(slide)), df.schema[ts].dataType
+    """``keys, window_end`` and the columns of ``aggregate``, of every window with rows."""
+    keys, panes = list(keys), Panes(duration_us(size), duration_us(slide))
     tagged = panes.tag(df, to_us(df, ts, unit), None if watermark is None else F.col(watermark))
-    partial = tagged.groupBy(*keys, PANE, FIRST_START).agg(*[c.alias(n) for n, c in sums.items()])
-    runs = panes.totals(partial, keys, list(sums))
-    ends = series(F.col(RUN_FROM) + F.lit(panes.size), F.col(RUN_TO) + F.lit(panes.size), panes.slide, kind, unit)
-    return runs.select(*keys, F.explode(ends).alias(WINDOW_END), *sums)
+    parts = aggregate.partial(tagged, [*keys, PANE, FIRST_START])
+    return aggregate.windows(panes, parts, keys, df.schema[ts].dataType, unit)
 
 
 def with_window_start(windows: DataFrame, size: str, unit: str = "s") -> DataFrame:
@@ -43,7 +40,7 @@ def sliding_count(
     :mod:`millrace.operators.lateness`); a row then counts only in windows its
     watermark has not closed.
     """
-    return _totals(df, keys, ts, size, slide, {"cnt": F.count(F.lit(1))}, watermark, unit)
+    return sliding_windows(df, Sums({"cnt": F.count(F.lit(1))}), keys, ts, size, slide, watermark, unit)
 
 
 def sliding_sum(
@@ -55,7 +52,7 @@ def sliding_sum(
         if not isinstance(df.schema[column].dataType, (T.IntegralType, T.DecimalType)):
             raise TypeError(f"{column}: running totals need exact numbers")
     totals = {n: F.coalesce(F.sum(c), F.lit(0)) for n, c in sums.items()}
-    return _totals(df, keys, ts, size, slide, {"cnt": F.count(F.lit(1)), **totals}, watermark, unit)
+    return sliding_windows(df, Sums({"cnt": F.count(F.lit(1)), **totals}), keys, ts, size, slide, watermark, unit)
 
 
 def sliding_reduce(
@@ -67,11 +64,15 @@ def sliding_reduce(
     ``partial`` are aggregates over rows, ``merge`` aggregates over the partial
     columns of the same names.
     """
-    keys, panes = list(keys), Panes(duration_us(size), duration_us(slide))
-    tagged = panes.tag(df, to_us(df, ts, unit), None if watermark is None else F.col(watermark))
-    parts = tagged.groupBy(*keys, PANE, FIRST_START).agg(*[c.alias(n) for n, c in partial.items()])
-    end = from_us(F.col(WINDOW_START) + F.lit(panes.size), df.schema[ts].dataType, unit)
-    return panes.merged(parts, keys, merge).select(*keys, end.alias(WINDOW_END), *merge)
+    return sliding_windows(df, Merged(partial, merge), keys, ts, size, slide, watermark, unit)
+
+
+def sliding_accumulated(
+    df: DataFrame, accumulator: Accumulator, keys: Sequence[str], ts: str, size: str, slide: str,
+    watermark: str | None = None, unit: str = "s",
+) -> DataFrame:
+    """An aggregate of one's own, declared once: ``keys, window_end`` and its result."""
+    return sliding_windows(df, accumulator, keys, ts, size, slide, watermark, unit)
 
 
 def sliding_min_record(
@@ -84,12 +85,4 @@ def sliding_min_record(
     Of equal values the first by ``tie`` (arrival order) wins; ``columns`` are
     what to return of the record besides ``value``.
     """
-    extra = [c for c in columns if c != value]
-    ranked = F.struct(value, *tie, *[c for c in extra if c not in tie])
-    least = sliding_reduce(
-        df, keys, ts, size, slide, {"record": F.min(F.when(F.col(value).isNotNull(), ranked))},
-        {"record": F.min("record")}, watermark, unit
-    )
-    return least.filter(F.col("record").isNotNull()).select(
-        *keys, WINDOW_END, *[F.col(f"record.{c}").alias(c) for c in (value, *extra)]
-    )
+    return sliding_windows(df, LeastRecord(value, tie, columns), keys, ts, size, slide, watermark, unit)

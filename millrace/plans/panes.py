@@ -55,6 +55,11 @@ class Panes:
         """
         return floor_to(watermark + F.lit(MILLI_US - self.size), self.slide) + F.lit(self.slide)
 
+    def first_open(self, watermark: int) -> int:
+        """The same of a number."""
+        start = watermark + MILLI_US - self.size
+        return start - start % self.slide + self.slide
+
     def tag(self, df: DataFrame, us: Column, watermark: Column | None = None) -> DataFrame:
         """Adds pane and first open window start; rows that are in no open window go."""
         tagged = df.withColumn(PANE, self.pane(us)).filter(F.col(PANE).isNotNull())
@@ -66,28 +71,38 @@ class Panes:
             return tagged
         return tagged.filter(F.col(FIRST_START) <= self.last_start(F.col(PANE)))
 
-    def spread(self, panes: DataFrame, keys: list[str]) -> DataFrame:
+    def _last(self, until: int | None) -> Column:
+        """The last window start of a pane, below ``until``."""
+        last = self.last_start(F.col(PANE))
+        return last if until is None else F.least(last, F.lit(until - self.slide))
+
+    def spread(self, panes: DataFrame, keys: list[str], until: int | None = None) -> DataFrame:
         """Each pane once per block it reaches, blocks of one key apart from each other."""
-        first, last = F.col(FIRST_START), self.last_start(F.col(PANE))
+        first, last = F.col(FIRST_START), self._last(until)
+        if until is not None:
+            panes = panes.filter(first <= last)
         blocks = F.sequence(floor_to(first, self.block), floor_to(last, self.block), F.lit(self.block))
         return panes.withColumn(_BLOCK, F.explode(blocks)).repartition(*keys, _BLOCK)
 
-    def merged(self, panes: DataFrame, keys: list[str], merges: dict[str, Column]) -> DataFrame:
+    def merged(
+        self, panes: DataFrame, keys: list[str], merges: dict[str, Column], until: int | None = None
+    ) -> DataFrame:
         """Any mergeable aggregate: every pane goes to each of its windows.
 
         The panes are already placed by (key, block), so the many window rows
-        are aggregated where they arise and are never shuffled.
+        are aggregated where they arise and are never shuffled. ``until`` leaves out
+        windows that start there or later.
         """
         lo = F.greatest(FIRST_START, _BLOCK)
-        hi = F.least(self.last_start(F.col(PANE)), F.col(_BLOCK) + F.lit(self.block - self.slide))
-        starts = self.spread(panes, keys).withColumn(
+        hi = F.least(self._last(until), F.col(_BLOCK) + F.lit(self.block - self.slide))
+        starts = self.spread(panes, keys, until).withColumn(
             WINDOW_START, F.explode(F.sequence(lo, hi, F.lit(self.slide)))
         )
         return starts.groupBy(*keys, _BLOCK, WINDOW_START).agg(
             *[m.alias(name) for name, m in merges.items()]
         ).drop(_BLOCK)
 
-    def totals(self, panes: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    def totals(self, panes: DataFrame, keys: list[str], columns: list[str], until: int | None = None) -> DataFrame:
         """Sums and counts: a pane adds at its first window and subtracts after its last.
 
         The running total changes at these steps only. One row comes out per run
@@ -97,14 +112,14 @@ class Panes:
         """
         end = F.col(_BLOCK) + F.lit(self.block)
         lo = F.greatest(FIRST_START, _BLOCK)
-        hi = F.least(self.last_start(F.col(PANE)) + F.lit(self.slide), end)
+        hi = F.least(self._last(until) + F.lit(self.slide), end)
         at, steps = "__at", "__steps"
         step = F.array(
             F.struct(lo.alias(at), *[F.col(c).alias(c) for c in columns]),
             F.struct(hi.alias(at), *[(-F.col(c)).alias(c) for c in columns]),
         )
         changes = (
-            self.spread(panes, keys)
+            self.spread(panes, keys, until)
             .select(*keys, _BLOCK, F.explode(step).alias(steps))
             .groupBy(*keys, _BLOCK, F.col(f"{steps}.{at}").alias(at))
             .agg(*[F.sum(f"{steps}.{c}").alias(c) for c in columns])

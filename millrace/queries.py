@@ -12,19 +12,24 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
 
 from millrace.functions import parsing, rendering
 from millrace.functions.text import not_empty
 from millrace.functions.times import SECOND_US, from_us, to_us
 from millrace.operators import alarms, lateness, patterns, ranking, routing, sliding, words
 from millrace.session import scratch_path
-from millrace.sinks.fanout import fan_out
+from millrace.sinks.fanout import read_tag, tagged_batches
 from millrace.sinks.files import parquet_batches, read_batches, start_batches
 from millrace.sources import kafka
 from millrace.sources.lines import stream_table, table
-from millrace.streaming import punctuated, stateful, windows
+from millrace.plans.aggregates import Accumulator, LeastRecord, Sums, WindowAggregate
+from millrace.streaming import patterns as stream_patterns
+from millrace.streaming import stateful
+from millrace.streaming.arrivals import Lateness, start_marked
+from millrace.streaming.patterns import PatternStream
 from millrace.streaming.watermarks import with_end_marker
+from millrace.streaming.windows import WindowStream, row_count
+from millrace.streaming.words import RunningCount
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -193,6 +198,34 @@ def sliding_sum_uneven(spark: SparkSession, sf: str) -> DataFrame:
     return _seconds(sums, "window_end")
 
 
+def _mean_and_span() -> Accumulator:
+    """A user's aggregate, declared once: the mean id, and a pairwise reduce of the greatest value and the last time."""
+    start = F.struct(
+        F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("total"), F.lit(None).cast("double").alias("top"),
+        F.lit(None).cast("long").alias("last"),
+    )
+
+    def fields(n: Column, total: Column, top: Column, last: Column) -> Column:
+        return F.struct(n.alias("n"), total.alias("total"), top.alias("top"), last.alias("last"))
+
+    return Accumulator(
+        create=start,
+        add=lambda a, row: fields(a["n"] + 1, a["total"] + row["event_id"], F.greatest(a["top"], row["value"]), F.greatest(a["last"], row["event_id"])),
+        merge=lambda a, b: fields(a["n"] + b["n"], a["total"] + b["total"], F.greatest(a["top"], b["top"]), F.greatest(a["last"], b["last"])),
+        result=lambda a: F.struct((a["total"].cast("double") / a["n"]).alias("mean_id"), a["top"].alias("top_value"), a["last"].alias("last_id")),
+        columns=["event_id", "value"],
+    )
+
+
+@query(f"""
+SELECT user_id, window_end_s, CAST(sum(event_id) AS DOUBLE) / count(*) AS mean_id, max(value) AS top_value, max(event_id) AS last_id
+FROM ({_window_rows(3600, 21600, columns=", value, event_id")}) GROUP BY user_id, window_end_s
+""")
+def sliding_mean_and_span(spark: SparkSession, sf: str) -> DataFrame:
+    found = sliding.sliding_accumulated(_timed(spark, sf), _mean_and_span(), ["user_id"], "ts", "6 hours", "1 hour", unit="us")
+    return _seconds(found, "window_end").select("user_id", "window_end_s", "result.*")
+
+
 _REPORT_HEAD = rendering.RULE.strip()
 
 
@@ -282,6 +315,10 @@ def followed_by(spark: SparkSession, sf: str) -> DataFrame:
     found = patterns.match(
         table(spark, sf, "events"), _signups(), ["user_id"], "ts", "event_id", ["event_id", "ts"]
     )
+    return _stages(found)
+
+
+def _stages(found: DataFrame) -> DataFrame:
     stages = found.select(
         "user_id", F.col("begin.event_id").alias("begin_id"), F.col("begin.ts").alias("begin"),
         F.col("follow.ts").alias("follow"),
@@ -302,7 +339,11 @@ def pattern_timeout(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"""
-SELECT user_id AS order_id, status, CASE WHEN status = 'matched' THEN '{patterns.PAID_MESSAGE}' END AS result_msg,
+SELECT user_id AS order_id, status,
+       CASE WHEN status = 'matched' THEN '{patterns.PAID_MESSAGE}'
+            ELSE '{patterns.TIMEOUT_PREFIX}' || CASE
+              WHEN deadline_us % 1000000 = 0 THEN strftime(make_timestamp(deadline_us), '%Y-%m-%d %H:%M:%S')
+              ELSE rtrim(strftime(make_timestamp(deadline_us), '%Y-%m-%d %H:%M:%S.%f'), '0') END END AS result_msg,
        begin_us AS create_ts_us, follow_us AS pay_ts_us, deadline_us
 FROM ({_ORDER_SQL.replace("'signup'", "'click'").replace(str(_DAY_US), str(_DAY_US // 2))})
 """)
@@ -310,8 +351,11 @@ def order_results(spark: SparkSession, sf: str) -> DataFrame:
     found = patterns.order_results(
         table(spark, sf, "events"), "ts", "event_id", "user_id", create="click", pay="purchase", within="12 hours"
     )
-    paid = F.when(F.col("status") == patterns.MATCHED, F.col("result_msg"))
-    return _micros(found.withColumn("result_msg", paid), "create_ts", "pay_ts", "deadline")
+    return _order_rows(found)
+
+
+def _order_rows(found: DataFrame) -> DataFrame:
+    return _micros(found, "create_ts", "pay_ts", "deadline")
 
 
 _HORIZON_US = 6 * 3600 * SECOND_US
@@ -586,120 +630,192 @@ def punctuated_late(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- the same on streams ---------------------------------------------------------
 #
-# The whole table is read as a finite file stream, some files per micro-batch. When
-# all are read, a marker row closes all windows and timers in a second run. Results go
-# to the shared folder and are read back, so they meet the SQL twins of the batch forms.
+# The whole table is read as a finite file stream, some files per micro-batch. What the
+# operators still hold at the end is settled by the end itself. Results go to the shared
+# folder and are read back, so they meet the SQL twins of the batch forms.
 
 _FILES_PER_BATCH = 16
 
 
-def _event_stream(spark: SparkSession, sf: str) -> tuple[DataFrame, Callable[[], None]]:
-    return with_end_marker(stream_table(spark, sf, "events", _FILES_PER_BATCH), "ts")
+def _stream(spark: SparkSession, sf: str, name: str = "events") -> DataFrame:
+    return stream_table(spark, sf, name, _FILES_PER_BATCH)
 
 
-def _to_the_end(start: Callable[[], StreamingQuery], close: Callable[[], None] | None) -> None:
-    start().awaitTermination()
-    if close:
-        close()
-        start().awaitTermination()
+def _finished(stream: DataFrame, label: str, mode: str = "append", runs: Callable[[], None] | None = None) -> DataFrame:
+    """All rows a stream gives; ``runs`` ends the input before a second run on the same checkpoint."""
+    spark = stream.sparkSession
+    out, state = scratch_path(spark, label), scratch_path(spark, f"{label}-state")
+    start_batches(stream, parquet_batches(out), state, mode).awaitTermination()
+    if runs:
+        runs()
+        start_batches(stream, parquet_batches(out), state, mode).awaitTermination()
+    return read_batches(spark, out, stream.schema)
 
 
-def _finished(
-    stream: DataFrame, label: str, mode: str = "append", close: Callable[[], None] | None = None
+def _settled(
+    stream: DataFrame, label: str, operator: Callable[[str], PatternStream | WindowStream],
+    through: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> DataFrame:
+    """The results of an operator over a finite stream, written ``through`` a last step per micro-batch."""
     spark = stream.sparkSession
-    out, state = scratch_path(spark, label), scratch_path(spark, f"{label}-state")
-    _to_the_end(lambda: start_batches(stream, parquet_batches(out), state, mode), close)
-    return read_batches(spark, out, stream.schema)
+    folder = scratch_path(spark, label)
+    running = operator(f"{folder}/state")
+    write = parquet_batches(f"{folder}/out")
+    running.start(stream, lambda rows, batch: write(through(rows), batch), f"{folder}/checkpoint").awaitTermination()
+    rest = through(running.rest(stream))
+    return read_batches(spark, f"{folder}/out", rest.schema).unionByName(rest)
 
 
 @query(ORACLES["word_count"])
 def stream_word_count(spark: SparkSession, sf: str) -> DataFrame:
     """Updates of a running count; the last update of a word is the greatest."""
-    counts = words.word_count(stream_table(spark, sf, "documents", _FILES_PER_BATCH), "text")
+    counts = words.word_count(_stream(spark, sf, "documents"), "text")
     updates = _finished(counts, "word-count", "update")
     return updates.groupBy("word").agg(F.max("cnt").alias("cnt"))
 
 
+@query(ORACLES["word_running_count"])
+def stream_word_running_count(spark: SparkSession, sf: str) -> DataFrame:
+    """The log of updates itself: counts go on from micro-batch to micro-batch."""
+    lines = _stream(spark, sf, "conversations")
+    folder = scratch_path(spark, "running-count")
+    running = RunningCount(["conv_id", "turn"], "text", " ", f"{folder}/state")
+    running.start(lines, parquet_batches(f"{folder}/out"), f"{folder}/checkpoint").awaitTermination()
+    log = read_batches(spark, f"{folder}/out", running.schema(lines))
+    return log.withColumn("pos", F.col("pos").cast("long"))
+
+
+def _windows_of(aggregate: WindowAggregate, keys: list[str], size: str, slide: str, **options) -> Callable[[str], WindowStream]:
+    return lambda path: WindowStream(aggregate, keys, "ts", size, slide, path, **options)
+
+
+@query(ORACLES["sliding_count_5s"])
+def stream_sliding_count_5s(spark: SparkSession, sf: str) -> DataFrame:
+    """720 windows per row."""
+    views = F.col("event_type") == "view"
+    counts = _windows_of(row_count(), ["user_id"], "60 minutes", "5 seconds", where=views)
+    return _seconds(_settled(_stream(spark, sf), "sliding-count", counts), "window_end")
+
+
 @query(ORACLES["hot_items_topn"])
 def stream_hot_items_topn(spark: SparkSession, sf: str) -> DataFrame:
-    events, close = _event_stream(spark, sf)
-    clicks = events.withColumnRenamed("user_id", "item_id")
-    counts = windows.sliding_count(clicks, ["item_id"], "ts", "60 minutes", "5 minutes", F.col("event_type") == "view")
-    out = scratch_path(spark, "hot-items")
-    state = scratch_path(spark, "hot-items-state")
-    _to_the_end(lambda: windows.start_top_n(counts, 3, parquet_batches(out), state), close)
-    return _ranking(read_batches(spark, out, counts.withColumn("rank", F.lit(0)).schema))
+    clicks = _stream(spark, sf).withColumnRenamed("user_id", "item_id")
+    views = F.col("event_type") == "view"
+    counts = _windows_of(row_count(), ["item_id"], "60 minutes", "5 minutes", where=views)
+    return _ranking(_settled(clicks, "hot-items", counts, lambda rows: ranking.top_n(rows, 3)))
 
 
 @query(ORACLES["sliding_min_record"])
 def stream_sliding_min_record(spark: SparkSession, sf: str) -> DataFrame:
-    events, close = _event_stream(spark, sf)
-    least = windows.sliding_min_record(
-        events, ["user_id"], "ts", "6 hours", "1 hour", "value", ["event_id"], ["event_id", "ts"]
-    )
-    return _micros(_seconds(_finished(least, "min-record", close=close), "window_end"), "ts")
+    record = LeastRecord("value", ["event_id"], ["event_id", "ts"])
+    least = _settled(_stream(spark, sf), "min-record", _windows_of(record, ["user_id"], "6 hours", "1 hour"))
+    return _micros(_seconds(least, "window_end"), "ts")
+
+
+@query(ORACLES["sliding_sum_uneven"])
+def stream_sliding_sum_uneven(spark: SparkSession, sf: str) -> DataFrame:
+    sums = Sums({"cnt": F.count(F.lit(1)), "id_sum": F.coalesce(F.sum("event_id"), F.lit(0))})
+    return _seconds(_settled(_stream(spark, sf), "sums", _windows_of(sums, ["user_id"], "25 minutes", "10 minutes")), "window_end")
+
+
+@query(ORACLES["sliding_mean_and_span"])
+def stream_sliding_mean_and_span(spark: SparkSession, sf: str) -> DataFrame:
+    found = _settled(_stream(spark, sf), "mean", _windows_of(_mean_and_span(), ["user_id"], "6 hours", "1 hour"))
+    return _seconds(found, "window_end").select("user_id", "window_end_s", "result.*")
 
 
 @query(ORACLES["fail_streak_keyed"])
 def stream_fail_streak(spark: SparkSession, sf: str) -> DataFrame:
-    events, close = _event_stream(spark, sf)
-    found = stateful.fail_streaks(
-        events, "ts", "event_id", fail="error", within="4 hours", bucket="10 days"
-    )
-    return _micros(_finished(found, "fail-streak", close=close), "first_time", "last_fail_time")
+    return _stream_errors(spark, sf, "4 hours", ["user_id"], patterns.FAIL_STREAK_MESSAGE)
 
 
 @query(ORACLES["fail_next_global"])
 def stream_fail_next_global(spark: SparkSession, sf: str) -> DataFrame:
-    events, close = _event_stream(spark, sf)
-    found = stateful.fail_streaks(
-        events, "ts", "event_id", fail="error", within="60 seconds",
-        message=patterns.FAIL_PATTERN_MESSAGE, keys=[], bucket="6 hours",
-    )
-    return _micros(_finished(found, "fail-next", close=close), "first_time", "last_fail_time")
+    return _stream_errors(spark, sf, "60 seconds", [], patterns.FAIL_PATTERN_MESSAGE)
+
+
+def _stream_errors(spark: SparkSession, sf: str, within: str, keys: list[str], message: str) -> DataFrame:
+    def streaks(path: str) -> PatternStream:
+        return stream_patterns.fail_streaks(path, "ts", "event_id", fail="error", within=within, keys=keys)
+
+    found = _settled(_stream(spark, sf), "fail", streaks, lambda rows: patterns.fail_warnings(rows, "user_id", "ts", message))
+    return _micros(found, "first_time", "last_fail_time")
 
 
 @query(ORACLES["order_results"])
 def stream_order_results(spark: SparkSession, sf: str) -> DataFrame:
-    events, close = _event_stream(spark, sf)
-    found = stateful.order_results(
-        events, "ts", "event_id", "user_id", create="click", pay="purchase", within="12 hours",
-        bucket="10 days",
-    )
-    paid = F.when(F.col("status") == patterns.MATCHED, F.col("result_msg"))
-    return _micros(_finished(found, "orders", close=close).withColumn("result_msg", paid), "create_ts", "pay_ts", "deadline")
+    def orders(path: str) -> PatternStream:
+        return stream_patterns.order_results(path, "ts", "event_id", "user_id", create="click", pay="purchase", within="12 hours")
+
+    found = _settled(_stream(spark, sf), "orders", orders, lambda rows: patterns.order_texts(rows, "user_id", "ts"))
+    return _order_rows(found)
+
+
+@query(ORACLES["followed_by"])
+def stream_followed_by(spark: SparkSession, sf: str) -> DataFrame:
+    """Any pattern: stages come out as structs, as in a table."""
+    def signups(path: str) -> PatternStream:
+        return PatternStream(_signups(), ["user_id"], "ts", "event_id", ["event_id", "ts"], path)
+
+    return _stages(_settled(_stream(spark, sf), "followed-by", signups))
 
 
 @query(ORACLES["rising_alarm"])
 def stream_rising_alarm(spark: SparkSession, sf: str) -> DataFrame:
-    events, close = _event_stream(spark, sf)
+    events, close = with_end_marker(_stream(spark, sf), "ts")
     found = stateful.rising_alarms(events, "user_id", "ts", "value", "event_id", horizon="6 hours")
-    return _micros(_finished(found, "alarms", close=close), "alarm_ts")
+    return _micros(_finished(found, "alarms", runs=close), "alarm_ts")
+
+
+def _stream_arrivals(spark: SparkSession, sf: str) -> DataFrame:
+    """The arrival order is a column, so rows of a micro-batch are late as in the table."""
+    events = _stream(spark, sf)
+    delay = (F.col("event_id") * 7919) % _DELAY_S
+    return events.withColumn("arrival_us", to_us(events, "ts") + delay * F.lit(SECOND_US))
+
+
+_ARRIVAL = ("arrival_us", "event_id")
 
 
 @query(ORACLES["punctuated_late"])
 def stream_punctuated_late(spark: SparkSession, sf: str) -> DataFrame:
-    """Arrival order is a column, so rows of a micro-batch are late as in the table."""
-    events = stream_table(spark, sf, "events", _FILES_PER_BATCH)
-    delay = (F.col("event_id") * 7919) % _DELAY_S
-    arrivals = events.withColumn("arrival_us", to_us(events, "ts") + delay * F.lit(SECOND_US))
     control = (F.col("event_type") == "signup") & (F.col("user_id") % 15 == 0)
-    path = scratch_path(spark, "punctuated")
-    punctuated.start_min_records(
-        arrivals, path, scratch_path(spark, "punctuated-state"), ["user_id"], "ts", ["arrival_us", "event_id"],
-        "value", ["event_id"], ["event_id", "ts"], control, "2 hours", "30 minutes",
-    ).awaitTermination()
-    least = punctuated.min_records(spark, path, ["user_id"], "2 hours", "30 minutes", closed_only=False)
+    record = LeastRecord("value", ["event_id"], ["event_id", "ts"])
+    least = _settled(_stream_arrivals(spark, sf), "punctuated", _windows_of(
+        record, ["user_id"], "2 hours", "30 minutes", lateness=Lateness(arrival=_ARRIVAL, control=control)))
     return _micros(_seconds(least, "window_end"), "ts")
 
 
+@query(ORACLES["drop_late"])
+def stream_drop_late(spark: SparkSession, sf: str) -> DataFrame:
+    counts = _settled(_stream_arrivals(spark, sf), "drop-late", _windows_of(
+        row_count(), ["user_id"], "2 hours", "30 minutes", lateness=Lateness("10 minutes", _ARRIVAL)))
+    return _seconds(counts, "window_end")
+
+
+@query(ORACLES["late_rows"])
+def stream_late_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The late rows of a stream as an output of their own."""
+    arrivals, folder = _stream_arrivals(spark, sf), scratch_path(spark, "late-rows")
+    write = parquet_batches(f"{folder}/out")
+
+    def late(rows: DataFrame) -> DataFrame:
+        return lateness.late_rows(rows, "ts", "30 minutes", "30 minutes").select("event_id", "user_id", "ts", lateness.WATERMARK)
+
+    start_marked(
+        arrivals, lambda rows, batch: write(late(rows), batch), f"{folder}/state", f"{folder}/checkpoint", "ts",
+        Lateness(arrival=_ARRIVAL),
+    ).awaitTermination()
+    schema = late(arrivals.withColumn(lateness.WATERMARK, F.lit(0).cast("long"))).schema
+    return _micros(read_batches(spark, f"{folder}/out", schema), "ts")
+
+
 @query(ORACLES["freeze_side_output"])
 def stream_freeze_side_output(spark: SparkSession, sf: str) -> DataFrame:
-    """A routed stream fanned out to one table per tag; the freeze tag's is returned."""
-    readings = stream_table(spark, sf, "events", _FILES_PER_BATCH).select("event_id", "value")
-    routed = routing.freeze_route(readings, "value")
-    cold, rest = scratch_path(spark, "freeze"), scratch_path(spark, "main")
-    writers = {routing.FREEZE_TAG: parquet_batches(cold), routing.MAIN: parquet_batches(rest)}
-    start_batches(routed, fan_out(writers), scratch_path(spark, "freeze-state")).awaitTermination()
-    return read_batches(spark, cold, readings.schema)
+    """A routed stream written once, by tag; the freeze tag's rows are returned."""
+    readings = _stream(spark, sf).select("event_id", "value")
+    folder = scratch_path(spark, "freeze")
+    start_batches(
+        routing.freeze_route(readings, "value"), tagged_batches(f"{folder}/out"), f"{folder}/checkpoint"
+    ).awaitTermination()
+    return read_tag(spark, f"{folder}/out", routing.FREEZE_TAG, readings.schema)

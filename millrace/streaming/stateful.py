@@ -4,12 +4,8 @@ All machines read their rows in event-time order: rows wait in state until the
 watermark has passed them, as any row still missing would be late. One timer per
 group, at the earliest instant of interest, wakes the machine.
 
-Patterns look back or ahead by their time limit only, so their groups are
-(key, time bucket) and rows near a border go to both sides: a hot key is spread
-over its buckets, and a pattern without keys runs in parallel too. The state of
-a bucket is dropped when time has passed it. The rising alarm is one long walk
-per key; what a task gets of a hot key at a time is bounded by the size of the
-micro-batch (files or offsets per batch).
+The rising alarm is one long walk per key; what a task gets of a hot key at a time
+is bounded by the size of the micro-batch (files or offsets per batch).
 """
 
 from __future__ import annotations
@@ -19,13 +15,12 @@ from collections.abc import Iterator, Sequence
 from itertools import batched
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from millrace.functions.times import MILLI_US, SECOND_US, duration_us, interval_text, to_us
 from millrace.operators.alarms import ALARM_PREFIX
-from millrace.operators.patterns import FAIL_STREAK_MESSAGE, MATCHED, PAID_MESSAGE, TIMEOUT, TIMEOUT_PREFIX
 from millrace.session import ROCKSDB
 
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
@@ -140,69 +135,6 @@ class OrderedMachine(StatefulProcessor):
         pass
 
 
-class FailStreak(OrderedMachine):
-    """A failure right after a failure, less than the limit later.
-
-    Rows copied from the bucket before only set the scene. The bucket is the
-    last part of the key.
-    """
-
-    payload = "us BIGINT, seq BIGINT, who STRING, hit BOOLEAN, copied BOOLEAN"
-    memory = "prev_us BIGINT, prev_who STRING"
-    blank = (None, None)
-
-    def __init__(self, within: int, bucket: int):
-        super().__init__(within)
-        self.bucket = bucket
-
-    def advance(self, key, state, row):
-        prev_us, prev_who = state
-        us, _, who, hit, copied = row
-        if not hit:
-            return self.blank, []
-        near = prev_us is not None and us - prev_us < self.limit and not copied
-        return (us, who), [Row(who=prev_who, first_us=prev_us, last_us=us)] if near else []
-
-    def _over(self, key):
-        return (key[-1] + 1) * self.bucket
-
-    def expire(self, key, state, watermark):
-        return (self.blank if watermark >= self._over(key) else state), []
-
-    def deadline(self, key, state):
-        return self._over(key)
-
-
-class FollowedBy(OrderedMachine):
-    """First-stage rows wait for the next second-stage row or for their deadline."""
-
-    payload = "us BIGINT, seq BIGINT, begins BOOLEAN, ends BOOLEAN"
-    memory = "open ARRAY<BIGINT>"
-    blank = ([],)
-
-    def _result(self, key, first, second):
-        status = TIMEOUT if second is None else MATCHED
-        return Row(key=key[0], status=status, create_us=first, pay_us=second, deadline_us=first + self.limit)
-
-    def advance(self, key, state, row):
-        opened, (us, _, begins, ends) = list(state[0]), row
-        out = []
-        if ends:
-            out = [self._result(key, first, us if us - first < self.limit else None) for first in opened]
-            opened = []
-        if begins:
-            opened = opened + [us]
-        return (opened,), out
-
-    def expire(self, key, state, watermark):
-        over = [first for first in state[0] if first + self.limit <= watermark]
-        still = [first for first in state[0] if first + self.limit > watermark]
-        return (still,), [self._result(key, first, None) for first in over]
-
-    def deadline(self, key, state):
-        return min(state[0]) + self.limit
-
-
 class RisingAlarm(OrderedMachine):
     """Arms on a rise, disarms on a fall, fires the limit after arming."""
 
@@ -248,72 +180,6 @@ def _type(df: DataFrame, column: str) -> str:
     return df.schema[column].dataType.simpleString()
 
 
-def _bucket(us: Column, width: int) -> Column:
-    return F.floor(us / F.lit(width)).cast("long")
-
-
-def fail_streaks(
-    df: DataFrame, ts: str, seq: str, user: str = "user_id", event: str = "event_type", fail: str = "fail",
-    within: str = "2 seconds", message: str = FAIL_STREAK_MESSAGE, keys: Sequence[str] | None = None,
-    bucket: str = "1 hour", lateness: str = "0 seconds", unit: str = "s",
-) -> DataFrame:
-    """``user_id, first_time, last_fail_time, warning_msg`` with times as ``TIMESTAMP``.
-
-    ``keys=[]`` reads all users as one sequence.
-    """
-    keys = [user] if keys is None else list(keys)
-    limit = duration_us(within)
-    width = max(duration_us(bucket), limit)
-    us = to_us(df, ts, unit)
-    own = _bucket(us, width)
-    # The next bucket needs the rows its first ones may follow closely.
-    beyond = _bucket(us + F.lit(limit - 1), width)
-    rows = df.select(
-        *keys, us.alias("us"), F.col(seq).cast("long").alias("seq"), F.col(user).cast("string").alias("who"),
-        F.coalesce(F.col(event) == fail, F.lit(False)).alias("hit"), own.alias("own"),
-        F.explode(F.array_distinct(F.array(own, beyond))).alias("bucket"),
-    ).withColumn("copied", F.col("bucket") != F.col("own"))
-    found = _run(
-        rows, [*keys, "bucket"], FailStreak(limit, width), "who STRING, first_us BIGINT, last_us BIGINT", lateness
-    )
-    return found.select(
-        F.col("who").cast(_type(df, user)).alias("user_id"), F.timestamp_micros("first_us").alias("first_time"),
-        F.timestamp_micros("last_us").alias("last_fail_time"), F.lit(message).alias("warning_msg"),
-    )
-
-
-def order_results(
-    df: DataFrame, ts: str, seq: str, order_id: str = "order_id", event: str = "event_type",
-    create: str = "create", pay: str = "pay", within: str = "15 minutes", bucket: str = "1 hour",
-    lateness: str = "0 seconds", unit: str = "s",
-) -> DataFrame:
-    """``order_id, status, result_msg, create_ts, pay_ts, deadline``; both outputs in one stream."""
-    limit = duration_us(within)
-    width = max(duration_us(bucket), limit)
-    us = to_us(df, ts, unit)
-    own = _bucket(us, width)
-    begins = F.coalesce(F.col(event) == create, F.lit(False))
-    ends = F.coalesce(F.col(event) == pay, F.lit(False))
-    # A bucket's creations may be paid in the next one; all rows move the watermark.
-    copies = F.when(ends, F.array(own, own - 1)).otherwise(F.array(own))
-    rows = df.select(
-        F.col(order_id).alias("key"), us.alias("us"), F.col(seq).cast("long").alias("seq"), own.alias("own"),
-        begins.alias("begins"), ends.alias("ends"), F.explode(copies).alias("bucket"),
-    ).withColumn("begins", F.col("begins") & (F.col("bucket") == F.col("own")))
-    found = _run(
-        rows, ["key", "bucket"], FollowedBy(limit),
-        f"key {_type(df, order_id)}, status STRING, create_us BIGINT, pay_us BIGINT, deadline_us BIGINT", lateness,
-    )
-    deadline = F.timestamp_micros("deadline_us")
-    late_text = F.concat(F.lit(TIMEOUT_PREFIX), deadline.cast("string"))
-    return found.select(
-        F.col("key").alias("order_id"), "status",
-        F.when(F.col("status") == MATCHED, PAID_MESSAGE).otherwise(late_text).alias("result_msg"),
-        F.timestamp_micros("create_us").alias("create_ts"), F.timestamp_micros("pay_us").alias("pay_ts"),
-        deadline.alias("deadline"),
-    )
-
-
 def rising_alarms(
     df: DataFrame, key: str, ts: str, value: str, seq: str = "seq", horizon: str = "2 seconds",
     lateness: str = "0 seconds", unit: str = "s",

@@ -47,6 +47,66 @@ def test_top_visitors(spark, make, rows_of, tmp_path):
     assert rows_of(got.select(*columns)) == rows_of(batch.select(*columns))
 
 
+def run_parts(spark, tmp_path, rows, schema, start):
+    """Runs ``start(stream, writer of a name, checkpoint)`` over parts of rows; the tables by name."""
+    folder = str(tmp_path / "rows")
+    for part in rows:
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(schema).parquet(folder)
+        start(stream, lambda name: files.parquet_batches(str(tmp_path / name)), str(tmp_path / "state")).awaitTermination()
+    return lambda name: spark.read.option("recursiveFileLookup", "true").parquet(str(tmp_path / name))
+
+
+SENSOR_FEED = "value STRING, seq LONG"
+
+
+def test_coldest_readings_as_a_stream(spark, make, rows_of, tmp_path):
+    lines = [(f"p{i % 2}, {START + i}, {(i * 13) % 7}.5", i) for i in range(40)]
+    batch = jobs.coldest_readings(spark.createDataFrame(lines, SENSOR_FEED))
+    read = run_parts(
+        spark, tmp_path, [lines[:20], lines[20:], [(f"z, {START + 9000}, 1.0", 99)]], SENSOR_FEED,
+        lambda s, w, c: jobs.start_coldest_readings(s, w("out"), c, available_now=True))
+    assert batch.count() > 0 and rows_of(read("out").select(*batch.columns)) == rows_of(batch)
+
+
+def test_controlled_readings_as_a_stream(spark, tmp_path):
+    lines = [(f"p, {START + i}, {20 - i}.5", i) for i in range(12)] + [(f"c, {START + 30}, 9.0", 12), (f"p, {START + 1}, 0.0", 13)]
+    read = run_parts(
+        spark, tmp_path, [lines[:6], lines[6:]], SENSOR_FEED,
+        lambda s, w, c: jobs.start_controlled_readings(s, w("out"), c, "c", available_now=True))
+    # Only the control sensor closes windows; the reading after it is late.
+    assert read("out").filter("id = 'p'").agg(F.min("temperature")).first()[0] == 9.5
+
+
+def test_alarms_as_a_stream(spark, rows_of, tmp_path):
+    lines = [(f"p, {START + i}, {10 + i % 5}.0", i) for i in range(30)]
+    batch = jobs.temperature_alarms(spark.createDataFrame(lines, SENSOR_FEED))
+    read = run_parts(
+        spark, tmp_path, [lines, [(f"z, {START + 9000}, -1.0", 99)]], SENSOR_FEED,
+        lambda s, w, c: jobs.start_temperature_alarms(s, w("out"), c, available_now=True))
+    alarms = read("out").select("id", F.unix_seconds("alarm_ts").alias("alarm_ts"), "alarm_msg")
+    assert batch.count() > 1 and rows_of(alarms) == rows_of(batch)
+
+
+def test_logins_and_orders_as_streams(spark, rows_of, tmp_path):
+    def numbered(rows):
+        return [(*row, i) for i, row in enumerate(rows)]
+
+    (tmp_path / "a").mkdir(), (tmp_path / "b").mkdir()
+    far = (None, None, None, START + 90_000, 99)
+    read = run_parts(
+        spark, tmp_path / "a", [numbered(LOGINS_2)[:4], numbered(LOGINS_2)[4:], [far]], LOGIN + ", seq LONG",
+        lambda s, w, c: jobs.start_login_warnings(
+            s, w("out"), c, available_now=True, keys=[], message=jobs.patterns.FAIL_PATTERN_MESSAGE))
+    batch = jobs.login_pattern_warnings(spark.createDataFrame(numbered(LOGINS_2), LOGIN + ", seq LONG"))
+    assert rows_of(read("out")) == rows_of(batch)
+    read = run_parts(
+        spark, tmp_path / "b", [numbered(ORDERS), [(None, None, START + 90_000, 99)]], ORDER + ", seq LONG",
+        lambda s, w, c: jobs.start_order_outputs(s, w("paid"), w("late"), c, available_now=True))
+    paid, late = jobs.order_outputs(spark.createDataFrame(numbered(ORDERS), ORDER + ", seq LONG"))
+    assert rows_of(read("paid")) == rows_of(paid) and rows_of(read("late")) == rows_of(late)
+
+
 def test_sensors(sensor_lines, make):
     assert jobs.coldest_readings(sensor_lines).count() == 11
     assert jobs.temperature_alarms(sensor_lines).count() == 3

@@ -50,7 +50,7 @@ def test_print_rows(make, capsys):
 
 
 def test_shared_dir_is_the_configured_one(spark):
-    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+    assert shared_dir(spark) == (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir())
 
 
 def test_no_console_query_without_a_stream(make):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 import random
 
 import pytest
@@ -10,13 +11,18 @@ from pyspark.sql import functions as F
 
 from conftest import LOGIN, LOGINS_1, LOGINS_2, ORDER, ORDERS
 from millrace.functions.parsing import parse_sensor
-from millrace.operators import alarms, patterns, ranking, routing, sliding, words
+from millrace.operators import alarms, lateness, patterns, ranking, routing, sliding, words
 from millrace.sinks import documents, files
-from millrace.sinks.fanout import fan_out
+from millrace.sinks.fanout import fan_out, read_tag, tagged_batches
 from millrace.sources import kafka
-from millrace.sinks import files as files_module
-from millrace.sources.lines import collection, stream_table, stream_text_lines
-from millrace.streaming import punctuated, stateful, watermarks, windows
+from millrace.sources.lines import stream_text_lines
+from millrace.streaming import patterns as stream_patterns
+from millrace.streaming import stateful, watermarks
+from millrace.streaming.arrivals import Lateness, start_marked
+from millrace.streaming.patterns import PatternStream
+from millrace.streaming.store import BatchTable
+from millrace.streaming.windows import Accumulator, LeastRecord, WindowStream, ranked, row_count
+from millrace.streaming.words import RunningCount
 
 END = dt.datetime(2900, 1, 1)
 
@@ -31,10 +37,15 @@ class Feed:
         self.count = 0
 
     def stream(self):
-        return self.spark.readStream.schema(self.schema).parquet(self.source)
+        # One file is one micro-batch, the oldest first.
+        return self.spark.readStream.schema(self.schema).option("maxFilesPerTrigger", 1).parquet(self.source)
 
     def add(self, rows):
+        known = set((self.base / "in").glob("*.parquet"))
         self.spark.createDataFrame(rows, self.schema).coalesce(1).write.mode("append").parquet(self.source)
+        for new in set((self.base / "in").glob("*.parquet")) - known:
+            self.count += 1
+            os.utime(new, (1_700_000_000 + self.count,) * 2)
 
     def run(self, stream, write=None, mode="append"):
         files.start_batches(stream, write or files.parquet_batches(self.out), self.state, mode).awaitTermination()
@@ -45,7 +56,12 @@ class Feed:
 
 @pytest.fixture
 def feed(spark, tmp_path):
-    return lambda schema: Feed(spark, tmp_path, schema)
+    def make(schema, name="feed"):
+        base = tmp_path / name
+        base.mkdir()
+        return Feed(spark, base, schema)
+
+    return make
 
 
 def at(seconds):
@@ -86,38 +102,140 @@ def split_runs(feed, build, rows, parts):
     return feed.results(stream.schema)
 
 
-@pytest.mark.parametrize("parts", [3])
-def test_fail_streaks(spark, feed, rows_of, parts):
+class Held:
+    """An operator that keeps its own tables, fed in parts; each part is a micro-batch."""
+
+    def __init__(self, feed, operator):
+        self.feed, self.operator = feed, operator(f"{feed.base}/held")
+
+    def run(self, *parts):
+        for rows in parts:
+            self.feed.add(rows)
+        self.operator.start(self.feed.stream(), files.parquet_batches(self.feed.out), self.feed.state).awaitTermination()
+        return self
+
+    def results(self):
+        rest = self.operator.rest(self.feed.stream())
+        return self.feed.results(rest.schema).unionByName(rest)
+
+    def emitted(self):
+        return self.feed.results(self.operator.rest(self.feed.stream()).schema)
+
+    def table(self, name):
+        store = BatchTable(f"{self.feed.base}/held/{name}", None)
+        spark, ids = self.feed.spark, store.batches(self.feed.spark)
+        return ids, spark.read.parquet(files.batch_folder(store.path, ids[-1]))
+
+
+def cut(rows, parts):
+    step = -(-len(rows) // parts)
+    return [rows[i : i + step] for i in range(0, len(rows), step)]
+
+
+def strict():
+    return patterns.Pattern.begin("a", F.col("kind") == "fail").next("b", F.col("kind").isin("fail", "ok")).within("7 seconds")
+
+
+def relaxed(within="20 seconds"):
+    # A row may be of both stages.
+    pattern = patterns.Pattern.begin("a", F.col("kind").isin("create", "ok")).followed_by("b", F.col("kind").isin("pay", "ok"))
+    return pattern if within is None else pattern.within(within)
+
+
+COLUMNS = ["kind", "ts", "seq"]
+
+
+@pytest.mark.parametrize("parts,keys", [(1, ["k"]), (3, []), (3, ["k"]), (7, ["k"])])
+def test_strict_patterns(spark, feed, rows_of, parts, keys):
     rows = random_events()
-    batch = patterns.fail_streaks(spark.createDataFrame(rows, EVENTS), "ts", "seq", "k", "kind", within="7 seconds")
-    got = split_runs(
-        feed(EVENTS), lambda s: stateful.fail_streaks(s, "ts", "seq", "k", "kind", within="7 seconds", bucket="10 seconds"),
-        rows, parts,
-    )
-    assert batch.count() > 0 and rows_of(got) == rows_of(batch)
+    want = patterns.match(spark.createDataFrame(rows, EVENTS), strict(), keys, "ts", "seq", COLUMNS)
+    held = Held(feed(EVENTS), lambda path: PatternStream(strict(), keys, "ts", "seq", COLUMNS, path, rows_per_group=15 if parts == 3 else None))
+    # The query ends and takes up its tables again.
+    half = -(-parts // 2)
+    got = held.run(*cut(rows, parts)[:half]).run(*cut(rows, parts)[half:]).results()
+    assert got.schema.simpleString() == want.schema.simpleString()
+    assert want.count() > 5 and rows_of(got) == rows_of(want)
 
 
-def test_unkeyed_fail_streaks(spark, feed, rows_of):
+@pytest.mark.parametrize("parts", [1, 7])
+def test_relaxed_patterns_and_timeouts(spark, feed, rows_of, parts):
     rows = random_events()
-    batch = patterns.fail_streaks(
-        spark.createDataFrame(rows, EVENTS), "ts", "seq", "k", "kind", within="5 seconds", keys=[])
-    got = split_runs(
-        feed(EVENTS),
-        lambda s: stateful.fail_streaks(s, "ts", "seq", "k", "kind", within="5 seconds", keys=[], bucket="5 seconds"),
-        rows, 3,
-    )
-    assert batch.count() > 0 and rows_of(got) == rows_of(batch)
+    want = patterns.match_or_timeout(spark.createDataFrame(rows, EVENTS), relaxed(), ["k"], "ts", "seq", COLUMNS)
+    held = Held(feed(EVENTS), lambda path: PatternStream(relaxed(), ["k"], "ts", "seq", COLUMNS, path, outcomes=True))
+    assert want.select("status").distinct().count() == 2 and rows_of(held.run(*cut(rows, parts)).results()) == rows_of(want)
 
 
-@pytest.mark.parametrize("parts", [3])
-def test_order_results(spark, feed, rows_of, parts):
+def test_pattern_without_limit_or_keys(spark, feed, rows_of):
     rows = random_events()
-    batch = patterns.order_results(spark.createDataFrame(rows, EVENTS), "ts", "seq", "k", "kind", within="20 seconds")
-    got = split_runs(
-        feed(EVENTS), lambda s: stateful.order_results(s, "ts", "seq", "k", "kind", within="20 seconds", bucket="25 seconds"),
-        rows, parts,
-    )
-    assert batch.select("status").distinct().count() == 2 and rows_of(got) == rows_of(batch)
+    want = patterns.match(spark.createDataFrame(rows, EVENTS), relaxed("900 days"), [], "ts", "seq", COLUMNS)
+    held = Held(feed(EVENTS), lambda path: PatternStream(relaxed(None), [], "ts", "seq", COLUMNS, path))
+    assert rows_of(held.run(*cut(rows, 4)).results()) == rows_of(want)
+
+
+def test_patterns_within_the_lateness(spark, feed, rows_of):
+    """Rows in any order within the lateness; later ones, and rows without a time, are left out."""
+    rows = random_events()
+    shuffled = [row for part in cut(rows, 10) for row in reversed(part)]
+    lost = [(0, "fail", at(1), 1000, 0.0), (1, "ok", None, 1001, 0.0)]
+    want = patterns.match(spark.createDataFrame(rows, EVENTS), strict(), ["k"], "ts", "seq", COLUMNS)
+    held = Held(feed(EVENTS), lambda path: PatternStream(strict(), ["k"], "ts", "seq", COLUMNS, path, lateness=Lateness("50 seconds")))
+    assert rows_of(held.run(*cut(shuffled, 5), lost).results()) == rows_of(want)
+
+
+def test_settled_matches_come_at_once_and_what_is_held_is_bounded(spark, feed):
+    rows = [(i % 3, "fail", at(i), i, 0.0) for i in range(300)]
+    held = Held(feed(EVENTS), lambda path: PatternStream(strict(), ["k"], "ts", "seq", COLUMNS, path))
+    held.run(*cut(rows, 4))
+    ids, kept = held.table("held")
+    # Two batches back there is nothing left; the rows of the last second and one per key are.
+    assert ids == [2, 3] and kept.count() <= 1 + 3
+    assert held.emitted().count() == 300 - 3 - 1
+    waiting = Held(feed(EVENTS, "other"), lambda path: PatternStream(
+        relaxed("10 seconds"), ["k"], "ts", "seq", COLUMNS, path, outcomes=True))
+    waiting.run(*cut([(i, "create", at(i), i, 0.0) for i in range(300)], 4))
+    assert waiting.table("held")[1].count() <= 11
+
+
+def test_a_repeated_batch_gives_the_same(spark, feed, rows_of):
+    """A writer that fails after its batch was written: the batch is run again."""
+    rows = random_events()
+    want = patterns.match(spark.createDataFrame(rows, EVENTS), strict(), ["k"], "ts", "seq", COLUMNS)
+    held = Held(feed(EVENTS), lambda path: PatternStream(strict(), ["k"], "ts", "seq", COLUMNS, path))
+    parts = cut(rows, 4)
+    held.run(*parts[:2])
+    write = files.parquet_batches(held.feed.out)
+
+    def failing(found, batch):
+        write(found, batch)
+        raise RuntimeError("lost")
+
+    held.feed.add(parts[2])
+    with pytest.raises(Exception, match="lost"):
+        held.operator.start(held.feed.stream(), failing, held.feed.state).awaitTermination()
+    assert rows_of(held.run(parts[3]).results()) == rows_of(want)
+
+
+def test_patterns_run_without_python(spark, feed):
+    operator = PatternStream(relaxed(), ["k"], "ts", "seq", COLUMNS, "/nowhere", outcomes=True)
+    rows = spark.createDataFrame(spark.range(3).selectExpr(
+        "id AS k", "'ok' AS kind", "timestamp_seconds(id) AS ts", "id AS seq", "0D AS x", "id AS __us", "id AS watermark_us").rdd,
+        EVENTS + ", __us LONG, watermark_us LONG").cache()
+    plan = operator._results(operator._matched(operator._fresh(rows)), 5, 1)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+@pytest.mark.parametrize("rows,keys,users", [(LOGINS_1, None, [31, 31, 32]), (LOGINS_2, [], [42])])
+def test_login_fixtures(feed, rows, keys, users):
+    held = Held(feed(LOGIN + ", seq LONG"), lambda path: stream_patterns.fail_streaks(path, keys=keys))
+    held.run([(*row, i) for i, row in enumerate(rows)])
+    assert sorted(r.begin.user_id for r in held.results().collect()) == users
+
+
+def test_order_fixture(feed):
+    held = Held(feed(ORDER + ", seq LONG"), stream_patterns.order_results)
+    held.run(*cut([(*row, i) for i, row in enumerate(ORDERS)], 3))
+    found = patterns.order_texts(held.results(), "order_id", "event_time").collect()
+    assert sorted((r.order_id, r.status) for r in found) == [(71, "timeout"), (72, "matched"), (73, "timeout")]
 
 
 @pytest.mark.parametrize("parts", [3])
@@ -139,17 +257,11 @@ def test_machines_order_rows_within_the_lateness(spark, feed, rows_of):
     assert rows_of(got) == rows_of(batch)
 
 
-def test_login_and_order_fixtures(spark, feed, rows_of):
-    f = feed(LOGIN + ", seq LONG")
-    build = lambda s: stateful.fail_streaks(s, "event_time", "seq")
-    stream = build(f.stream())
-    f.add([(*row, i) for i, row in enumerate(LOGINS_1)])
-    f.run(stream)
-    f.add([(None, None, None, 4_000_000_000, None)])
-    f.run(stream)
-    got = f.results(stream.schema).select("user_id", F.unix_seconds("first_time"), F.unix_seconds("last_fail_time"))
-    batch = patterns.fail_streaks(collection(spark, LOGINS_1, LOGIN))
-    assert rows_of(got) == rows_of(batch.drop("warning_msg"))
+# --- windows ------------------------------------------------------------------------
+
+
+def counts(path, size="60 seconds", slide="5 seconds", where=None, **options):
+    return WindowStream(row_count(), ["k"], "ts", size, slide, path, where=where, **options)
 
 
 @pytest.mark.parametrize("parts", [1, 3])
@@ -159,94 +271,146 @@ def test_sliding_counts_and_ranking(spark, feed, rows_of, parts):
     want = ranking.top_n(
         sliding.sliding_count(table.filter("kind = 'ok'"), ["k"], "ts", "60 seconds", "5 seconds"), 2, tie=["k"])
     f = feed(EVENTS)
-    counts = windows.sliding_count(f.stream(), ["k"], "ts", "60 seconds", "5 seconds", F.col("kind") == "ok")
-    step = -(-len(rows) // parts)
-    for chunk in [rows[i:i + step] for i in range(0, len(rows), step)] + [marker()]:
-        f.add(chunk)
-        windows.start_top_n(counts, 2, files.parquet_batches(f.out), f.state, tie=["k"]).awaitTermination()
-    got = f.results(counts.withColumn("rank", F.lit(0)).schema)
-    assert rows_of(got.select("k", "window_end", "cnt", "rank")) == rows_of(want.select("k", "window_end", "cnt", "rank"))
+    operator = counts(f"{f.base}/held", where=F.col("kind") == "ok")
+    for part in cut(rows, parts):
+        f.add(part)
+    operator.start(f.stream(), ranked(files.parquet_batches(f.out), 2, tie=["k"]), f.state).awaitTermination()
+    rest = ranking.top_n(operator.rest(f.stream()), 2, tie=["k"])
+    got = f.results(rest.schema).unionByName(rest).select(*want.columns)
+    assert rows_of(got) == rows_of(want)
 
 
-def test_sliding_min_records(spark, feed, rows_of):
-    rows = random_events(90)
-    want = sliding.sliding_min_record(
-        spark.createDataFrame(rows, EVENTS), ["k"], "ts", "15 seconds", "5 seconds", "x", ["seq"], ["seq", "ts"])
-    got = split_runs(
-        feed(EVENTS),
-        lambda s: windows.sliding_min_record(s, ["k"], "ts", "15 seconds", "5 seconds", "x", ["seq"], ["seq", "ts"]),
-        rows, 3,
+def least():
+    return LeastRecord("x", ["seq"], ["seq", "ts"])
+
+
+def total():
+    """Sum of x by rows and by accumulators, and the kinds in order of arrival."""
+    start = F.struct(F.lit(0.0).alias("x"), F.lit("").alias("kinds"))
+    both = lambda x, kinds: F.struct(x.alias("x"), kinds.alias("kinds"))
+    return Accumulator(
+        start, lambda a, row: both(a["x"] + row["x"], F.concat(a["kinds"], F.substring(row["kind"], 1, 1))),
+        lambda a, b: both(a["x"] + b["x"], F.concat(a["kinds"], b["kinds"])), lambda a: a, ["seq", "kind", "x"],
     )
-    assert rows_of(got) == rows_of(want)
 
 
-@pytest.mark.parametrize("lateness,counted", [("0 seconds", 1), ("30 seconds", 2)])
-def test_late_rows_are_dropped_unless_allowed(feed, lateness, counted):
-    f = feed(EVENTS)
-    stream = windows.sliding_count(f.stream(), ["k"], "ts", "10 seconds", "10 seconds", lateness=lateness)
-    for rows in ([(1, "a", at(5), 0, 0.0)], [(1, "a", at(25), 1, 0.0)], [(1, "a", at(6), 2, 0.0)], marker()):
-        f.add(rows)
-        f.run(stream)
-    first = f.results(stream.schema).filter(F.col("window_end") == F.lit(at(10)))
-    assert first.first().cnt == counted
+@pytest.mark.parametrize("aggregate", [least, total])
+@pytest.mark.parametrize("parts", [3])
+def test_aggregates_in_batches(spark, feed, rows_of, aggregate, parts):
+    rows = random_events(90)
+    want = sliding.sliding_windows(
+        spark.createDataFrame(rows, EVENTS).coalesce(1), aggregate(), ["k"], "ts", "15 seconds", "5 seconds")
+    held = Held(feed(EVENTS), lambda path: WindowStream(aggregate(), ["k"], "ts", "15 seconds", "5 seconds", path))
+    assert rows_of(held.run(*cut(rows, parts)).results()) == rows_of(want)
 
 
-def test_end_marker_closes_all_windows(spark, feed, rows_of):
-    rows = random_events(50)
-    f = feed(EVENTS)
-    f.add(rows)
-    marked, close = watermarks.with_end_marker(f.stream(), "ts")
-    stream = windows.sliding_count(marked, ["k"], "ts", "60 seconds", "5 seconds", F.col("k").isNotNull())
-    f.run(stream)
-    close()
-    f.run(stream)
-    want = sliding.sliding_count(spark.createDataFrame(rows, EVENTS), ["k"], "ts", "60 seconds", "5 seconds")
-    assert rows_of(f.results(stream.schema)) == rows_of(want)
-
-
-@pytest.mark.parametrize("files", [1, 3, 7])
-def test_no_row_is_lost_over_many_batches(spark, tmp_path, rows_of, files):
-    rows = random_events(84)
-    for i in range(7):
-        part = spark.createDataFrame(rows[12 * i : 12 * i + 12], EVENTS).coalesce(1)
-        part.write.mode("append").parquet(str(tmp_path / "events.parquet"))
-    source = stream_table(spark, str(tmp_path), "events", files)
-    marked, close = watermarks.with_end_marker(source, "ts")
-    # Files of one second may come in any order, so rows may lag.
-    stream = windows.sliding_count(
-        marked, ["k"], "ts", "60 seconds", "5 seconds", F.col("k").isNotNull(), lateness="1 hour")
-    out, state = str(tmp_path / "out"), str(tmp_path / "state")
-    files_run = lambda: files_module.start_batches(stream, files_module.parquet_batches(out), state, "append")
-    files_run().awaitTermination()
-    close()
-    files_run().awaitTermination()
-    want = sliding.sliding_count(spark.createDataFrame(rows, EVENTS), ["k"], "ts", "60 seconds", "5 seconds")
-    assert rows_of(files_module.read_batches(spark, out, stream.schema)) == rows_of(want)
-
-
-def test_rows_between_windows_move_the_watermark_only(spark, feed, rows_of):
+def test_accumulators_against_plain_windows(spark):
+    rows = random_events(60)
+    found = sliding.sliding_accumulated(
+        spark.createDataFrame(rows, EVENTS).repartition(4), total(), ["k"], "ts", "15 seconds", "5 seconds")
+    for r in found.collect():
+        inside = [e for e in rows if e[0] == r["k"] and r["window_end"] - dt.timedelta(seconds=15) <= e[2] < r["window_end"]]
+        assert r["result"]["x"] == sum(e[4] for e in inside) and sorted(r["result"]["kinds"]) == sorted(e[1][0] for e in inside)
+
+
+def test_open_panes_are_bounded_and_windows_come_once(spark, feed):
+    rows = [(i % 3, "ok", at(i), i, 1.0) for i in range(600)]
+    held = Held(feed(EVENTS), counts)
+    held.run(*cut(rows, 4))
+    ids, panes = held.table("panes")
+    # A window of a minute has twelve panes of five seconds; the last batch brings thirty more.
+    assert ids == [2, 3] and panes.count() <= 3 * (12 + 30 + 1)
+    assert panes.groupBy("k", "__pane").count().filter("count > 1").isEmpty()
+    emitted = held.emitted()
+    assert emitted.count() == emitted.select("k", "window_end").distinct().count() > 300
+
+
+@pytest.mark.parametrize("lateness,counted", [(0, 1), ("30 seconds", 2)])
+def test_late_rows_are_dropped_unless_allowed(feed, lateness, counted):
+    held = Held(feed(EVENTS), lambda path: counts(path, "10 seconds", "10 seconds", lateness=Lateness(lateness)))
+    held.run([(1, "a", at(5), 0, 0.0)], [(1, "a", at(25), 1, 0.0)], [(1, "a", at(6), 2, 0.0)], [(1, "a", None, 3, 0.0)])
+    assert held.results().filter(F.col("window_end") == F.lit(at(10))).first().cnt == counted
+
+
+@pytest.mark.parametrize("parts", [1, 3, 7])
+def test_which_rows_are_late_does_not_hang_on_the_batches(spark, feed, rows_of, tmp_path, parts):
+    rng = random.Random(3)
+    rows = [(k, kind, ts - dt.timedelta(seconds=rng.choice([0, 0, 5, 40])), seq, x) for k, kind, ts, seq, x in random_events()]
+    marked = lateness.bounded_watermark(spark.createDataFrame(rows, EVENTS), ["seq"], "ts", "10 seconds")
+    want = sliding.sliding_count(marked, ["k"], "ts", "20 seconds", "5 seconds", lateness.WATERMARK)
+    late = lateness.late_rows(marked, "ts", "20 seconds", "5 seconds").select("seq")
+    allowed = Lateness("10 seconds", ("seq",))
+    held = Held(feed(EVENTS), lambda path: counts(path, "20 seconds", lateness=allowed))
+    assert rows_of(held.run(*cut(rows, parts)).results()) == rows_of(want) and late.count() > 5
+    f = feed(EVENTS, "late")
+    for part in cut(rows, parts):
+        f.add(part)
+    start_marked(
+        f.stream(), lambda found, batch: files.parquet_batches(f.out)(
+            lateness.late_rows(found, "ts", "20 seconds", "5 seconds").select("seq"), batch),
+        f"{f.base}/held", f.state, "ts", allowed).awaitTermination()
+    assert rows_of(f.results(late.schema)) == rows_of(late)
+
+
+def test_rows_between_windows_do_not_count(spark, feed, rows_of):
     rows = [(1, "a", at(1), 0, 1.0), (1, "a", at(8), 1, 1.0), (1, "a", at(21), 2, 1.0)]
-    f = feed(EVENTS)
-    f.add(rows)
-    marked, close = watermarks.with_end_marker(f.stream(), "ts")
-    stream = windows.sliding_count(marked, ["k"], "ts", "5 seconds", "10 seconds", F.col("k").isNotNull())
-    f.run(stream)
-    close()
-    f.run(stream)
+    held = Held(feed(EVENTS), lambda path: counts(path, "5 seconds", "10 seconds")).run(rows)
     want = sliding.sliding_count(spark.createDataFrame(rows, EVENTS), ["k"], "ts", "5 seconds", "10 seconds")
-    assert rows_of(f.results(stream.schema)) == rows_of(want)
+    assert rows_of(held.results()) == rows_of(want)
 
 
 def test_null_values_are_no_least_record(spark, feed, rows_of):
     rows = [(1, "a", at(1), 0, None), (1, "a", at(2), 1, 5.0), (2, "a", at(3), 2, None)]
-    f = feed(EVENTS)
-    f.add(rows)
-    f.add(marker())
-    args = (["k"], "ts", "10 seconds", "5 seconds", "x", ["seq"], ["seq"])
-    stream = windows.sliding_min_record(f.stream(), *args)
-    f.run(stream)
-    want = rows_of(sliding.sliding_min_record(spark.createDataFrame(rows, EVENTS), *args))
-    assert rows_of(f.results(stream.schema)) == want and {r[2] for r in want} == {5.0}
+    record = LeastRecord("x", ["seq"], ["seq"])
+    held = Held(feed(EVENTS), lambda path: WindowStream(record, ["k"], "ts", "10 seconds", "5 seconds", path)).run(rows)
+    want = rows_of(sliding.sliding_min_record(
+        spark.createDataFrame(rows, EVENTS), ["k"], "ts", "10 seconds", "5 seconds", "x", ["seq"], ["seq"]))
+    assert rows_of(held.results()) == want and {r[2] for r in want} == {5.0}
+
+
+CONTROLLED = [("s", t, i, float(t)) for i, t in enumerate([1, 3, 2, 30, 4, 31])] + [
+    ("c", 20, 6, 0.0), ("s", 5, 7, -1.0), ("s", 22, 8, -2.0)]
+
+
+@pytest.mark.parametrize("cuts", [[], [4], [7], [2, 7, 8]])
+def test_punctuated_watermark(feed, cuts):
+    held = Held(feed("id STRING, t LONG, seq LONG, x DOUBLE"), lambda path: WindowStream(
+        LeastRecord("x", ["seq"], ["t"]), ["id"], "t", "10 seconds", "10 seconds", path,
+        lateness=Lateness(arrival=("seq",), control=F.col("id") == "c")))
+    held.run(*[CONTROLLED[lo:hi] for lo, hi in zip([0, *cuts], [*cuts, len(CONTROLLED)])])
+    read = lambda found: {(r.id, r.window_end): r.x for r in found.collect()}
+    # The row at 5 comes after the control row at 20 and is late, the one at 22 is not.
+    assert read(held.results()) == {("s", 10): 1.0, ("s", 40): 30.0, ("c", 30): 0.0, ("s", 30): -2.0}
+    # Each closed window came once, and its panes are gone.
+    assert read(held.emitted()) == {("s", 10): 1.0} and held.emitted().count() == 1
+
+
+def test_punctuated_work_does_not_grow_with_history(feed):
+    held = Held(feed("id STRING, t LONG, seq LONG, x DOUBLE"), lambda path: WindowStream(
+        LeastRecord("x", ["seq"], ["t"]), ["id"], "t", "10 seconds", "10 seconds", path,
+        lateness=Lateness(arrival=("seq",), control=F.col("id") == "c")))
+    sizes = []
+    for batch in range(4):
+        held.run([("c" if i % 20 == 19 else "s", 100 * batch + i, 100 * batch + i, float(i)) for i in range(100)])
+        sizes.append(held.table("panes")[1].count())
+    assert max(sizes[1:]) <= 2 * 11 and len(held.table("panes")[0]) == 2
+
+
+# --- running counts -------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("parts", [1, 4])
+def test_running_counts_go_on_from_batch_to_batch(spark, feed, rows_of, parts):
+    rng = random.Random(2)
+    rows = [(i, " ".join(rng.choices(["rain", "wind", "sun", ""], k=6))) for i in range(40)]
+    want = words.running_word_count(spark.createDataFrame(rows, "n LONG, value STRING"), ["n"])
+    f = feed("n LONG, value STRING")
+    running = RunningCount(["n"], "value", " ", f"{f.base}/held", rows_per_group=25)
+    for part in cut(rows, parts):
+        f.add(part)
+    running.start(f.stream(), files.parquet_batches(f.out), f.state).awaitTermination()
+    got = f.results(running.schema(f.stream()))
+    assert rows_of(got.select(*want.columns)) == rows_of(want)
 
 
 def test_watermark_helpers(feed):
@@ -285,27 +449,24 @@ def test_routed_stream_fans_out(spark, feed, tmp_path):
     assert [r.id for r in spark.read.parquet(main).collect()] == ["b"]
 
 
-def punctuated_run(feed, cuts):
-    rows = [("s", t, i, float(t)) for i, t in enumerate([1, 3, 2, 30, 4, 31])] + [("c", 20, 6, 0.0), ("s", 5, 7, -1.0), ("s", 22, 8, -2.0)]
-    f = feed("id STRING, t LONG, seq LONG, x DOUBLE")
-    spark = f.spark
-    for lo, hi in zip([0, *cuts], [*cuts, len(rows)]):
-        f.add(rows[lo:hi])
-        punctuated.start_min_records(
-            f.stream(), f.out, f.state, ["id"], "t", ["seq"], "x", ["seq"], ["t"], F.col("id") == "c",
-            "10 seconds", "10 seconds").awaitTermination()
-    return spark, f.out
+def test_any_number_of_tags_in_one_job(spark, feed):
+    f = feed("x INT")
+    f.add([(i,) for i in range(60)])
+    routed = routing.route(f.stream(), {f"rest {r}": F.col("x") % 7 == r for r in range(6)})
+    jobs = []
+    write = tagged_batches(f.out)
 
+    def counted(rows, batch):
+        spark.sparkContext.setJobGroup("tags", "tags")
+        write(rows, batch)
+        jobs.extend(spark.sparkContext.statusTracker().getJobIdsForGroup("tags"))
 
-@pytest.mark.parametrize("cuts", [[], [4], [7], [2, 7, 8]])
-def test_punctuated_watermark(feed, cuts):
-    spark, out = punctuated_run(feed, cuts)
-    read = lambda closed: {
-        (r.id, int(r.window_end.timestamp())): r.x
-        for r in punctuated.min_records(spark, out, ["id"], "10 seconds", "10 seconds", closed).collect()}
-    # The row at 5 comes after the control row at 20 and is late, the one at 22 is not.
-    assert read(False) == {("s", 10): 1.0, ("s", 40): 30.0, ("c", 30): 0.0, ("s", 30): -2.0}
-    assert read(True) == {("s", 10): 1.0}
+    f.run(routed, counted)
+    schema = f.stream().schema
+    for r in range(6):
+        assert sorted(row.x for row in read_tag(spark, f.out, f"rest {r}", schema).collect()) == list(range(r, 60, 7))
+    assert sorted(row.x for row in read_tag(spark, f.out, routing.MAIN, schema).collect()) == list(range(6, 60, 7))
+    assert len(jobs) == 1 and read_tag(spark, f.out, "no such tag", schema).isEmpty()
 
 
 def test_document_batches(feed, tmp_path):
@@ -316,7 +477,6 @@ def test_document_batches(feed, tmp_path):
     folder = str(target)
 
     def writer(batch):
-        import os
         import uuid
 
         with open(os.path.join(folder, uuid.uuid4().hex), "w") as out:
