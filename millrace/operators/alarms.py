@@ -6,9 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions.times import duration_us, from_us, to_us
-from millrace.plans.folds import SPAN_ROWS, ordered_fold
+from millrace.plans.chains import FAN, SPAN, first_later, visited
+from millrace.plans.folds import SPAN_ROWS, longest, ordered_fold
+from millrace.plans.ordered import next_match, previous_row, row_numbers
+from millrace.session import reliable_checkpoint
 
 # Fixed value: the text in front of the key.
 ALARM_PREFIX = "连续升温报警"
@@ -43,6 +47,39 @@ def alarm_step(horizon: int, value: str):
     return step
 
 
+def alarm_walk(rows: DataFrame, horizon: int, fan: int = FAN, span: int = SPAN) -> tuple[DataFrame, int]:
+    """(key, pos, us, x, alarm_us, over) of every row that arms a timer, and the rounds it took.
+
+    ``rows`` are (key, pos, us, x, kind), numbered within their key. A timer runs out unless a
+    reading not above the arming one comes in time, so what ends it is the first later row of
+    either sort; what arms the next is that row itself, if it comes after the timer and is
+    above zero, or else the next row above the one before it. Each row thus points to one later
+    row, and the rows that do arm are those on the way from the first. ``alarm_us`` is NULL
+    where the timer was stopped; ``over`` is false where no row has ended it yet. A row of
+    ``kind`` 'armed' or 'idle' is the state a walk begins with, of kind 'row' a reading.
+    """
+    rows = reliable_checkpoint(rows.select("key", "pos", "us", "x", "kind"))
+    ended = first_later(rows, horizon, fan)
+    before = previous_row(rows, ["key"], ["pos"], ["x"], "__before")
+    # A row above the one before it arms a timer if none runs.
+    rise = F.col("x") > F.col("__before.x")
+    rising = reliable_checkpoint(next_match(before, ["key"], ["pos"], rise, ["pos"], "__rise").select(
+        "key", "pos", "x", "kind", F.col("__rise.pos").alias("rise")))
+    fired = F.col("found.us") > F.col("us") + F.lit(horizon)
+    at_once = fired & (F.col("found.x") > 0)
+    after = rising.select("key", F.col("pos").alias("end"), F.col("rise").alias("after"))
+    linked = ended.withColumn("end", F.col("found.at")).join(after, ["key", "end"], "left")
+    links = reliable_checkpoint(linked.select(
+        "key", "pos", "us", "x", F.when(at_once, F.col("end")).otherwise(F.col("after")).alias("next"),
+        F.col("end").isNotNull().alias("over"),
+        F.when(fired | F.col("end").isNull(), F.col("us") + F.lit(horizon)).alias("alarm_us"),
+    ))
+    starts = (F.col("kind") == "armed") | ((F.col("kind") == "row") & (F.col("x") > 0))
+    heads = rising.filter("pos = 1").select("key", F.when(starts, F.col("pos")).otherwise(F.col("rise")).alias("pos"))
+    way, rounds = visited(links.select("key", "pos", "next"), heads.filter("pos IS NOT NULL"), span)
+    return links.join(way, ["key", "pos"]).select("key", "pos", "us", "x", "alarm_us", "over"), rounds
+
+
 def rising_alarms(
     df: DataFrame, key: str, ts: str, value: str, order: Sequence[str] = ("seq",), horizon: str = "2 seconds",
     unit: str = "s", span_rows: int = SPAN_ROWS, rows_per_group: int | None = None,
@@ -50,21 +87,36 @@ def rising_alarms(
     """``key, alarm_ts, alarm_msg`` of every timer that ran out.
 
     Rows of one key are walked by (``ts``, ``order``). A timer still running
-    after the last row runs out as well: the input has ended.
+    after the last row runs out as well: the input has ended. Keys of at most
+    ``span_rows`` rows are folded in one go; longer ones by :func:`alarm_walk`.
     """
     kind = df.schema[ts].dataType
     timed = df.select(
-        key, to_us(df, ts, unit).alias(_US), *order, F.col(value).cast("double").alias(value)
-    ).filter(F.col(value).isNotNull())
-    idle = F.struct(F.lit(0.0).alias("temp"), F.lit(None).cast("long").alias("timer"))
-    runs = ordered_fold(
-        timed, [key], [_US, *order], [value], idle, F.array().cast("array<bigint>"),
-        alarm_step(duration_us(horizon), value), span_rows, rows_per_group,
-    )
-    pending = F.col("state.timer")
-    fired = F.when(F.col("last") & pending.isNotNull(), F.concat("out", F.array(pending))).otherwise(F.col("out"))
-    return runs.select(key, F.explode(fired).alias("__fired")).select(
-        key,
-        from_us(F.col("__fired"), kind, unit).alias("alarm_ts"),
-        F.concat(F.lit(ALARM_PREFIX), F.col(key).cast("string")).alias("alarm_msg"),
+        F.col(key).alias("key"), to_us(df, ts, unit).alias(_US), *order, F.col(value).cast("double").alias("x")
+    ).filter(F.col("x").isNotNull() & F.col(_US).isNotNull())
+    if longest(timed, ["key"]) <= span_rows:
+        idle = F.struct(F.lit(0.0).alias("temp"), F.lit(None).cast("long").alias("timer"))
+        runs = ordered_fold(
+            timed, ["key"], [_US, *order], ["x"], idle, F.array().cast("array<bigint>"),
+            alarm_step(duration_us(horizon), "x"), span_rows, rows_per_group,
+        )
+        pending = F.col("state.timer")
+        fired = F.when(F.col("last") & pending.isNotNull(), F.concat("out", F.array(pending))).otherwise(F.col("out"))
+        alarms = runs.select("key", F.explode(fired).alias("alarm_us"))
+    else:
+        numbered = row_numbers(timed, ["key"], [_US, *order], "pos", rows_per_group)
+        walk, _ = alarm_walk(
+            numbered.select(F.struct("key").alias("key"), "pos", F.col(_US).alias("us"), "x", F.lit("row").alias("kind")),
+            duration_us(horizon),
+        )
+        alarms = walk.filter("alarm_us IS NOT NULL").select("key.key", "alarm_us")
+    return alarm_texts(alarms, key, kind, unit)
+
+
+def alarm_texts(alarms: DataFrame, name: str, kind: T.DataType, unit: str = "s") -> DataFrame:
+    """(key, alarm_us) as ``name, alarm_ts, alarm_msg``."""
+    return alarms.select(
+        F.col("key").alias(name),
+        from_us(F.col("alarm_us"), kind, unit).alias("alarm_ts"),
+        F.concat(F.lit(ALARM_PREFIX), F.col("key").cast("string")).alias("alarm_msg"),
     )

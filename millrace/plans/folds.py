@@ -46,7 +46,7 @@ def ordered_fold(
     keys = list(keys)
     start = F.struct(state.alias("state"), out.alias("out"))
     items = F.array_sort(F.collect_list(F.struct(*order, *[c for c in columns if c not in order]))).alias(_ITEMS)
-    if _longest(df, keys) <= span_rows:
+    if longest(df, keys) <= span_rows:
         run = df.groupBy(*keys).agg(items).select(*keys, F.aggregate(_ITEMS, start, step).alias(_RUN))
         return run.select(*keys, f"{_RUN}.state", f"{_RUN}.out", F.lit(True).alias("last"))
 
@@ -86,6 +86,6 @@ def _same(columns: list[str]) -> Column:
     return reduce(and_, [F.col(c).eqNullSafe(F.col(f"__other_{c}")) for c in columns])
 
 
-def _longest(df: DataFrame, keys: list[str]) -> int:
+def longest(df: DataFrame, keys: list[str]) -> int:
     """The row count of the longest key."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
