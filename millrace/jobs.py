@@ -18,8 +18,8 @@ from millrace.functions.text import not_empty
 from millrace.functions.times import event_time
 from millrace.operators import alarms, patterns, ranking, routing, sliding, words
 from millrace.sinks import documents, files
+from millrace.streaming import machines
 from millrace.streaming import patterns as stream_patterns
-from millrace.streaming import stateful
 from millrace.streaming.windows import LeastRecord, Lateness, WindowStream, ranked, row_count
 
 BatchWriter = Callable[[DataFrame, int], None]
@@ -124,11 +124,16 @@ def temperature_alarms(lines: DataFrame, seq: str = "seq", horizon: str = "2 sec
 
 def start_temperature_alarms(
     lines: DataFrame, write: BatchWriter, checkpoint: str, seq: str = "seq", horizon: str = "2 seconds",
-    lateness: str = "0 seconds", available_now: bool = False,
+    lateness: str | float = 0, available_now: bool = False,
 ) -> StreamingQuery:
     """The same on a stream."""
-    found = stateful.rising_alarms(_sensors(lines), "id", "event_time", "temperature", seq, horizon, lateness)
-    return files.start_batches(found, write, checkpoint, "append", available_now)
+    sensors = _sensors(lines)
+    rising = machines.rising_alarms(_tables(checkpoint), "id", "event_time", "temperature", seq, horizon, Lateness(lateness))
+
+    def alarm(rows: DataFrame, batch_id: int) -> None:
+        write(machines.alarm_rows(rows, sensors, "id", "event_time"), batch_id)
+
+    return rising.start(sensors, alarm, checkpoint, available_now)
 
 
 def freeze_warnings(lines: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -76,17 +76,17 @@ def first_later(rows: DataFrame, limit: int, fan: int = FAN) -> DataFrame:
     return whole
 
 
-def visited(links: DataFrame, heads: DataFrame, span: int = SPAN) -> tuple[DataFrame, int]:
+def visited(links: DataFrame, span: int = SPAN) -> tuple[DataFrame, int]:
     """(key, pos) of the rows on the way from each key's head, and the number of doubling rounds.
 
-    ``links`` are (key, pos, next), next after pos or NULL; ``heads`` (key, pos), at most one per
-    key. Inside a span of rows the way to the first row beyond it is found at once; the spans'
-    entries are then marked by doubling of pointers: a round marks where the marked ones lead
-    in 1, 2, 4, ... steps. Only rows some way leads to take part.
+    ``links`` are (key, pos, next, head), next after pos or NULL; ``head`` is true for at most
+    one row per key. Inside a span of rows the way to the first row beyond it is found at once;
+    the spans' entries are then marked by doubling of pointers: a round marks where the marked
+    ones lead in 1, 2, 4, ... steps. Only rows some way leads to take part.
     """
     spans = reliable_checkpoint(
         links.groupBy("key", _div(F.col("pos") - 1, span).alias("node")).agg(
-            F.array_sort(F.collect_list(F.struct("pos", "next"))).alias("kids")
+            F.array_sort(F.collect_list(F.struct("pos", "next", "head"))).alias("kids")
         )
     )
     beyond = F.col("kids")[F.size("kids") - 1]["pos"]
@@ -96,23 +96,21 @@ def visited(links: DataFrame, heads: DataFrame, span: int = SPAN) -> tuple[DataF
         return F.concat(F.array(F.when(r["next"] > beyond, r["next"]).otherwise(inside)), exits)
 
     exits = F.aggregate(F.reverse("kids"), F.array().cast("array<bigint>"), leave)
-    hops = spans.select("key", F.explode(F.arrays_zip(F.col("kids.pos").alias("pos"), exits.alias("exit"))).alias("h"))
-    hops = reliable_checkpoint(hops.select("key", "h.*"))
-    targets = hops.filter("exit IS NOT NULL").select("key", F.col("exit").alias("pos")).unionByName(heads).distinct()
-    jumps = reliable_checkpoint(hops.join(targets, ["key", "pos"]))
-    marked, rounds = reliable_checkpoint(heads.select("key", "pos")), 0
+    zipped = F.arrays_zip(F.col("kids.pos").alias("pos"), F.col("kids.head").alias("marked"), exits.alias("exit"))
+    hops = reliable_checkpoint(spans.select("key", F.explode(zipped).alias("h")).select("key", "h.*"))
+    ends = F.explode(F.array("exit", F.when(F.col("marked"), F.col("pos")))).alias("pos")
+    targets = hops.select("key", ends).filter("pos IS NOT NULL").distinct()
+    jumps, rounds = reliable_checkpoint(hops.join(targets, ["key", "pos"]).select("key", "pos", "exit", "marked")), 0
     while True:
-        reached = marked.join(jumps, ["key", "pos"]).filter("exit IS NOT NULL").select("key", F.col("exit").alias("pos"))
-        more = reliable_checkpoint(reached)
-        if more.isEmpty():
+        reached = jumps.filter("marked AND exit IS NOT NULL").select("key", F.col("exit").alias("pos"), F.lit(True).alias("hit"))
+        if reached.isEmpty():
             break
         rounds += 1
-        marked = reliable_checkpoint(marked.unionByName(more))
         ahead = jumps.select("key", F.col("pos").alias("exit"), F.col("exit").alias("farther"))
-        jumps = reliable_checkpoint(
-            jumps.join(ahead, ["key", "exit"], "left").select("key", "pos", F.col("farther").alias("exit"))
-        )
-    entries = marked.select("key", _div(F.col("pos") - 1, span).alias("node"), F.col("pos").alias("entry"))
+        both = jumps.join(ahead, ["key", "exit"], "left").join(reached, ["key", "pos"], "left")
+        jumps = reliable_checkpoint(both.select(
+            "key", "pos", F.col("farther").alias("exit"), (F.col("marked") | F.coalesce("hit", F.lit(False))).alias("marked")))
+    entries = jumps.filter("marked").select("key", _div(F.col("pos") - 1, span).alias("node"), F.col("pos").alias("entry"))
 
     def walk(done: Column, r: Column) -> Column:
         here = F.struct(r["next"].alias("due"), F.concat(done["way"], F.array(r["pos"])).alias("way"))

@@ -15,19 +15,20 @@ from pyspark.sql import types as T
 
 from millrace.functions import parsing, rendering
 from millrace.functions.text import not_empty
-from millrace.functions.times import SECOND_US, from_us, to_us
+from millrace.functions.times import SECOND_US, event_time, event_time_ms, from_us, to_us
 from millrace.operators import alarms, lateness, patterns, ranking, routing, sliding, words
 from millrace.session import scratch_path
+from millrace.sinks import documents, files
 from millrace.sinks.fanout import read_tag, tagged_batches
 from millrace.sinks.files import parquet_batches, read_batches, start_batches
 from millrace.sources import kafka
-from millrace.sources.lines import stream_table, table
+from millrace.sources.lines import collection, integers, stream_table, table, text_lines
 from millrace.plans.aggregates import Accumulator, LeastRecord, Sums, WindowAggregate
+from millrace.streaming import machines
 from millrace.streaming import patterns as stream_patterns
-from millrace.streaming import stateful
 from millrace.streaming.arrivals import Lateness, start_marked
+from millrace.streaming.machines import MachineStream
 from millrace.streaming.patterns import PatternStream
-from millrace.streaming.watermarks import with_end_marker
 from millrace.streaming.windows import WindowStream, row_count
 from millrace.streaming.words import RunningCount
 
@@ -559,6 +560,88 @@ def kafka_sensor_values(spark: SparkSession, sf: str) -> DataFrame:
     return parsing.parse_sensor(kafka.decode_values(records))
 
 
+# --- out to files and back -----------------------------------------------------------
+
+_LINE_TOKENS = rf"""
+SELECT unnest(CASE WHEN line = '' THEN [''] WHEN body = '' THEN [] ELSE string_split_regex(body, '{_WS}') END) AS word
+FROM (SELECT line, regexp_replace(line, '{_WS}+$', '') AS body
+      FROM (SELECT unnest(string_split_regex(text, '\r\n|\n|\r')) AS line FROM conversations WHERE text <> ''))"""
+
+
+@query(f"SELECT word, count(*) AS cnt FROM ({_LINE_TOKENS}) GROUP BY word")
+def text_files_word_count(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts written as lines, counted from the files, written as ``(word,n)`` lines and read again."""
+    folder = scratch_path(spark, "text")
+    texts = table(spark, sf, "conversations").filter("text <> ''")
+    lines = texts.select(F.explode(F.split("text", "\r\n|\n|\r")).alias("line"))
+    files.write_text(lines, F.col("line"), f"{folder}/lines")
+    files.write_pairs(words.word_count(text_lines(spark, f"{folder}/lines")), f"{folder}/counts")
+    pair = r"(?s)^\((.*),(\d+)\)$"
+    counts = text_lines(spark, f"{folder}/counts")
+    return counts.select(F.regexp_extract("value", pair, 1).alias("word"), F.regexp_extract("value", pair, 2).cast("long").alias("cnt"))
+
+
+@query("""
+SELECT CAST(user_id AS VARCHAR) AS id, CAST(epoch_us(ts) // 1000000 AS VARCHAR) AS time_stamp, CAST(value AS VARCHAR) AS temprature
+FROM events
+""")
+def bulk_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Readings as bulk requests, written, and their documents read back out of the bodies."""
+    folder = scratch_path(spark, "bulk")
+    sensors = parsing.parse_sensor(_sensor_lines(spark, sf))
+    document = rendering.sensor_document(F.col("id"), F.col("event_time"), F.col("temperature"))
+    documents.request_bodies(sensors, document, "sensors").write.parquet(folder)
+    bodies = spark.read.parquet(folder)
+    lines = bodies.select(F.posexplode(F.split(F.rtrim("body", F.lit("\n")), "\n")).alias("at", "line")).filter("at % 2 = 1")
+    read = lines.select(F.from_json("line", "id STRING, timeStamp STRING, temprature STRING").alias("d"))
+    return read.select("d.id", F.col("d.timeStamp").alias("time_stamp"), "d.temprature")
+
+
+@query("""
+SELECT event_id, (epoch_us(ts) // 1000000) * 1000000 AS from_seconds_us, (epoch_us(ts) // 1000) * 1000 AS from_millis_us FROM events
+""")
+def event_times(spark: SparkSession, sf: str) -> DataFrame:
+    """Times sent as numbers of seconds and of milliseconds."""
+    numbers = _timed(spark, sf).select(
+        "event_id", F.call_function("div", "ts", F.lit(SECOND_US)).alias("s"), F.call_function("div", "ts", F.lit(1000)).alias("ms"))
+    times = numbers.select("event_id", event_time("s").alias("from_seconds"), event_time_ms("ms").alias("from_millis"))
+    return _micros(times, "from_seconds", "from_millis")
+
+
+@query(f"""
+SELECT window_end_s,
+  '{_REPORT_HEAD}' || chr(10)
+    || string_agg('No.' || rank || 'WindowKeyTime(' || window_end_s * 1000 || ',m ' || item_id || ',' || cnt || ')' || chr(10),
+                  '' ORDER BY rank)
+    || '{_REPORT_HEAD}' || chr(10) AS report
+FROM ({_top3(_VISIT_ROWS)}) GROUP BY window_end_s
+""")
+def visit_report_trimmed(spark: SparkSession, sf: str) -> DataFrame:
+    """Keys between blanks, tabs and control characters, which the report leaves away at both ends."""
+    visits = _timed(spark, sf).withColumn("place", F.format_string("%020d", "user_id")).withColumn(
+        "mid", F.concat(F.lit("\x01 \t"), F.lit("m "), F.col("user_id").cast("string"), F.lit(" \x1f\r")))
+    counts = sliding.sliding_count(visits, ["mid", "place"], "ts", "60 minutes", "5 minutes", unit="us")
+    return _seconds(rendering.visit_report(ranking.top_n(counts, 3, tie=["place"]), unit="us"), "window_end")
+
+
+@query("""
+SELECT l.label, n.x AS bucket, count(e.event_id) AS cnt
+FROM (VALUES ('view', 'seen'), ('click', 'clicked'), ('signup', 'new')) l(kind, label)
+CROSS JOIN (SELECT unnest(range(10)) AS x) n
+LEFT JOIN events e ON e.event_type = l.kind AND e.event_id % 10 = n.x
+GROUP BY ALL
+""")
+def labelled_buckets(spark: SparkSession, sf: str) -> DataFrame:
+    """Inline rows and numbers as side inputs of a table."""
+    kinds = [("view", "seen"), ("click", "clicked"), ("signup", "new")]
+    labels = collection(spark, kinds, "kind STRING, label STRING")
+    buckets = integers(spark, 0, 9).withColumn("kind", F.explode(F.array(*[F.lit(k) for k, _ in kinds])))
+    grid = buckets.join(labels, "kind").select("kind", "label", F.col("x").cast("long").alias("bucket"))
+    events = table(spark, sf, "events").groupBy(F.col("event_type").alias("kind"), (F.col("event_id") % 10).alias("bucket"))
+    found = grid.join(events.agg(F.count(F.lit(1)).alias("cnt")), ["kind", "bucket"], "left")
+    return found.select("label", "bucket", F.coalesce("cnt", F.lit(0)).alias("cnt"))
+
+
 # --- late data ----------------------------------------------------------------
 
 # Arrival: event time plus up to two hours, so rows overtake each other.
@@ -641,19 +724,16 @@ def _stream(spark: SparkSession, sf: str, name: str = "events") -> DataFrame:
     return stream_table(spark, sf, name, _FILES_PER_BATCH)
 
 
-def _finished(stream: DataFrame, label: str, mode: str = "append", runs: Callable[[], None] | None = None) -> DataFrame:
-    """All rows a stream gives; ``runs`` ends the input before a second run on the same checkpoint."""
+def _finished(stream: DataFrame, label: str, mode: str = "append") -> DataFrame:
+    """All rows a stream gives."""
     spark = stream.sparkSession
     out, state = scratch_path(spark, label), scratch_path(spark, f"{label}-state")
     start_batches(stream, parquet_batches(out), state, mode).awaitTermination()
-    if runs:
-        runs()
-        start_batches(stream, parquet_batches(out), state, mode).awaitTermination()
     return read_batches(spark, out, stream.schema)
 
 
 def _settled(
-    stream: DataFrame, label: str, operator: Callable[[str], PatternStream | WindowStream],
+    stream: DataFrame, label: str, operator: Callable[[str], PatternStream | WindowStream | MachineStream],
     through: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> DataFrame:
     """The results of an operator over a finite stream, written ``through`` a last step per micro-batch."""
@@ -762,9 +842,13 @@ def stream_followed_by(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(ORACLES["rising_alarm"])
 def stream_rising_alarm(spark: SparkSession, sf: str) -> DataFrame:
-    events, close = with_end_marker(_stream(spark, sf), "ts")
-    found = stateful.rising_alarms(events, "user_id", "ts", "value", "event_id", horizon="6 hours")
-    return _micros(_finished(found, "alarms", runs=close), "alarm_ts")
+    events = _stream(spark, sf)
+
+    def rising(path: str) -> MachineStream:
+        return machines.rising_alarms(path, "user_id", "ts", "value", "event_id", "6 hours")
+
+    found = _settled(events, "alarms", rising, lambda rows: machines.alarm_rows(rows, events, "user_id", "ts"))
+    return _micros(found, "alarm_ts")
 
 
 def _stream_arrivals(spark: SparkSession, sf: str) -> DataFrame:

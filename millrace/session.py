@@ -7,9 +7,6 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
 def local_session(cores: int | str = 8, partitions: int = 8, app: str = "millrace") -> SparkSession:
     """A session for tests and benches; a cluster brings its own."""
     spark = (
@@ -19,8 +16,6 @@ def local_session(cores: int | str = 8, partitions: int = 8, app: str = "millrac
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
-        .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-        .config("spark.python.unix.domain.socket.enabled", "true")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )

@@ -85,6 +85,25 @@ def document_batches(
     return write
 
 
+def _numbered(df: DataFrame, document: Column, batch_size: int) -> DataFrame:
+    """(part, request, at, document): which request of its partition a document belongs to."""
+    # The lower 33 bits count the rows of a partition.
+    at = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    texts = df.select(document.alias("document")).filter(F.col("document").isNotNull())
+    numbered = texts.select(F.spark_partition_id().alias("part"), at.alias("at"), "document")
+    return numbered.select("part", F.floor(F.col("at") / batch_size).alias("request"), "at", "document")
+
+
+def request_bodies(df: DataFrame, document: Column, index: str, batch_size: int = BATCH_SIZE) -> DataFrame:
+    """(part, request, body): the bulk requests themselves as rows, for a sink of texts or a queue."""
+    lists = _numbered(df, document, batch_size).groupBy("part", "request").agg(
+        F.sort_array(F.collect_list(F.struct("at", "document"))).alias("documents")
+    )
+    action = json.dumps({"index": {"_index": index}})
+    lines = F.transform("documents", lambda d: F.concat(F.lit(f"{action}\n"), d["document"], F.lit("\n")))
+    return lists.select("part", "request", F.array_join(lines, "").alias("body"))
+
+
 def write_once(
     df: DataFrame, document: Column, send: Sender, ledger: str, batch_id: int = 0, batch_size: int = BATCH_SIZE
 ) -> None:
@@ -96,12 +115,7 @@ def write_once(
     spark, folder = df.sparkSession, batch_folder(ledger, batch_id)
     staged, sent = f"{folder}/staged", f"{folder}/sent"
     if not exists(spark, f"{staged}/_SUCCESS"):
-        # The lower 33 bits count the rows of a partition.
-        at = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-        texts = df.select(document.alias("document")).filter(F.col("document").isNotNull())
-        numbered = texts.select(F.spark_partition_id().alias("part"), at.alias("at"), "document")
-        request = F.floor(F.col("at") / batch_size).alias("request")
-        numbered.select("part", request, "at", "document").write.mode("overwrite").parquet(staged)
+        _numbered(df, document, batch_size).write.mode("overwrite").parquet(staged)
     requests = spark.read.parquet(staged)
     if exists(spark, sent):
         done = spark.read.schema(_SENT).parquet(sent)

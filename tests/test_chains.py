@@ -48,9 +48,9 @@ def test_visited(spark):
         while at is not None and at <= n:
             want.add((key, at))
             at = step[at]
-    frame = spark.createDataFrame(links, "key LONG, pos LONG, next LONG").withColumn("key", F.struct("key"))
-    start = spark.createDataFrame(heads, "key LONG, pos LONG").withColumn("key", F.struct("key"))
-    way, _ = visited(frame, start, span=8)
+    links = [(*link, link[:2] in heads) for link in links]
+    frame = spark.createDataFrame(links, "key LONG, pos LONG, next LONG, head BOOLEAN").withColumn("key", F.struct("key"))
+    way, _ = visited(frame, span=8)
     got = [(r.key.key, r.pos) for r in way.collect()]
     assert len(got) == len(set(got)) and set(got) == want
 

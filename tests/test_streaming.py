@@ -16,8 +16,9 @@ from millrace.sinks import documents, files
 from millrace.sinks.fanout import fan_out, read_tag, tagged_batches
 from millrace.sources import kafka
 from millrace.sources.lines import stream_text_lines
+from millrace.plans.folds import Machine, machine_outputs, run_machine
+from millrace.streaming import machines, watermarks
 from millrace.streaming import patterns as stream_patterns
-from millrace.streaming import stateful, watermarks
 from millrace.streaming.arrivals import Lateness, start_marked
 from millrace.streaming.patterns import PatternStream
 from millrace.streaming.store import BatchTable
@@ -238,23 +239,102 @@ def test_order_fixture(feed):
     assert sorted((r.order_id, r.status) for r in found) == [(71, "timeout"), (72, "matched"), (73, "timeout")]
 
 
-@pytest.mark.parametrize("parts", [3])
-def test_rising_alarms(spark, feed, rows_of, parts):
+# --- machines ---------------------------------------------------------------------
+
+
+def alarm_stream(path, **options):
+    return machines.rising_alarms(path, "k", "ts", "x", horizon="9 seconds", **options)
+
+
+@pytest.mark.parametrize("parts,sizes", [(4, {}), (2, {"span_rows": 5, "rows_per_group": 30})])
+def test_rising_alarms(spark, feed, rows_of, parts, sizes):
     rows = random_events()
-    batch = alarms.rising_alarms(spark.createDataFrame(rows, EVENTS), "k", "ts", "x", horizon="9 seconds")
-    got = split_runs(
-        feed(EVENTS), lambda s: stateful.rising_alarms(s, "k", "ts", "x", horizon="9 seconds"), rows, parts)
-    assert batch.count() > 0 and rows_of(got) == rows_of(batch)
+    want = alarms.rising_alarms(spark.createDataFrame(rows, EVENTS), "k", "ts", "x", horizon="9 seconds")
+    held = Held(feed(EVENTS), lambda path: alarm_stream(path, **sizes)).run(*cut(rows, parts))
+    got = machines.alarm_rows(held.results(), held.feed.stream(), "k", "ts")
+    assert want.count() > 5 and rows_of(got) == rows_of(want)
 
 
 def test_machines_order_rows_within_the_lateness(spark, feed, rows_of):
     rows = random_events(60)
     shuffled = [row for i in range(0, 60, 6) for row in reversed(rows[i:i + 6])]
-    batch = alarms.rising_alarms(spark.createDataFrame(rows, EVENTS), "k", "ts", "x", horizon="9 seconds")
-    got = split_runs(
-        feed(EVENTS), lambda s: stateful.rising_alarms(s, "k", "ts", "x", horizon="9 seconds", lateness="30 seconds"),
-        shuffled, 7)
-    assert rows_of(got) == rows_of(batch)
+    want = alarms.rising_alarms(spark.createDataFrame(rows, EVENTS), "k", "ts", "x", horizon="9 seconds")
+    held = Held(feed(EVENTS), lambda path: alarm_stream(path, lateness=Lateness("30 seconds"))).run(*cut(shuffled, 4))
+    assert rows_of(machines.alarm_rows(held.results(), held.feed.stream(), "k", "ts")) == rows_of(want)
+
+
+def streak_machine(limit):
+    """Two failures in a row, told as a machine: the state is the failure before."""
+    none = F.lit(None).cast("long")
+    nothing = F.array().cast("array<struct<first: bigint, last: bigint>>")
+
+    def step(acc, row):
+        state, out = acc["state"], acc["out"]
+        near = row["hit"] & state["us"].isNotNull() & (row["us"] - state["us"] < F.lit(limit))
+        pair = F.array(F.struct(state["us"].alias("first"), row["us"].alias("last")))
+        return F.struct(
+            F.struct(F.when(row["hit"], row["us"]).otherwise(none).alias("us")).alias("state"),
+            F.when(near, F.concat(out, pair)).otherwise(out).alias("out"),
+        )
+
+    def expire(state, us):
+        gone = F.struct(F.when(state["us"] + F.lit(limit) > us, state["us"]).alias("us"))
+        return F.struct(gone.alias("state"), nothing.alias("out"))
+
+    return Machine(F.struct(none.alias("us")), nothing, step, expire, ("hit",))
+
+
+def test_one_machine_in_a_table_and_on_a_stream(spark, feed, rows_of):
+    rows, limit = random_events(), 7_000_000
+
+    def read(df):
+        return df.select(
+            F.struct("k").alias("key"), F.unix_micros("ts").alias("us"), "seq", (F.col("kind") == "fail").alias("hit"))
+
+    machine, table = streak_machine(limit), read(spark.createDataFrame(rows, EVENTS))
+    pairs = patterns.fail_streaks(spark.createDataFrame(rows, EVENTS), "ts", "seq", "k", "kind", within="7 seconds")
+    want = rows_of(pairs.select("user_id", F.unix_micros("first_time"), F.unix_micros("last_fail_time")))
+    flat = lambda found: rows_of(found.select("key.k", "out.first", "out.last"))
+    for sizes in ({}, {"span_rows": 5, "rows_per_group": 20}):
+        runs = run_machine(table, ["key"], ["us", "seq"], machine, **sizes)
+        assert len(want) > 5 and flat(machine_outputs(runs, ["key"], machine)) == want
+    held = Held(feed(EVENTS), lambda path: machines.MachineStream(machine, read, ["seq"], "ts", path, span_rows=6))
+    assert flat(held.run(*cut(rows, 3)).results()) == want
+    # Failures older than the limit are forgotten.
+    assert held.table("states")[1].count() <= 3
+
+
+def alarms_of_saw_teeth(n):
+    """Alarms of 0, 1, ... 49, 0, 1, ... a second apart, by a plain walk."""
+    temp, timer, count = 0.0, None, 0
+    for second in range(n):
+        x = second % 50
+        if timer is not None and timer < second:
+            count, temp, timer = count + 1, 0.0, None
+        if x <= temp:
+            temp, timer = x, None
+        elif timer is None:
+            temp, timer = x, second + 9
+    return count + (timer is not None)
+
+
+def test_one_key_in_linear_time(spark, feed):
+    """100,000 rows of one key, five times what is folded in one go, take about four times as long as 25,000, or less."""
+    import time
+
+    took = {}
+    for n in (25_000, 100_000):
+        f = feed(EVENTS, f"n{n}")
+        rows = spark.range(0, n, 1, 1).select(
+            F.lit(1).cast("long").alias("k"), F.lit("r").alias("kind"), F.timestamp_seconds(F.col("id")).alias("ts"),
+            F.col("id").alias("seq"), (F.col("id") % 50).cast("double").alias("x"))
+        rows.write.mode("append").parquet(f.source)
+        held = Held(f, alarm_stream)
+        began = time.time()
+        held.run()
+        took[n] = time.time() - began
+        assert held.results().count() == alarms_of_saw_teeth(n)
+    assert took[100_000] < 5 * took[25_000]
 
 
 # --- windows ------------------------------------------------------------------------
