@@ -593,8 +593,8 @@ def bulk_documents(spark: SparkSession, sf: str) -> DataFrame:
     documents.request_bodies(sensors, document, "sensors").write.parquet(folder)
     bodies = spark.read.parquet(folder)
     lines = bodies.select(F.posexplode(F.split(F.rtrim("body", F.lit("\n")), "\n")).alias("at", "line")).filter("at % 2 = 1")
-    read = lines.select(F.from_json("line", "id STRING, timeStamp STRING, temprature STRING").alias("d"))
-    return read.select("d.id", F.col("d.timeStamp").alias("time_stamp"), "d.temprature")
+    fields = {"id": "id", "time_stamp": "timeStamp", "temprature": "temprature"}
+    return lines.select(*[F.get_json_object("line", f"$.{path}").alias(name) for name, path in fields.items()])
 
 
 @query("""
