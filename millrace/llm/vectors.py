@@ -77,12 +77,17 @@ def tile_links(x: np.ndarray, y: np.ndarray, threshold: float) -> tuple[np.ndarr
     qy, sy, ey = quantised(y)
     rows, columns = [], []
     left, right = qx.astype(kind), qy.astype(kind).T.copy()
+    # No pair of a row can link whose integer product is below this: all bounds and scales at their largest.
+    widest = ex + (1 + ex) * ey.max(initial=0) + _ROUNDING
+    least = (threshold - widest) / (sx * sy.max(initial=1e-300))
+    least = (least - 1e-6 * np.abs(least)).astype(kind)
     for i in range(0, len(x), _TILE):
-        a = slice(i, i + _TILE)
-        near = (left[a] @ right).astype(np.float64) * sx[a, None] * sy
-        bound = ex[a, None] + (1 + ex[a, None]) * ey + _ROUNDING
-        r, c = np.nonzero(near + bound >= threshold)
-        sure = (near - bound)[r, c] >= threshold
+        product = left[i : i + _TILE] @ right
+        r, c = np.nonzero(product >= least[i : i + _TILE, None])
+        near = product[r, c].astype(np.float64) * sx[i + r] * sy[c]
+        bound = ex[i + r] + (1 + ex[i + r]) * ey[c] + _ROUNDING
+        open_ = near + bound >= threshold
+        r, c, sure = r[open_], c[open_], (near - bound)[open_] >= threshold
         doubt = np.flatnonzero(~sure)
         for d in np.split(doubt, range(65_536, len(doubt), 65_536)):
             sure[d] = np.einsum("ij,ij->i", x[i + r[d]], y[c[d]]) >= threshold
