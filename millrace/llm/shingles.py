@@ -47,6 +47,11 @@ _SPACE = np.zeros(256, dtype=bool)
 _SPACE[list(b" \t\n\x0b\f\r")] = True
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _CLASS_SHIFT, _SLOTS = np.uint64(58), np.uint64(SLOTS - 1)
+# Bits of a shingle's number that need not travel: to count it, which only shapes the order, and to
+# let sets meet at it, as sets that meet for a collision are compared and refuted.
+_COUNT_BITS, _MEET_BITS = np.uint64(44), np.uint64(12)
+_SLOT_BITS = np.uint64(21)
+_COUNTED = (1 << 41) - 1
 # Steps of a walk along a path: the first is short, as most walks end early.
 _FIRST_STEP = 64
 
@@ -263,7 +268,9 @@ def _frequency_order(df: DataFrame, text: str, words: int, percent: int) -> Orde
                 shingles = shingle_set(value.as_py(), words)
                 found.append(shingles[: 2 * prefix_length(len(shingles), percent)] if len(shingles) else shingles)
             if found:
-                yield {"token": np.concatenate(found).view(np.int64)}
+                tokens = np.concatenate(found)
+                # The slot, and enough other bits to tell shingles of one slot apart.
+                yield {"token": (tokens >> _COUNT_BITS << _SLOT_BITS | tokens & _SLOTS).view(np.int64) & _COUNTED}
 
     counts = map_batches(df.select(text), run, "token long").groupBy("token").agg(F.count(F.lit(1)).alias("c"))
     slot = F.col("token").bitwiseAND(F.lit(SLOTS - 1)).cast("int")
@@ -291,9 +298,11 @@ def _postings(df: DataFrame, text: str, words: int, percent: int, order: Order)
                     continue
                 seen.add(own)
                 prefix = order.ranks(found)[: prefix_length(len(found), percent)]
+                # Numbers that collide are one place to meet, the first.
+                prefix, first = np.unique(prefix >> _MEET_BITS, return_index=True)
                 tokens.append(prefix.view(np.int64))
                 keys.append(np.full(len(prefix), own, dtype=np.int64))
-                excess.append((100 + percent) * np.arange(len(prefix)) - (100 - percent) * len(found))
+                excess.append((100 + percent) * first - (100 - percent) * len(found))
             if tokens:
                 yield {"token": np.concatenate(tokens), "set": np.concatenate(keys), "excess": np.concatenate(excess)}
 
