@@ -26,6 +26,8 @@ from millrace.llm.common import map_batches
 from millrace.session import reliable_checkpoint, scratch_path
 
 ORDER = 4
+# Rows of a table of grams in one partition: small tables do not go through many.
+GRAMS_PER_PARTITION = 250_000
 DOCUMENTS_PER_CHUNK = 4_000
 LOWEST, HIGHEST = 0.002, 0.99
 # How far beyond the quantiles a document may lie, as a factor of its perplexity.
@@ -138,51 +140,65 @@ def _context(gram: Column) -> Column:
     return F.shiftrightunsigned(gram, 16)
 
 
+def _compact(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` in no more partitions than its number of rows calls for."""
+    return df.coalesce(max(1, -(-rows // GRAMS_PER_PARTITION)))
+
+
 def _log_probabilities(grams: DataFrame) -> DataFrame:
     """(gram, log_p) for every row of ``grams(gram, n)``; n is the count in trusted text.
 
-    Lower orders count in how many different longer grams they end.
+    Lower orders count in how many different longer grams they end. Order 1 has one context,
+    the empty one: its total is one number.
     """
-    counted = {ORDER: grams.filter("n > 0").select("gram", F.col("n").alias("c"))}
-    for order in range(ORDER - 1, 0, -1):
-        longer = counted[order + 1].select(_suffix(F.col("gram"), order).alias("gram"))
-        counted[order] = reliable_checkpoint(longer.groupBy("gram").agg(F.count(F.lit(1)).alias("c")))
-    scored = grams.select("gram", F.lit(None).cast("double").alias("p"))
+    size = grams.count()
+    scored = _compact(grams, size).select("gram", F.lit(None).cast("double").alias("p"))
+    counted, often = {ORDER: grams.filter("n > 0").select("gram", F.col("n").alias("c"))}, {}
+    counts = [F.count_if(F.col("c") == i).alias(f"n{i}") for i in range(1, 5)]
+    for order in range(ORDER, 0, -1):
+        if order < ORDER:
+            longer = counted[order + 1].select(_suffix(F.col("gram"), order).alias("gram"))
+            counted[order] = reliable_checkpoint(longer.groupBy("gram").agg(F.count(F.lit(1)).alias("c")))
+        often[order] = counted[order].agg(*counts, F.count(F.lit(1)).alias("all")).first()
+        counted[order] = _compact(counted[order], often[order]["all"])
     lower = None
     for order in range(1, ORDER + 1):
-        rows = counted[order]
-        often = rows.agg(*[F.count_if(F.col("c") == i).alias(f"n{i}") for i in range(1, 5)], F.count(F.lit(1)).alias("all")).first()
-        d1, d2, d3 = discounts(list(often)[:4])
+        rows, of = counted[order], often[order]
+        d1, d2, d3 = discounts(list(of)[:4])
         cut = F.when(F.col("c") == 1, d1).when(F.col("c") == 2, d2).otherwise(F.lit(d3))
-        context = F.lit(0).cast("long") if order == 1 else _context(F.col("gram"))
-        rows = rows.select("gram", "c", context.alias("h"), F.least(cut, F.col("c").cast("double")).alias("cut"))
-        totals = reliable_checkpoint(
-            rows.groupBy("h").agg(F.sum("c").alias("total"), (F.sum("cut") / F.sum("c")).alias("rest"))
-        )
-        uniform = 1.0 / (often["all"] + 1)
-        seen = rows.join(totals, "h").select(
-            "gram", ((F.col("c") - F.col("cut")) / F.col("total")).alias("own"), "rest"
-        )
+        rows = rows.select("gram", "c", F.least(cut, F.col("c").cast("double")).alias("cut"))
+        uniform = 1.0 / (of["all"] + 1)
+        shares = [F.sum("c").alias("total"), (F.sum("cut") / F.sum("c")).alias("rest")]
         if order == 1:
-            seen = seen.select("gram", (F.col("own") + F.col("rest") * uniform).alias("p"))
-        else:
-            below = lower.withColumnRenamed("gram", "s").withColumnRenamed("p", "below")
-            seen = seen.withColumn("s", _suffix(F.col("gram"), order - 1)).join(below, "s").select(
-                "gram", (F.col("own") + F.col("rest") * F.col("below")).alias("p")
-            )
-        lower = reliable_checkpoint(seen)
-        keyed = scored.select(
-            "gram", "p", _suffix(F.col("gram"), order).alias("s"),
-            (F.lit(0).cast("long") if order == 1 else _context(_suffix(F.col("gram"), order))).alias("h"),
+            whole = rows.agg(*shares).first()
+            rest = F.lit(1.0 if whole["rest"] is None else whole["rest"])
+            own = (F.col("c") - F.col("cut")) / F.lit(whole["total"])
+            lower = reliable_checkpoint(rows.select("gram", (own + rest * uniform).alias("p")))
+            known = scored.withColumn("s", _suffix(F.col("gram"), 1)).join(_named(lower), "s", "left")
+            scored = _compact(known.select("gram", F.coalesce("known", rest * uniform).alias("p")), size)
+            continue
+        rows = rows.withColumn("h", _context(F.col("gram")))
+        totals = reliable_checkpoint(_compact(rows.groupBy("h").agg(*shares), of["all"]))
+        seen = _compact(rows.join(totals, "h"), of["all"]).select(
+            "gram", ((F.col("c") - F.col("cut")) / F.col("total")).alias("own"), "rest"
         )
-        joined = keyed.join(lower.select(F.col("gram").alias("s"), F.col("p").alias("known")), "s", "left").join(
-            totals.select("h", "rest"), "h", "left"
+        below = lower.withColumnRenamed("gram", "s").withColumnRenamed("p", "below")
+        seen = seen.withColumn("s", _suffix(F.col("gram"), order - 1)).join(below, "s").select(
+            "gram", (F.col("own") + F.col("rest") * F.col("below")).alias("p")
         )
+        lower = reliable_checkpoint(_compact(seen, of["all"]))
+        suffix = _suffix(F.col("gram"), order)
+        keyed = scored.select("gram", "p", suffix.alias("s"), _context(suffix).alias("h"))
+        joined = _compact(keyed.join(_named(lower), "s", "left"), size).join(totals.select("h", "rest"), "h", "left")
         unseen = F.coalesce("rest", F.lit(1.0)) * F.coalesce("p", F.lit(uniform))
-        scored = joined.select("gram", F.coalesce("known", unseen).alias("p"))
+        scored = _compact(joined.select("gram", F.coalesce("known", unseen).alias("p")), size)
     return scored.select("gram", F.log("p").cast("float").alias("log_p"))
 
 
+def _named(lower: DataFrame) -> DataFrame:
+    return lower.select(F.col("gram").alias("s"), F.col("p").alias("known"))
+
+
 def perplexities(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """(doc, lang, letters, log_p, trusted) of every row of ``df``; log_p is summed over the letters.
 
