@@ -44,3 +44,19 @@ def map_batches(
             yield pa.RecordBatch.from_pydict(columns, schema=arrow)
 
     return df.mapInArrow(run, fields)
+
+
+def bounded_sample(df: DataFrame, text: str, named_by: list[str], size: int, seed: int) -> list[str]:
+    """The texts of the ``size`` rows that come first by a hash of ``named_by`` and the text.
+
+    Neither order nor partitions matter, and rows that repeat one another count once. Hashes
+    alone are ranked, so a task sends ``size`` numbers to the driver, and only the texts chosen
+    follow.
+    """
+    name = F.xxhash64(*[F.col(c).cast("string") for c in named_by], F.lit(seed), F.col(text)).alias("name")
+    named = df.filter(F.col(text).isNotNull()).select(name, F.col(text).alias("text"))
+    first = [r["name"] for r in named.select("name").distinct().orderBy("name").limit(size).collect()]
+    if not first:
+        return []
+    found = named.filter(F.col("name").isin(first)).groupBy("name").agg(F.min("text").alias("text"))
+    return [r["text"] for r in sorted(found.collect(), key=lambda r: r["name"])]

@@ -2,9 +2,9 @@
 
 The field tags each word as begin (B), inside (I) or outside (O) of a secret from
 features of its own shape, of its neighbours and of the text it stands in. It is
-trained by maximum likelihood on a bounded sample of documents, whose tags come from
-the fixed patterns; the neighbourhood and shape features carry these over to secrets
-that no pattern describes. Decoding is Viterbi. Where a word's O score leads by more
+trained by maximum likelihood on a bounded sample of documents. Where the fixed patterns
+match, the match is also replaced by secrets in disguise, with other names, prefixes,
+alphabets and quotes, so the field learns shapes and neighbourhoods, not the patterns. Decoding is Viterbi. Where a word's O score leads by more
 than any transitions could make up, the best path surely passes through O there, so
 the chain is cut at such words and Viterbi runs on the stretches between, which gives
 the same best path as one run over the whole text.
@@ -14,7 +14,9 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -23,7 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import map_batches
+from millrace.llm.common import bounded_sample, map_batches
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 KINDS = ("assign", "access", "hex", "crf")
@@ -32,10 +34,14 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
 _SUSPECT = r"(?i)password|passwd|secret|token|api_?key|AKIA|[0-9a-f]{24}"
 OUTSIDE, BEGIN, INSIDE = 0, 1, 2
-# Bounds of the training sample: documents with a pattern's match, and documents without.
-SAMPLE_DOCUMENTS = 300
+# Bounds of the training sample: documents with a pattern's match, and documents without, their
+# length, the stretches taken of one document, the disguised forms made of one match, and those
+# put into each document.
+SAMPLE_DOCUMENTS, LONGEST_SAMPLE = 300, 20_000
+STRETCHES, DISGUISES, INSERTED = 3, 2, 2
 _CONTEXT = 8
 _REMEMBERED = 400_000
+_SWITCH = re.compile(r"[a-z](?=[A-Z])")
 _KEYWORD = re.compile(r"(?ai)(?:pass|pwd|secret|token|key|credential|auth|bearer)")
 
 
@@ -71,6 +77,13 @@ def word_features(word: str) -> tuple[str, ...]:
             kinds.append("mixedlong")
         if not value.isascii():
             kinds.append("foreign")
+    if value.isdigit():
+        kinds.append("number")
+    switches = len(_SWITCH.findall(value))
+    if size >= 12 and switches >= 3:
+        kinds.append("switches" if switches < 6 else "manyswitches")
+    if size >= 16 and (digits or switches) and re.search(r"[._-]", value):
+        kinds.append("joints")
     if re.match(r"[A-Z]{3,4}(?=[A-Z0-9]{8})", value) and digits:
         kinds.append("tagged")
     if _KEYWORD.search(core):
@@ -170,27 +183,113 @@ class Field:
         return np.array(path[::-1])
 
 
+def _random_letters(chance: random.Random, letters: str, least: int, most: int) -> str:
+    return "".join(chance.choices(letters, k=chance.randint(least, most)))
+
+
+def disguised(chance: random.Random) -> tuple[list[str], list[int]]:
+    """Words of a secret in a form the patterns do not know, and their tags.
+
+    The field has to learn from shape and context what the patterns tell by key word and
+    prefix, so these are varied: names, signs, alphabets, case, prefixes and quotes.
+    """
+    digits, lower, upper = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    form = chance.randrange(6)
+    if form == 0:
+        value = _random_letters(chance, digits + "ABCDEF", 24, 64)
+    elif form == 1:
+        value = _random_letters(chance, upper, 3, 4) + _random_letters(chance, digits + upper, 14, 28)
+    elif form == 2:
+        joint = chance.choice("_-")
+        heads = [_random_letters(chance, lower, 2, 4) for _ in range(chance.randint(1, 2))]
+        value = joint.join([*heads, _random_letters(chance, digits + lower + upper, 18, 40)])
+    elif form == 3:
+        value = ".".join(_random_letters(chance, digits + lower + upper + "_-", 16, 60) for _ in range(3))
+    elif form == 4:
+        value = _random_letters(chance, lower + upper, 28, 48)
+    else:
+        value = _random_letters(chance, digits + lower + upper + "+/", 22, 48) + chance.choice(["", "="])
+    quote = chance.choice(["", "", '"', "'"])
+    value = quote + value + quote + chance.choice(["", "", "", ".", ",", ";", "###"])
+    name = chance.choice(
+        ["auth", "credential", "bearer", "pwd", "passphrase", "access-key", "private_key", "login", "key", "x"])
+    name = chance.choice([name, name.upper(), name.capitalize()])
+    shape = chance.randrange(5)
+    if shape == 0:
+        return [f"{name}{chance.choice('=:')}{value}"], [BEGIN]
+    if shape == 1:
+        return [f"{name}{chance.choice('=:')}", value], [OUTSIDE, BEGIN]
+    if shape == 2:
+        return [name, chance.choice(["=", ":", "is"]), value], [OUTSIDE, OUTSIDE, BEGIN]
+    if shape == 3:
+        return [name, value], [OUTSIDE, BEGIN]
+    return [value], [BEGIN]
+
+
+_ODD = {"digits", "address", "assigns", "keyword", "joints", "switches", "manyswitches", "mixedlong", "capslong"}
+
+
+def _odd(features: tuple[str, ...]) -> bool:
+    """Whether a word looks anything like a secret."""
+    return any(f in _ODD for f in features)
+
+
 def _sequences(texts: list[str]) -> list[tuple[list[tuple[str, ...]], list[str], list[int]]]:
-    """Training stretches: word features, file features, tags; the words around each secret, and one stretch without."""
+    """Training stretches: word features, file features, tags.
+
+    Per text up to STRETCHES of the words around a pattern's match, each also with DISGUISES in its
+    place; up to STRETCHES around odd-looking words that are no match, its middle, and INSERTED with
+    a disguised secret put between two words.
+    """
     found = []
     for text in texts:
+        chance = random.Random(zlib.crc32(text.encode("utf-8", "surrogatepass")))
         matches = list(WORD.finditer(text))
-        spans = sorted(base_spans(text))
         tags = [OUTSIDE] * len(matches)
-        for start, end, kind in spans:
+        for start, end, kind in sorted(base_spans(text)):
             inside = False
             for i, m in enumerate(matches):
                 # Of an assignment the value counts as the secret, not the name before it.
                 if m.start() < end and m.end() > (end - 1 if kind == "assign" else start):
                     tags[i] = tags[i] or (INSIDE if inside else BEGIN)
                     inside = True
-        features = [word_features(m[0]) for m in matches]
-        whole = file_features(text, len(matches))
+        words, whole = [m[0] for m in matches], file_features(text, len(matches))
+        features = [word_features(w) for w in words]
+
+        def stretch(i: int, replaced: tuple[list[str], list[int]] | None = None) -> None:
+            lo, hi = max(0, i - _CONTEXT), min(len(words), i + _CONTEXT + 1)
+            rows, own = features[lo:hi], tags[lo:hi]
+            if replaced:
+                # The match goes with the name and sign before it.
+                first = i
+                while first > lo and i - first < 2 and (_KEYWORD.search(words[first - 1]) or words[first - 1] in "=:"):
+                    first -= 1
+                rows = [*features[lo:first], *map(word_features, replaced[0]), *features[i + 1 : hi]]
+                own = [*tags[lo:first], *replaced[1], *tags[i + 1 : hi]]
+            found.append((rows, whole, own))
+
+        def put(hidden: list[str], own: list[int]) -> None:
+            """A stretch with words put between two of the text."""
+            i = chance.randrange(len(words) + 1)
+            lo, hi = max(0, i - _CONTEXT), min(len(words), i + _CONTEXT)
+            found.append(([*features[lo:i], *map(word_features, hidden), *features[i:hi]], whole, [*tags[lo:i], *own, *tags[i:hi]]))
+
         marked = [i for i, t in enumerate(tags) if t]
-        middles = marked or ([len(matches) // 2] if matches else [])
-        for i in middles[:20]:
-            lo, hi = max(0, i - _CONTEXT), min(len(matches), i + _CONTEXT + 1)
-            found.append((features[lo:hi], whole, tags[lo:hi]))
+        for i in chance.sample(marked, min(STRETCHES, len(marked))):
+            stretch(i)
+            for _ in range(DISGUISES):
+                stretch(i, disguised(chance))
+        odd = [i for i, f in enumerate(features) if not tags[i] and _odd(f)]
+        for i in chance.sample(odd, min(STRETCHES, len(odd))):
+            stretch(i)
+        if matches:
+            stretch(len(matches) // 2)
+        for _ in range(INSERTED if matches else 0):
+            # However few matches a sample has, the field sees secrets among its words.
+            put(*disguised(chance))
+        if matches:
+            # Long numbers, of cards or accounts, are none.
+            put([_random_letters(chance, "0123456789", 8, 24)], [OUTSIDE])
     return found
 
 
@@ -219,12 +318,13 @@ def train(texts: list[str], steps: int = 120, rate: float = 0.15, decay: float =
     design = np.concatenate([*views, file, np.ones((n, longest, 1), np.float32)], axis=2) * valid[..., None]
     weights, transition = np.zeros((design.shape[2], 3)), np.zeros((3, 3))
     state = [np.zeros_like(weights), np.zeros_like(transition)]
+    flat = design.reshape(-1, design.shape[2])
     onehot = np.eye(3)[gold] * valid[..., None]
     pairs = np.zeros((3, 3))
     both = valid[:, 1:] & valid[:, :-1]
     np.add.at(pairs, (gold[:, :-1][both], gold[:, 1:][both]), 1)
     for _ in range(steps):
-        scores = design @ weights
+        scores = (flat @ weights.astype(np.float32)).reshape(n, longest, 3).astype(np.float64)
         forward, backward = np.zeros_like(scores), np.zeros_like(scores)
         forward[:, 0] = scores[:, 0]
         for t in range(1, longest):
@@ -238,7 +338,8 @@ def train(texts: list[str], steps: int = 120, rate: float = 0.15, decay: float =
         joint = np.exp(
             forward[:, :-1, :, None] + transition + (scores + backward)[:, 1:, None] - total[:, None, None, None]
         ) * both[..., None, None]
-        slope = np.tensordot(design, onehot - marginal, axes=([0, 1], [0, 1])) / n - decay * weights
+        gap = (onehot - marginal).reshape(-1, 3).astype(np.float32)
+        slope = (flat.T @ gap).astype(np.float64) / n - decay * weights
         slope_t = (pairs - joint.sum(axis=(0, 1))) / n - decay * transition
         for i, (value, grad) in enumerate(((weights, slope), (transition, slope_t))):
             state[i] += grad**2
@@ -250,14 +351,11 @@ def train(texts: list[str], steps: int = 120, rate: float = 0.15, decay: float =
 def sample_texts(df: DataFrame, key: str = "doc_id", text: str = "text") -> list[str]:
     """The training sample: up to SAMPLE_DOCUMENTS texts with, and as many without, what the patterns look for.
 
-    The first by hash, of texts up to 20,000 characters, so neither order nor partitions matter.
+    The first by hash, of texts up to LONGEST_SAMPLE characters, so neither order nor partitions matter.
     """
-    order = [F.xxhash64(F.col(key).cast("string"), F.lit(11)), F.col(text)]
-    short = df.select(key, text).filter(F.length(text) <= 20_000)
-    taken = []
-    for matches in (F.col(text).rlike(_SUSPECT), ~F.col(text).rlike(_SUSPECT)):
-        taken += [r[0] for r in short.filter(matches).orderBy(*order).limit(SAMPLE_DOCUMENTS).select(text).collect()]
-    return taken
+    short = df.filter(F.length(text) <= LONGEST_SAMPLE)
+    suspect = F.col(text).rlike(_SUSPECT)
+    return [t for where in (suspect, ~suspect) for t in bounded_sample(short.filter(where), text, [key], SAMPLE_DOCUMENTS, 11)]
 
 
 def all_spans(field: Field, text: str) -> list[tuple[int, int, str]]:
