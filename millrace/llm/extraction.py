@@ -23,12 +23,12 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import map_batches
+from millrace.llm.common import bounded_sample, map_batches
 
-SAMPLE_PAGES = 120
+# Bounds of the training sample: pages, their length and their blocks.
+SAMPLE_PAGES, LONGEST_SAMPLE, MOST_BLOCKS = 120, 60_000, 300
 PATH_SLOTS, WORD_SLOTS, COUNTS, HIDDEN = 96, 32, 4, 24
 _PAGES_AT_ONCE = 128
-_LONGEST_SAMPLE = 60_000
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WHITE = re.compile(r"\s+")
@@ -282,44 +282,108 @@ _FILLERS = (
 )
 
 
-def _variants(page: str, seed: int) -> list[str]:
-    """The page, and one with furniture put before, inside and after the article."""
+# What main text is made of besides paragraphs.
+_CONTENTS = (
+    "<table><tr><td>{0}</td><td>{1}</td></tr><tr><td>{1}</td><td>{0}</td></tr></table>",
+    "<figure><img src='i.png'><figcaption>{1}</figcaption></figure>",
+    "<blockquote><p>{1}</p></blockquote>",
+    "<pre>{1}</pre>",
+    "<ul><li>{0}</li><li>{1}</li></ul>",
+    "<h2>{0}</h2><p>{1}</p>",
+    "<blockquote>{1}</blockquote>",
+)
+# Other names for the same places; an empty one takes the name away.
+_ALIASES = {
+    "article": ("content", "post", "post-body", "entry", "story", "text", "page-content", "", "", ""),
+    "site-header": ("top", "masthead", "logo-row"), "sidebar": ("rail", "col-right", "widgets"),
+    "cookie-notice": ("gdpr", "overlay", "consent"), "advert": ("sponsor", "slot-3", "dfp"), "ad": ("sponsor", "box-300", "dfp"),
+    "menu": ("links", "topbar", "nav-list"), "related": ("more", "read-next", "teasers"), "page-footer": ("bottom", "legal", "imprint"),
+    "comments": ("replies", "disqus_thread", "feedback", "responses", "discussion"), "comment": ("reply", "response", "note"),
+}
+_AS_DIVISION = ("article", "main", "header", "footer", "aside", "nav")
+
+
+def _put_in(page: str, seed: int) -> str:
+    """The page with furniture before, inside and after the article, and more kinds of main text in it."""
     rng = np.random.default_rng(seed)
     words = re.sub(r"<[^>]*>", " ", page).split() or ["-"]
 
-    def filler() -> str:
+    def filled(forms: tuple[str, ...]) -> str:
         def text(n: int) -> str:
             start = int(rng.integers(len(words)))
             return " ".join(words[start : start + n])
 
-        return _FILLERS[rng.integers(len(_FILLERS))].format(text(2), text(int(rng.integers(3, 40))))
+        return forms[rng.integers(len(forms))].format(text(2), text(int(rng.integers(3, 40))))
 
     changed = page
     for tag in ("<article", "<main", "</article>", "</main>"):
         if tag in changed and rng.random() < 0.8:
-            changed = changed.replace(tag, filler() + tag, 1)
+            changed = changed.replace(tag, filled(_FILLERS) + tag, 1)
         if tag.startswith("</") and tag in changed and rng.random() < 0.6:
-            changed = changed.replace(tag, tag + filler(), 1)
-    return [page, changed]
+            changed = changed.replace(tag, tag + filled(_FILLERS), 1)
+        if tag.startswith("</") and tag in changed:
+            # Main text comes before what the article ends with.
+            parts = re.split(r"(?<=</p>)", changed)
+            ends = [i for i, part in enumerate(parts) if tag in part]
+            for at in sorted(rng.integers(1, max(2, ends[0] if ends else 1), size=int(rng.integers(0, 4))), reverse=True):
+                if any("<article" in p or "<main" in p for p in parts[:at]) and not any(tag in p for p in parts[:at]):
+                    parts.insert(int(at), filled(_CONTENTS))
+            changed = "".join(parts)
+    return changed
+
+
+def _disguised(page: str, seed: int) -> str:
+    """The page with other tags and names for its parts; its blocks stay the same, one by one."""
+    rng = np.random.default_rng(seed)
+    names = {name: others[rng.integers(len(others))] for name, others in _ALIASES.items()}
+    kept = names if rng.random() < 0.85 else {"article": names["article"]}
+
+    def renamed(match: re.Match) -> str:
+        found = [kept.get(n, n) for n in match[2].split()]
+        value = " ".join(n for n in found if n)
+        return f' {match[1]}="{value}"' if value else ""
+
+    changed = re.sub(r"""\s(class|id)="([^"]*)\"""", renamed, page)
+    for tag in _AS_DIVISION:
+        if tag in ("article", "main") or rng.random() < 0.5:
+            new = ("div", "div", "section")[rng.integers(3)]
+            name = names["article"] if tag in ("article", "main") else ""
+            changed = re.sub(rf"<{tag}\b", f'<{new} class="{name}"' if name else f"<{new}", changed, flags=re.I)
+            changed = re.sub(rf"</{tag}\s*>", f"</{new}>", changed, flags=re.I)
+    return changed
+
+
+def training_pages(page: str, seed: int) -> list[tuple[list[Block], np.ndarray]]:
+    """(blocks, labels) of the page, of it with more put in, and of both in disguise.
+
+    Labels come from the markup the page has by itself; a disguise takes them over block by block.
+    """
+    found = []
+    for variant, whole in ((0, page), (1, _put_in(page, seed))):
+        read = blocks(whole)
+        labels = np.array([weak_label(b) for b in read])
+        found.append((read, labels))
+        other = blocks(_disguised(whole, 2 * seed + variant))
+        if [b.text for b in other] == [b.text for b in read]:
+            found.append((other, labels))
+    return [(read[:MOST_BLOCKS], labels[:MOST_BLOCKS]) for read, labels in found if read]
 
 
 def train(pages: list[str]) -> Labeller:
     """A labeller from sample pages; without any page it labels by an untrained net's bias towards nothing."""
     model = Labeller(PATH_SLOTS + WORD_SLOTS + COUNTS)
-    found = [blocks(variant) for i, page in enumerate(pages) for variant in _variants(page, i)]
-    found = [b[:300] for b in found if b]
+    found = [example for i, page in enumerate(pages) for example in training_pages(page, i)]
     if found:
-        model.fit([vectors(b) for b in found], [np.array([weak_label(x) for x in b]) for b in found])
+        model.fit([vectors(read) for read, _ in found], [labels for _, labels in found])
     else:
         model.weights[-1] = np.full(1, -20, np.float32)
     return model
 
 
 def sample_pages(df: DataFrame, key: str = "page_id", page: str = "html") -> list[str]:
-    """The SAMPLE_PAGES first pages by hash among those with a main element, of up to 60,000 characters."""
-    fit = df.select(key, page).filter(F.col(page).rlike("(?i)<(article|main)\\b") & (F.length(page) <= _LONGEST_SAMPLE))
-    order = fit.orderBy(F.xxhash64(F.col(key).cast("string"), F.lit(3)), page)
-    return [r[0] for r in order.limit(SAMPLE_PAGES).select(page).collect()]
+    """The SAMPLE_PAGES first pages by hash among those with a main element, of up to LONGEST_SAMPLE characters."""
+    fit = df.filter(F.col(page).rlike("(?i)<(article|main)\\b") & (F.length(page) <= LONGEST_SAMPLE))
+    return bounded_sample(fit, page, [key], SAMPLE_PAGES, 3)
 
 
 def extract(df: DataFrame, model: Labeller, key: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:

@@ -113,10 +113,13 @@ def scan(
 
     ``labels`` joins those of the phrases and of the templates met; ``score`` is 1 where
     a phrase stands, else the greatest containment found, else 0. NULL texts count as
-    empty: no words, no labels. Rows with the same key share their template labels.
+    empty: no words, no labels. Rows with the same key are judged each by its own text.
     Other columns are ignored; an empty table gives no rows.
     """
-    bodies = df.select(F.col(key).alias("key"), ascii_lower(F.coalesce(F.col(text), F.lit(""))).alias("body"))
+    bodies = df.select(F.col(key).alias("id"), ascii_lower(F.coalesce(F.col(text), F.lit(""))).alias("body"))
+    # A row is known by its key and two hashes of its text, so rows that share a key keep apart.
+    row = F.struct("id", F.xxhash64("body").alias("h1"), F.xxhash64(F.lit(1), "body").alias("h2"))
+    bodies = bodies.select(row.alias("key"), "body")
     vocabulary = sorted(set().union(*(template_words(t) for _, t in templates)))
     literals = F.array(*[F.lit(w) for w in vocabulary])
     seen = bodies.select(F.explode(F.array_intersect(literals, words_of(F.col("body")))).alias("word"))
@@ -138,11 +141,11 @@ def scan(
     base = placed.select(
         "key", "n_words", every.alias("every"), F.array_sort(F.array_compact(F.array(*found))).alias("base")
     )
-    joined = base.join(met.withColumnRenamed("key", "met_key"), F.col("key").eqNullSafe(F.col("met_key")), "left")
+    joined = base.join(met, "key", "left")
     labels = F.array_sort(F.array_union("base", F.coalesce("met", F.array().cast("array<string>"))))
     score = F.when(F.size("base") > 0, 1.0).otherwise(F.coalesce("best", F.lit(0.0)))
     return joined.select(
-        F.col("key").alias(key), "n_words", F.size("every").cast("long").alias("n_base"),
+        F.col("key.id").alias(key), "n_words", F.size("every").cast("long").alias("n_base"),
         F.array_min("every").cast("long").alias("first_word"), F.array_max("every").cast("long").alias("last_word"),
         F.array_join("base", ",").alias("base_labels"), F.array_join(labels, ",").alias("labels"), score.alias("score"),
     )
