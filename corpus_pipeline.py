@@ -6,7 +6,7 @@ columns of ``documents``, extra ones included. Empty tables pass through.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import bpe, mixing, perplexity, secrets, shingles
@@ -16,6 +16,11 @@ from millrace.session import scratch_path
 from millrace.sources.lines import table
 
 
+def _row(docs: DataFrame) -> Column:
+    """What a row is known by: its id and its text, as ids may repeat with other texts."""
+    return F.struct(F.col("doc_id"), F.xxhash64("text"), F.xxhash64(F.lit(1), "text"))
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the perplexity classifier keeps. Rows that share an id (NULL too) share the better verdict."""
     verdicts = perplexity.classify(docs, table(spark, sf_dir, "labels"))
@@ -24,15 +29,17 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document per group of near duplicates: the one with the smallest id.
+    """One document per group of near duplicates: one with the smallest id.
 
-    Of repeated rows with that id the least stays. Rows without an id cannot be told
-    apart and all stay.
+    Rows that share that id but have other texts all stay, as the group does not tell which
+    of them it means; rows with the same id and text stay once. Rows without an id cannot be
+    told apart and all stay.
     """
     groups = shingles.jaccard_components(docs).filter("doc_id = component_id")
     kept = groups.select(F.col("doc_id").alias("__id")).distinct()
     row = F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("row")
-    chosen = docs.join(kept, F.col("doc_id") == F.col("__id"), "left_semi").groupBy("doc_id").agg(row).select("row.*")
+    named = docs.join(kept, F.col("doc_id") == F.col("__id"), "left_semi")
+    chosen = named.groupBy(_row(docs).alias("__row")).agg(row).select("row.*")
     return chosen.unionByName(docs.filter("doc_id IS NULL"))
 
 
@@ -60,7 +67,7 @@ STAGES = [
     ("encoding", encoded),
 ]
 
-# Tags, trees and merges have no SQL; tests compare every stage with a plain version.
+# Tags, trees and merges have no SQL; tests/llm compares the stages with plain versions.
 ORACLE_SQL = None
 
 
