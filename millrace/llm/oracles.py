@@ -189,3 +189,50 @@ LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
 LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM o.conv_id
 LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM o.conv_id
 """
+
+
+def _components(nodes: str, links: str) -> str:
+    """SQL tables: ``reach`` of all pairs that ``links`` (a, b, a < b) connect, ``part`` with the smallest of each node."""
+    return f"""
+reach AS (
+  SELECT id AS node, id AS root FROM {nodes}
+  UNION SELECT l.there, r.root FROM reach r JOIN
+    (SELECT a AS here, b AS there FROM {links} UNION ALL SELECT b, a FROM {links}) l ON l.here = r.node),
+part AS (SELECT node, min(root) AS component FROM reach GROUP BY node)"""
+
+
+JACCARD = f"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id AS id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT id, unnest(CASE
+           WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+           ELSE list_transform(range(1, len(w) - 2), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3]) END) AS s
+  FROM texts),
+sizes AS (SELECT id, count(*) AS n FROM shingles GROUP BY id),
+links AS (
+  SELECT a, b FROM (
+    SELECT x.id AS a, y.id AS b, count(*) AS common FROM shingles x JOIN shingles y ON x.s = y.s AND x.id < y.id GROUP BY ALL)
+  JOIN sizes p ON p.id = a JOIN sizes q ON q.id = b
+  WHERE 100 * common >= 85 * (p.n + q.n - common)),
+{_components("texts", "links")}
+SELECT t.id AS doc_id, coalesce(n, 0) AS n_shingles, component AS component_id
+FROM texts t JOIN part ON node = t.id LEFT JOIN sizes s ON s.id = t.id
+"""
+
+VECTORS = f"""
+WITH RECURSIVE ids AS (SELECT vec_id AS id FROM embeddings),
+usable AS (
+  SELECT vec_id AS id, v, sqrt(list_dot_product(v, v)) AS norm
+  FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE embedding IS NOT NULL)
+  WHERE len(v) > 0 AND len(list_filter(v, lambda e: e IS NULL OR NOT isfinite(e))) = 0 AND len(list_filter(v, lambda e: e <> 0)) > 0),
+links AS (
+  SELECT x.id AS a, y.id AS b FROM usable x JOIN usable y ON x.id < y.id AND len(x.v) = len(y.v)
+  WHERE list_dot_product(x.v, y.v) >= 0.95 * x.norm * y.norm),
+{_components("ids", "links")},
+counts AS (SELECT id, count(*) AS n FROM (SELECT a AS id FROM links UNION ALL SELECT b FROM links) GROUP BY id)
+SELECT node AS vec_id, coalesce(n, 0) AS n_links, component AS component_id, node = component AS kept
+FROM part LEFT JOIN counts ON counts.id = node
+"""

@@ -56,7 +56,7 @@ def op5_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return perplexity.classify(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
 
-@query()
+@query(oracles.VECTORS)
 def op6_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.links(table(spark, sf_dir, "embeddings"))
 
@@ -66,7 +66,7 @@ def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(documents(spark, sf_dir))
 
 
-@query()
+@query(oracles.JACCARD)
 def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingles.jaccard_components(documents(spark, sf_dir))
 
