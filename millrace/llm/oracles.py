@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.llm import chat, repair, spelling
+from millrace.llm import chat, quality, repair, spelling
 
 # The table of the reflected polynomial 0xEDB88320, made by a rule.
 _CRC_TABLE = """
@@ -236,3 +236,52 @@ counts AS (SELECT id, count(*) AS n FROM (SELECT a AS id FROM links UNION ALL SE
 SELECT node AS vec_id, coalesce(n, 0) AS n_links, component AS component_id, node = component AS kept
 FROM part LEFT JOIN counts ON counts.id = node
 """
+
+_RE_WORD = r"[^\x20\x09-\x0D]+"
+
+
+def _count(text: str, pattern: str) -> str:
+    return f"len(regexp_extract_all({text}, '{pattern}'))"
+
+
+def _failing(line: str) -> str:
+    """SQL: whether a line fails, rule by rule as the docstring of ``quality.failing_line`` has them."""
+    words = f"regexp_extract_all({line}, '{_RE_WORD}')"
+    n = f"len({words})"
+    separators = f"len(list_filter({words}, lambda w: regexp_full_match(w, '[|>»·•]')))"
+    marks = f"len(list_filter({words}, lambda w: regexp_matches(w, '([!?][!?]+|{quality.SYMBOLS}{quality.SYMBOLS}+)$')))"
+    rule = quality.SYMBOLS + r"|[{}\\_=~^]"
+    navigation = f"({separators} > 0 AND {separators} * 4 >= {n})"
+    punctuation = f"({_count(line, rule)} * 10 > length({line}) OR ({marks} > 0 AND {marks} * 3 >= {n} AND {n} >= 3))"
+    odd = f"regexp_matches({line}, '[!?][!?]|[»·•]|{rule}')"
+    shouted = f"({line} = upper({line}) AND {line} <> lower({line}) AND {n} >= 5)"
+    furniture = f"(length({line}) <= 160 AND regexp_matches(lower({line}), '{'|'.join(quality.BOILERPLATE)}') AND {n} <= 12)"
+    return f"(({odd} AND ({navigation} OR {punctuation})) OR {shouted} OR {furniture})"
+
+
+QUALITY = f"""
+WITH texts AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{_RE_WORD}') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '{_RE_WORD}')) AS full_lines
+  FROM documents),
+windows AS (
+  SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3] || ' ' || w[i + 4] AS five
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM texts)),
+repeated AS (
+  SELECT doc_id, count(DISTINCT place) AS n FROM (
+    SELECT doc_id, unnest(range(i, i + 5)) AS place
+    FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, five) AS times FROM windows) WHERE times > 1)
+  GROUP BY doc_id),
+lines AS (SELECT doc_id, unnest(full_lines) AS line FROM texts),
+lost AS (SELECT doc_id, sum({_count("line", _RE_WORD)}) AS n FROM lines WHERE {_failing("line")} GROUP BY doc_id),
+counted AS (
+  SELECT t.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(length(array_to_string(w, '')), 0) AS BIGINT) AS word_chars,
+         CAST({_count("text", quality.SYMBOLS)} AS BIGINT) AS n_symbols,
+         CAST(len(full_lines) - len(list_distinct(full_lines)) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words, CAST(coalesce(l.n, 0) AS BIGINT) AS n_lost_words
+  FROM texts t LEFT JOIN repeated r USING (doc_id) LEFT JOIN lost l USING (doc_id)),
+judged AS (SELECT *, n_words < {quality.FEWEST_WORDS} OR 100 * n_repeat_words > {quality.MOST_REPEATED_PERCENT} * n_words AS base_failed FROM counted)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND n_lost_words <= {quality.MOST_LOST} * n_words AS kept, n_lost_words
+FROM judged
+"""

@@ -27,7 +27,7 @@ def query(sql: str | None = None):
     return register
 
 
-@query()
+@query(oracles.QUALITY)
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.line_rules(documents(spark, sf_dir)).drop("cleaned")
 
