@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -60,3 +62,18 @@ def bounded_sample(df: DataFrame, text: str, named_by: list[str], size: int, see
         return []
     found = named.filter(F.col("name").isin(first)).groupBy("name").agg(F.min("text").alias("text"))
     return [r["text"] for r in sorted(found.collect(), key=lambda r: r["name"])]
+
+
+def in_a_task(spark: SparkSession, function: Callable[[Any], Any], argument: Any) -> Any:
+    """``function(argument)``, run by one task: for training on a bounded sample.
+
+    The task is run again if its executor is lost, and keeps to the one core it has, where
+    numpy on the driver would have many threads wait for each other's small products.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for batch in batches:
+            yield {"blob": [pickle.dumps(function(pickle.loads(v.as_py()))) for v in batch.column(0)]}
+
+    given = spark.createDataFrame([(bytearray(pickle.dumps(argument)),)], "blob binary").coalesce(1)
+    return pickle.loads(map_batches(given, run, "blob binary").first()["blob"])

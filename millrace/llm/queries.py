@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm import bpe, chat, extraction, licenses, mixing, oracles, perplexity, quality, repair, secrets
 from millrace.llm import shingles, spelling, substrings, vectors
-from millrace.llm.common import documents
+from millrace.llm.common import documents, in_a_task
 from millrace.sources.lines import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,7 +42,7 @@ def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tags have no SQL; tests compare with a plain reading of the patterns and exhaustive paths."""
     texts = documents(spark, sf_dir)
-    return secrets.scan(texts, secrets.train(secrets.sample_texts(texts)))
+    return secrets.scan(texts, in_a_task(spark, secrets.train, secrets.sample_texts(texts)))
 
 
 @query()
@@ -75,7 +75,7 @@ def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A trained reader has no SQL; tests measure it on pages whose main text is known."""
     pages = table(spark, sf_dir, "pages")
-    return extraction.extract(pages, extraction.train(extraction.sample_pages(pages)))
+    return extraction.extract(pages, in_a_task(spark, extraction.train, extraction.sample_pages(pages)))
 
 
 @query()
