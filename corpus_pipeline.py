@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import bpe, mixing, perplexity, secrets, shingles
-from millrace.llm.common import documents
+from millrace.llm.common import documents, in_a_task
 from millrace.llm.queries import VOCABULARY
 from millrace.session import scratch_path
 from millrace.sources.lines import table
@@ -45,7 +45,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets masked; ``n_chars`` follows the new text."""
-    masked = secrets.masked(docs, secrets.train(secrets.sample_texts(docs)))
+    masked = secrets.masked(docs, in_a_task(spark, secrets.train, secrets.sample_texts(docs)))
     return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
