@@ -32,15 +32,17 @@ def with_window_start(windows: DataFrame, size: str, unit: str = "s") -> DataFra
 
 def sliding_count(
     df: DataFrame, keys: Sequence[str], ts: str, size: str, slide: str,
-    watermark: str | None = None, unit: str = "s",
+    watermark: str | None = None, unit: str = "s", best: tuple[int, Sequence[str]] | None = None,
 ) -> DataFrame:
     """``keys, window_end, cnt`` of every window with rows; the end is not part of the window.
 
     ``watermark`` names a column of microseconds (see
     :mod:`millrace.operators.lateness`); a row then counts only in windows its
-    watermark has not closed.
+    watermark has not closed. ``best`` is for counts that only go into
+    ``top_n(counts, n, tie=tie)``: with ``(n, tie)`` rows may be missing that are surely
+    not among the n of their window, so far fewer are made and sorted.
     """
-    return sliding_windows(df, Sums({"cnt": F.count(F.lit(1))}), keys, ts, size, slide, watermark, unit)
+    return sliding_windows(df, Sums({"cnt": F.count(F.lit(1))}, best), keys, ts, size, slide, watermark, unit)
 
 
 def sliding_sum(

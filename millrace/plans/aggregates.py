@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.times import from_us, series
+from millrace.operators.ranking import top_n
 from millrace.plans.panes import PANE, RUN_FROM, RUN_TO, WINDOW_START, Panes
 
 WINDOW_END = "window_end"
@@ -26,9 +27,15 @@ def _end(panes: Panes, kind: T.DataType, unit: str) -> Column:
 
 @dataclass(frozen=True)
 class Sums:
-    """Counts and sums; the first of ``sums`` (aggregates over rows) must be a row count."""
+    """Counts and sums; the first of ``sums`` (aggregates over rows) must be a row count.
+
+    With ``best``, (n, columns that rank equal counts), windows may leave out keys that are
+    not among the n with the greatest count: a run of equal windows goes where n others of
+    the same windows rank before it, ahead of the many window rows that would be sorted.
+    """
 
     sums: dict[str, Column]
+    best: tuple[int, Sequence[str]] | None = None
 
     def partial(self, rows: DataFrame, by: list[str]) -> DataFrame:
         return rows.groupBy(*by).agg(*[c.alias(n) for n, c in self.sums.items()])
@@ -40,6 +47,9 @@ class Sums:
         self, panes: Panes, parts: DataFrame, keys: list[str], kind: T.DataType, unit: str, until: int | None = None
     ) -> DataFrame:
         runs = panes.totals(parts, keys, list(self.sums), until)
+        if self.best:
+            n, tie = self.best
+            runs = top_n(runs, n, next(iter(self.sums)), tie, (RUN_FROM, RUN_TO)).drop("rank")
         ends = series(F.col(RUN_FROM) + F.lit(panes.size), F.col(RUN_TO) + F.lit(panes.size), panes.slide, kind, unit)
         return runs.select(*keys, F.explode(ends).alias(WINDOW_END), *self.sums)
 

@@ -108,7 +108,8 @@ class Panes:
         The running total changes at these steps only. One row comes out per run
         of equal windows, with the starts of its first and last window, so the
         work is that of the result, not of panes times windows. The first of
-        ``columns`` must be a row count.
+        ``columns`` must be a row count. Steps at one start share their total, as they
+        are peers in the order, and the last of them gives the run.
         """
         end = F.col(_BLOCK) + F.lit(self.block)
         lo = F.greatest(FIRST_START, _BLOCK)
@@ -118,14 +119,13 @@ class Panes:
             F.struct(lo.alias(at), *[F.col(c).alias(c) for c in columns]),
             F.struct(hi.alias(at), *[(-F.col(c)).alias(c) for c in columns]),
         )
-        changes = (
-            self.spread(panes, keys, until)
-            .select(*keys, _BLOCK, F.explode(step).alias(steps))
-            .groupBy(*keys, _BLOCK, F.col(f"{steps}.{at}").alias(at))
-            .agg(*[F.sum(f"{steps}.{c}").alias(c) for c in columns])
+        # Wide enough for sums of sums.
+        wide = panes.agg(*[F.sum(c).alias(c) for c in columns]).schema
+        changes = self.spread(panes, keys, until).select(*keys, _BLOCK, F.explode(step).alias(steps)).select(
+            *keys, _BLOCK, F.col(f"{steps}.{at}").alias(at), *[F.col(f"{steps}.{c}").cast(wide[c].dataType).alias(c) for c in columns]
         )
         walk = Window.partitionBy(*keys, _BLOCK).orderBy(at)
         return changes.select(
             *keys, F.col(at).alias(RUN_FROM), (F.lead(at).over(walk) - F.lit(self.slide)).alias(RUN_TO),
             *[F.sum(c).over(walk).alias(c) for c in columns],
-        ).filter(F.col(columns[0]) > 0)
+        ).filter((F.col(columns[0]) > 0) & (F.col(RUN_TO) >= F.col(RUN_FROM)))

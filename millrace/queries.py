@@ -132,9 +132,9 @@ def _views(spark: SparkSession, sf: str) -> DataFrame:
     return _timed(spark, sf).filter(F.col("event_type") == "view")
 
 
-def _item_counts(df: DataFrame) -> DataFrame:
+def _item_counts(df: DataFrame, best: tuple[int, list[str]] | None = None) -> DataFrame:
     clicks = df.withColumnRenamed("user_id", "item_id")
-    return sliding.sliding_count(clicks, ["item_id"], "ts", "60 minutes", "5 minutes", unit="us")
+    return sliding.sliding_count(clicks, ["item_id"], "ts", "60 minutes", "5 minutes", unit="us", best=best)
 
 
 def _ranking(top: DataFrame) -> DataFrame:
@@ -162,7 +162,7 @@ def hot_items_topn(spark: SparkSession, sf: str) -> DataFrame:
 @query(_top3(_VISIT_ROWS).replace("item_id", "mid"))
 def visit_topn(spark: SparkSession, sf: str) -> DataFrame:
     visits = _timed(spark, sf).withColumnRenamed("user_id", "mid")
-    counts = sliding.sliding_count(visits, ["mid"], "ts", "60 minutes", "5 minutes", unit="us")
+    counts = sliding.sliding_count(visits, ["mid"], "ts", "60 minutes", "5 minutes", unit="us", best=(3, ["mid"]))
     return _ranking(ranking.top_n(counts, 3, tie=["mid"]))
 
 
@@ -241,7 +241,7 @@ FROM ({_top3(_VIEW_ROWS)}) GROUP BY window_end_s
 """)
 def topn_report(spark: SparkSession, sf: str) -> DataFrame:
     clicks = table(spark, sf, "events").filter(F.col("event_type") == "view").withColumnRenamed("user_id", "item_id")
-    counts = sliding.sliding_count(clicks, ["item_id"], "ts", "60 minutes", "5 minutes")
+    counts = sliding.sliding_count(clicks, ["item_id"], "ts", "60 minutes", "5 minutes", best=(3, ["item_id"]))
     return _seconds(rendering.item_report(ranking.top_n(counts, 3)), "window_end")
 
 
@@ -254,7 +254,7 @@ SELECT window_end_s,
 FROM ({_top3(_VISIT_ROWS)}) GROUP BY window_end_s
 """)
 def visit_report(spark: SparkSession, sf: str) -> DataFrame:
-    top = ranking.top_n(_item_counts(_timed(spark, sf)), 3)
+    top = ranking.top_n(_item_counts(_timed(spark, sf), (3, ["item_id"])), 3)
     return _seconds(rendering.visit_report(top, key="item_id", unit="us"), "window_end")
 
 
@@ -620,7 +620,7 @@ def visit_report_trimmed(spark: SparkSession, sf: str) -> DataFrame:
     """Keys between blanks, tabs and control characters, which the report leaves away at both ends."""
     visits = _timed(spark, sf).withColumn("place", F.format_string("%020d", "user_id")).withColumn(
         "mid", F.concat(F.lit("\x01 \t"), F.lit("m "), F.col("user_id").cast("string"), F.lit(" \x1f\r")))
-    counts = sliding.sliding_count(visits, ["mid", "place"], "ts", "60 minutes", "5 minutes", unit="us")
+    counts = sliding.sliding_count(visits, ["mid", "place"], "ts", "60 minutes", "5 minutes", unit="us", best=(3, ["place"]))
     return _seconds(rendering.visit_report(ranking.top_n(counts, 3, tie=["place"]), unit="us"), "window_end")
 
 

@@ -7,7 +7,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.operators import lateness, sliding
+from millrace.operators import lateness, ranking, sliding
 from millrace.operators.lateness import WATERMARK
 from millrace.sources.lines import table
 
@@ -102,3 +102,30 @@ def test_zone_free_times_do_not_depend_on_the_session_zone(spark, rows_of):
         assert sorted((r.k, int(r.since.total_seconds())) for r in ends.collect()) == sorted(want)
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_counts_for_a_ranking_leave_out_what_cannot_rank(make, rows_of):
+    """500 keys of one visit each make 12 windows: only the best three are written out, not 6,000 rows."""
+    rows = make([(k, 7) for k in range(500)], "k LONG, t LONG")
+    plain = sliding.sliding_count(rows, ["k"], "t", "60 minutes", "5 minutes")
+    few = sliding.sliding_count(rows, ["k"], "t", "60 minutes", "5 minutes", best=(3, ["k"]))
+    assert plain.count() == 6000 and few.count() == 36
+    assert rows_of(ranking.top_n(few, 3, tie=["k"])) == rows_of(ranking.top_n(plain, 3, tie=["k"]))
+
+
+@pytest.mark.parametrize("n", [1, 3, 1001])
+def test_rankings_of_few_counts_equal_those_of_all(make, rows_of, n):
+    rows = make([(i * 31 % 23, i * i * 7 % 9000) for i in range(400)] + [(None, 5), (None, 8000), (4, None)], "k LONG, t LONG")
+    plain = sliding.sliding_count(rows, ["k"], "t", "20 minutes", "5 minutes")
+    few = sliding.sliding_count(rows, ["k"], "t", "20 minutes", "5 minutes", best=(n, ["k"]))
+    assert rows_of(ranking.top_n(few, n, tie=["k"])) == rows_of(ranking.top_n(plain, n, tie=["k"]))
+
+
+def test_steps_at_one_start_make_one_run(make, rows_of):
+    """A pane that ends where others begin, in sums of decimals too, whose type stays."""
+    rows = make([(1, 0, 5), (1, 10, 5), (1, 10, -5), (1, 20, 7), (1, 30, 7)], "k LONG, t LONG, v LONG")
+    rows = rows.withColumn("v", F.col("v").cast("decimal(10,2)"))
+    got = sliding.sliding_sum(rows, ["k"], "t", "10 seconds", "10 seconds", {"s": "v"})
+    assert [(r["window_end"], r["cnt"], int(r["s"])) for r in got.orderBy("window_end").collect()] == [
+        (10, 1, 5), (20, 2, 0), (30, 1, 7), (40, 1, 7)]
+    assert got.schema["s"].dataType.simpleString() == "decimal(38,2)"
