@@ -6,7 +6,7 @@ columns of ``documents``, extra ones included. Empty tables pass through.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import bpe, mixing, perplexity, secrets, shingles
@@ -16,9 +16,12 @@ from millrace.session import scratch_path
 from millrace.sources.lines import table
 
 
-def _row(docs: DataFrame) -> Column:
-    """What a row is known by: its id and its text, as ids may repeat with other texts."""
-    return F.struct(F.col("doc_id"), F.xxhash64("text"), F.xxhash64(F.lit(1), "text"))
+# What a row is known by: its id and its text, as ids may repeat with other texts.
+_ROW = ["doc_id", "__one", "__two"]
+
+
+def _known(docs: DataFrame) -> DataFrame:
+    return docs.withColumns({"__one": F.xxhash64("text"), "__two": F.xxhash64(F.lit(1), "text")})
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,8 +41,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     groups = shingles.jaccard_components(docs).filter("doc_id = component_id")
     kept = groups.select(F.col("doc_id").alias("__id")).distinct()
     row = F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("row")
-    named = docs.join(kept, F.col("doc_id") == F.col("__id"), "left_semi")
-    chosen = named.groupBy(_row(docs).alias("__row")).agg(row).select("row.*")
+    # Found by id without the texts first, so that whole rows are shuffled once, for the join and the grouping.
+    wanted = _known(docs).select(*_ROW).join(kept, F.col("doc_id") == F.col("__id"), "left_semi").distinct()
+    chosen = _known(docs).join(wanted, _ROW, "left_semi").groupBy(*_ROW).agg(row).select("row.*")
     return chosen.unionByName(docs.filter("doc_id IS NULL"))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
 import re
 from collections import Counter
 
@@ -85,3 +87,25 @@ def test_nulls_in_every_column(spark, folder, name, stage):
     nothing = docs.limit(3).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in docs.schema])
     got = stage(spark, nothing, folder)
     assert got.count() <= 6
+
+
+def test_near_duplicates_shuffle_whole_rows_once(spark, folder):
+    """The join that finds the kept rows and the grouping of repeated ones share one exchange."""
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = io.StringIO()
+        with contextlib.redirect_stdout(text):
+            corpus_pipeline.near_duplicates(spark, frame(spark, [(i, f"{BASE} of {i}") for i in range(9)]), folder).explain()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    steps = re.findall(r"SortAggregate|SortMergeJoin|Exchange", text.getvalue())
+    assert steps[:4] == ["SortAggregate", "SortAggregate", "SortMergeJoin", "Exchange"]
+
+
+def test_repeated_rows_that_differ_in_other_columns(spark, folder):
+    """Of rows with one id and text the least stays; other texts under the id stay too, a NULL one included."""
+    rows = [(1, BASE, "en", "b", 1, 1, 2), (1, BASE, "en", "a", 9, 1, 2), (1, None, "en", "c", 0, 1, 2), (2, BASE, "en", "a", 1, 1, 2),
+            (None, BASE, "en", "a", 1, 1, 2), (None, BASE, "en", "a", 1, 1, 2)]
+    kept = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, SCHEMA).repartition(3), folder)
+    assert Counter(map(tuple, kept.collect())) == Counter([rows[1], rows[2], rows[4], rows[5]])
