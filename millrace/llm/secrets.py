@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import bounded_sample, map_batches
+from millrace.llm.common import bounded_samples, map_batches
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 KINDS = ("assign", "access", "hex", "crf")
@@ -354,8 +354,7 @@ def sample_texts(df: DataFrame, key: str = "doc_id", text: str = "text") -> list
     The first by hash, of texts up to LONGEST_SAMPLE characters, so neither order nor partitions matter.
     """
     short = df.filter(F.length(text) <= LONGEST_SAMPLE)
-    suspect = F.col(text).rlike(_SUSPECT)
-    return [t for where in (suspect, ~suspect) for t in bounded_sample(short.filter(where), text, [key], SAMPLE_DOCUMENTS, 11)]
+    return bounded_samples(short, text, F.col(text).rlike(_SUSPECT), [key], SAMPLE_DOCUMENTS, 11)
 
 
 def all_spans(field: Field, text: str) -> list[tuple[int, int, str]]:

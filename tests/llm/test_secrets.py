@@ -8,7 +8,10 @@ import re
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from millrace.llm import secrets
+from millrace.llm.common import bounded_sample, bounded_samples
 
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 MIXED, DIGITS = LETTERS + LETTERS.upper(), "0123456789"
@@ -91,3 +94,24 @@ def test_awkward_texts(field):
     assert secrets.all_spans(field, "") == [] and secrets.all_spans(field, " \n\t ") == []
     long = "plain words of no interest " * 40_000
     assert secrets.all_spans(field, long) == []
+
+
+def test_the_sample_tells_suspects_once_per_row(spark):
+    """The sample is that of two separate ones; what tells them apart is asked once per row and for the rows chosen."""
+    texts = [f"words {i} password: {i}abcdefg" if i % 3 else f"words {i}" for i in range(40)]
+    df = spark.createDataFrame([*enumerate(texts), (0, texts[0]), (90, None), (91, ""), (None, "x")], "doc_id long, text string")
+    asked = spark.sparkContext.accumulator(0)
+
+    @F.udf("boolean")
+    def suspect(text):
+        asked.add(1)
+        return "password" in text
+
+    found = bounded_samples(df, "text", suspect("text"), ["doc_id"], 5, 11)
+    assert asked.value <= df.count() + 10
+    plain = F.col("text").contains("password")
+    want = [bounded_sample(df.filter(w), "text", ["doc_id"], 5, 11) for w in (plain, ~plain)]
+    assert [len(w) for w in want] == [5, 5] and found == want[0] + want[1]
+    assert bounded_samples(df.limit(0), "text", plain, ["doc_id"], 5, 11) == []
+    assert secrets.sample_texts(df) and secrets.sample_texts(df) == [
+        t for w in (plain, ~plain) for t in bounded_sample(df.filter(w), "text", ["doc_id"], 300, 11)]
