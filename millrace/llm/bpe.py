@@ -28,6 +28,8 @@ from millrace.llm.common import map_batches
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 REMEMBERED = 800_000
 LONGEST_REMEMBERED = 64
+# Texts whose ids are held together: a batch of Spark's may have thousands of long ones.
+ROWS_AT_ONCE = 500
 _codecs: dict[str, "Codec"] = {}
 
 
@@ -167,11 +169,13 @@ def encode(df: DataFrame, path: str, key: str = "doc_id", text: str = "text", ou
 
     def run(batches: Iterator) -> Iterator[dict]:
         model = codec(path)
-        for batch in batches:
-            ids = [model.encode(t.as_py() or "") for t in batch.column(1)]
-            ends = np.cumsum([0, *[len(x) // 4 for x in ids]]).astype(np.int32)
-            flat = pa.array(np.frombuffer(b"".join(ids), dtype=np.int32))
-            yield {"key": batch.column(0), "ids": pa.ListArray.from_arrays(ends, flat)}
+        for whole in batches:
+            for start in range(0, whole.num_rows, ROWS_AT_ONCE):
+                batch = whole.slice(start, ROWS_AT_ONCE)
+                ids = [model.encode(t.as_py() or "") for t in batch.column(1)]
+                ends = np.cumsum([0, *[len(x) // 4 for x in ids]]).astype(np.int32)
+                flat = pa.array(np.frombuffer(b"".join(ids), dtype=np.int32))
+                yield {"key": batch.column(0), "ids": pa.ListArray.from_arrays(ends, flat)}
 
     return map_batches(df.select(key, text), run, f"key {kind}, ids array<int>").toDF(key, out)
 

@@ -258,6 +258,28 @@ def test_extraction(spark, folder):
     assert np.mean([r["text"] == p for r, p in zip(right, plain)]) > 0.97
 
 
+def test_ids_are_not_held_for_a_whole_batch(spark, monkeypatch):
+    """Rows leave the encoder in parts, none lost at the cuts."""
+    sent = []
+    real = bpe.map_batches
+
+    def watched(df, function, schema):
+        def run(batches):
+            for out in function(batches):
+                yield {"rows": [len(out["key"])]}
+
+        sent.extend(r["rows"] for r in real(df, run, "rows long").collect())
+        return real(df, function, schema)
+
+    monkeypatch.setattr(bpe, "map_batches", watched)
+    rows = [(i, f"text {i}" if i % 7 else None) for i in range(1203)]
+    got = bpe.encode(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), VOCABULARY)
+    assert sum(sent) == 1203 and max(sent) <= 500
+    model = bpe.codec(VOCABULARY)
+    want = {i: len(model.encode(t or "")) // 4 for i, t in rows}
+    assert {r["doc_id"]: len(r["ids"]) for r in got.collect()} == want
+
+
 def test_bpe(docs):
     library = Tokenizer.from_file(VOCABULARY)
     want = []
