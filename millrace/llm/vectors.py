@@ -40,7 +40,7 @@ from millrace.session import reliable_checkpoint
 THRESHOLD = 0.95
 SAMPLE, MOST_PIVOTS = 4_000, 256
 # Cells that a sample vector may visit on average, with those after its own; with more, fewer pivots serve better.
-MOST_VISITS = 2
+MOST_VISITS = 2.5
 # A block has at most so many vectors, and so many bytes in double precision.
 ROWS_PER_BLOCK, BYTES_PER_BLOCK = 40_960, 20 << 20
 # From so many vectors on, those of one cell are dealt to several tasks.
@@ -95,16 +95,25 @@ def choose_pivots(sample: np.ndarray, most: int) -> np.ndarray:
     return sample[chosen]
 
 
+def _distances(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    return np.sqrt(np.maximum(0, (x**2).sum(1)[:, None] + (pivots**2).sum(1) - 2 * x @ pivots.T))
+
+
 def useful_pivots(sample: np.ndarray, pivots: np.ndarray, reach: float) -> np.ndarray:
-    """As many of the pivots as keep the sample's visits few; vectors without clusters are left with one cell.
+    """As many of the pivots as keep the sample's visits few, each moved amid the vectors nearest to it.
 
-    Vectors that visit more than a quarter of the cells are not worth being written to them.
+    Vectors that visit more than a quarter of the cells are not worth being written to them:
+    vectors without clusters are left with one cell.
     """
     while len(pivots) > 1:
-        far = np.sqrt(np.maximum(0, 2 - 2 * sample @ pivots.T))
+        home = _distances(sample, pivots).argmin(axis=1)
+        amid = np.zeros_like(pivots)
+        np.add.at(amid, home, sample)
+        moved = amid / np.maximum(1, np.bincount(home, minlength=len(pivots)))[:, None]
+        far = _distances(sample, moved)
         if (far <= far.min(axis=1)[:, None] + reach).sum(axis=1).mean() <= min(MOST_VISITS, max(1, len(pivots) / 4)):
-            break
-        pivots = pivots[: len(pivots) // 2]
+            return moved
+        pivots = pivots[: len(pivots) * 3 // 4]
     return pivots
 
 
@@ -390,7 +399,7 @@ def _visits(stored: DataFrame, plan: _Plan) -> DataFrame:
                 parts = np.array([plan.crowded.get((d, c), 1) for c in range(len(own))], np.uint64)
                 for start in range(0, len(raw), 1_024):
                     x = units(raw[start : start + 1_024])
-                    far = np.sqrt(np.maximum(0, (x**2).sum(1)[:, None] + (own**2).sum(1) - 2 * x @ own.T))
+                    far = _distances(x, own)
                     home = far.argmin(axis=1)
                     near = far <= far.min(axis=1)[:, None] + plan.reach + 1e-7
                     r, cell = np.nonzero(near & (np.arange(len(own)) <= home[:, None]))
